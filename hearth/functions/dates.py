@@ -17,7 +17,7 @@ def date_key(col: str | Column) -> Column:
 
 def parse_date(col: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
     """Dirty text -> DATE or NULL (never raises under ANSI mode)."""
-    return F.try_to_date(_c(col), F.lit(fmt))
+    return F.try_to_date(_c(col), fmt)
 
 
 def calendar_columns(d: str | Column) -> dict[str, Column]:

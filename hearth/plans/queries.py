@@ -223,3 +223,6 @@ def q_gold_gender(t):
     s = t.star
     impact = silver.silver_impact_calculations(s.fact_adoptions, s.dim_product, s.dim_geography)
     return gold.gold_donor_gender_impact(s.fact_adoptions, s.dim_household, s.dim_geography, impact)
+
+
+from . import queries_alloc, queries_ops, queries_quality  # noqa: E402,F401
