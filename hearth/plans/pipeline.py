@@ -1,0 +1,82 @@
+"""The full bronze -> silver -> gold run, with a run audit (Q13).
+
+One action per output table. The silver impact table feeds five gold views,
+so it is written once to the shared folder and read back: that both avoids
+recomputing it and cuts the lineage, so a lost executor re-runs only the
+stage it held, not the whole chain.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import time
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import gold, quality, silver
+from ..session import scratch_path
+from ..sources.tables import Tables
+
+
+def _write(df: DataFrame, path: str, name: str) -> int:
+    obs = Observation(name)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return int(obs.get["rows"])
+
+
+def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None) -> dict:
+    """Run every silver and gold output; return success, duration and row counts."""
+    out = out_dir or scratch_path(spark, "pipeline")
+    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    t0 = time.perf_counter()
+    rows: dict[str, int] = {}
+    checks: dict[str, int] = {}
+    ok = True
+    try:
+        s = Tables(spark, sf_dir).star
+        qc = quality.quality_checks(s.dim_household).first().asDict()
+        checks.update({f"household_{k}": int(v) for k, v in qc.items()})
+
+        rows["silver_households"] = _write(silver.silver_households(s.dim_household),
+                                           f"{out}/silver_households", "silver_households")
+        rows["silver_adoption_metrics"] = _write(
+            silver.silver_adoption_metrics(s.fact_adoptions, s.dim_household, s.dim_geography),
+            f"{out}/silver_adoption_metrics", "silver_adoption_metrics")
+        impact_path = f"{out}/silver_impact_calculations"
+        rows["silver_impact_calculations"] = _write(
+            silver.silver_impact_calculations(s.fact_adoptions, s.dim_product, s.dim_geography),
+            impact_path, "silver_impact_calculations")
+        impact = spark.read.parquet(impact_path)
+
+        golds = {
+            "gold_executive_summary": gold.gold_executive_summary(s.fact_adoptions, impact),
+            "gold_county_performance": gold.gold_county_performance(
+                s.fact_adoptions, s.dim_geography, s.dim_product, impact),
+            "gold_donor_health_impact": gold.gold_donor_health_impact(
+                s.fact_adoptions, s.dim_household, s.dim_geography, impact),
+            "gold_donor_environment_impact": gold.gold_donor_environment_impact(
+                s.fact_adoptions, s.dim_product, s.dim_geography, impact),
+            "gold_donor_gender_impact": gold.gold_donor_gender_impact(
+                s.fact_adoptions, s.dim_household, s.dim_geography, impact),
+        }
+        for name, df in golds.items():
+            rows[name] = _write(df, f"{out}/{name}", name)
+        g = quality.gold_checks(spark.read.parquet(f"{out}/gold_executive_summary"),
+                                spark.read.parquet(f"{out}/gold_county_performance")).first()
+        checks["gold_totals_match"] = int(bool(g.totals_match))
+        checks["gold_counties_over_100pct"] = int(g.counties_over_100pct)
+        checks["gold_counties_nonpositive_roi"] = int(g.counties_nonpositive_roi)
+    except Exception:
+        ok = False
+        raise
+    finally:
+        duration = time.perf_counter() - t0
+        audit = spark.createDataFrame(
+            [(started, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), duration, ok,
+              {k: int(v) for k, v in rows.items()}, checks)],
+            "started_at timestamp_ntz, ended_at timestamp_ntz, duration_sec double, "
+            "success boolean, rows map<string,bigint>, checks map<string,bigint>")
+        audit.write.mode("append").parquet(f"{out}/run_audit")
+    return {"success": ok, "duration_sec": duration, "rows": rows, "checks": checks,
+            "output": out}
