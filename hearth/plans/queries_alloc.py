@@ -249,7 +249,27 @@ def q_best_objective(t):
     return A.best_objective(A.scenario_summary(_alloc(t)))
 
 
-@register("recommendation_table", None, ops="M5 L2 C2 C3")
+@register("recommendation_table", _asql() + """
+, top AS (
+  SELECT budget_usd, objective, min_allocation_pct, string_agg(county, ', ' ORDER BY rank) AS top_3_counties
+  FROM (SELECT *, row_number() OVER (PARTITION BY budget_usd, objective, min_allocation_pct
+                                     ORDER BY ROUND(investment_usd, 2) DESC, county) AS rank FROM alloc2)
+  WHERE rank <= 3 GROUP BY budget_usd, objective, min_allocation_pct)
+SELECT s.budget_usd, s.objective, s.min_allocation_pct, s.status,
+       CASE WHEN s.budget_usd >= 1e6 THEN '$' || format('{:,.0f}', s.budget_usd / 1e6) || 'M'
+            ELSE '$' || format('{:,.0f}', s.budget_usd / 1e3) || 'K' END AS budget_label,
+       array_to_string(list_transform(string_split(replace(s.objective, '_', ' '), ' '),
+                                      lambda w: upper(w[1]) || lower(w[2:])), ' ') AS objective_label,
+       format('{:,.0f}', s.total_households) AS households_text,
+       format('{:,.1f}', s.total_lives_saved) AS lives_saved_text,
+       format('{:,.0f}', s.total_co2_avoided_tons) AS co2_avoided_text,
+       t.top_3_counties,
+       '$' || format('{:,.2f}', s.avg_cost_per_household) AS avg_cost_text,
+       s.total_households, s.total_lives_saved, s.total_co2_avoided_tons, s.avg_cost_per_household
+FROM summary s LEFT JOIN top t ON s.budget_usd = t.budget_usd AND s.objective = t.objective
+  AND s.min_allocation_pct = t.min_allocation_pct
+""", measures=("budget_usd", "min_allocation_pct", "total_households", "total_lives_saved",
+               "total_co2_avoided_tons", "avg_cost_per_household"), scale=4, ops="M5 L2 C2 C3")
 def q_recommendation(t):
     alloc = _alloc(t)
     return A.recommendation_table(alloc, A.scenario_summary(alloc))
