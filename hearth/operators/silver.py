@@ -10,9 +10,13 @@ from ..functions.columns import adoption_category, age_group, family_type, \
 from ..functions.impact import DEFAULT_IMPACT, ImpactCoefficients, impact_columns
 
 
+# Personal data never carried into analytics.
+PII_COLUMNS = ("head_name", "head_id")
+
+
 def silver_households(households: DataFrame) -> DataFrame:
-    """V1: F7 range filter (NULLs fail it, T5) plus F4 brackets."""
-    return (households.where(household_is_valid())
+    """V1: F7 range filter (NULLs fail it, T5) plus F4 brackets; PII dropped."""
+    return (households.drop(*PII_COLUMNS).where(household_is_valid())
             .withColumns({"income_bracket": income_bracket(),
                           "family_type": family_type(),
                           "age_group": age_group()}))

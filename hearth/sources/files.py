@@ -76,3 +76,22 @@ def crm_extract(households: DataFrame) -> DataFrame:
         F.col("monthly_income_ksh").cast("string").alias("Monthly_Income__c"),
         F.when(F.col("control_group"), "true").otherwise("false").alias("Control_Group__c"),
     )
+
+
+def load_donors(spark: SparkSession, path: str) -> DataFrame:
+    """Donor JSON array -> the donor dimension's columns (arrays dropped, as loaded)."""
+    from .schemas import DIM_DONOR, RAW_DONORS, conform
+    raw = read_json(spark, path, RAW_DONORS)
+    return conform(raw, DIM_DONOR, key="donor_key", natural_key="donor_id")
+
+
+def donor_preferences(donors: DataFrame) -> DataFrame:
+    """One row per (donor, preferred county); ``All`` kept as a wildcard row."""
+    return donors.select("donor_id", F.explode_outer("preferred_counties").alias("county"),
+                         F.array_contains("priority_metrics", "lives_saved").alias("values_lives"))
+
+
+def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
+    """Expose frames to SQL as temporary views (lazy; inlined by Catalyst)."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
