@@ -198,13 +198,21 @@ def gold_donor_gender_impact(adoptions: DataFrame, households: DataFrame,
 
 def v_adoption_summary(adoptions: DataFrame, households: DataFrame,
                        products: DataFrame) -> DataFrame:
-    """Star join to two dimensions, grouped three ways."""
-    f = adoptions.select("household_key", "product_key", "usage_intensity", "subsidy_amount")
+    """Star join to two dimensions, grouped three ways.
+
+    Eager aggregation: the fact is first reduced per (household, product)
+    with map-side combine, so the dimension joins see one row per pair and a
+    hot household cannot skew them. COUNT, SUM and AVG (as sum / count)
+    decompose exactly.
+    """
+    u = F.col("usage_intensity")
+    f = (adoptions.groupBy("household_key", "product_key")
+         .agg(F.count(F.lit(1)).alias("n"), F.sum(u).alias("su"), F.count(u).alias("nu"),
+              F.sum("subsidy_amount").alias("ss")))
     h = households.select("household_key", "county", "urban_rural")
     p = products.select("product_key", "product_type")
-    u = F.col("usage_intensity")
     return (f.join(h, "household_key").join(p, "product_key")
             .groupBy("county", "urban_rural", "product_type")
-            .agg(F.count(F.lit(1)).alias("adoption_count"),
-                 (F.sum(u).cast("double") / F.count(u)).alias("avg_usage_intensity"),
-                 F.sum("subsidy_amount").alias("total_subsidy")))
+            .agg(F.sum("n").alias("adoption_count"),
+                 (F.sum("su").cast("double") / F.sum("nu")).alias("avg_usage_intensity"),
+                 F.sum("ss").alias("total_subsidy")))

@@ -97,12 +97,13 @@ def anomaly_report(adoptions: DataFrame, households: DataFrame) -> DataFrame:
     """High usage; low income with high usage."""
     high = adoptions.where(F.col("usage_intensity") > 0.95).agg(
         F.lit("High Usage Intensity").alias("anomaly_type"), F.count(F.lit(1)).alias("count"))
-    f = adoptions.select("household_key", "usage_intensity")
-    h = households.select("household_key", "monthly_income_ksh")
+    # reduce the fact per household before the join (hot households combine map-side)
+    f = (adoptions.where(F.col("usage_intensity") > 0.8)
+         .groupBy("household_key").agg(F.count(F.lit(1)).alias("n")))
+    h = households.where(F.col("monthly_income_ksh") < 10000).select("household_key")
     low = (f.join(h, "household_key")
-           .where((F.col("monthly_income_ksh") < 10000) & (F.col("usage_intensity") > 0.8))
            .agg(F.lit("Low Income High Adoption").alias("anomaly_type"),
-                F.count(F.lit(1)).alias("count")))
+                F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("count")))
     return high.unionByName(low)
 
 
@@ -138,10 +139,11 @@ def orphan_keys(checks: Sequence[tuple[str, str, DataFrame, DataFrame, str]]) ->
     """Q7: rows whose foreign key has no parent (left anti join), per check."""
     out = None
     for fact, fk, child, parent, pk in checks:
-        orphans = child.select(F.col(fk).alias("_k")).join(
-            parent.select(F.col(pk).alias("_k")), "_k", "left_anti")
+        # count child rows per key first, so the anti join sees one row per key
+        keys = child.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("n"))
+        orphans = keys.join(parent.select(F.col(pk).alias("_k")), "_k", "left_anti")
         one = orphans.agg(F.lit(fact).alias("fact_table"), F.lit(fk).alias("foreign_key"),
-                          F.count(F.lit(1)).alias("orphan_rows"))
+                          F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -149,10 +151,13 @@ def orphan_keys(checks: Sequence[tuple[str, str, DataFrame, DataFrame, str]]) ->
 def join_loss(name: str, left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Q8: one pass over a left join: rows in, matched, dropped by an inner join."""
     r = right.select(F.col(on), F.lit(True).alias("_hit")).dropDuplicates([on])
-    j = left.select(on).join(r, on, "left")
-    return j.agg(F.lit(name).alias("join_name"), F.count(F.lit(1)).alias("rows_in"),
-                 F.count_if(F.col("_hit").isNotNull()).alias("rows_matched"),
-                 F.count_if(F.col("_hit").isNull()).alias("rows_dropped"))
+    keys = left.groupBy(on).agg(F.count(F.lit(1)).alias("n"))
+    j = keys.join(r, on, "left")
+    hit = F.col("_hit").isNotNull()
+    return j.agg(F.lit(name).alias("join_name"),
+                 F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows_in"),
+                 F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).cast("bigint").alias("rows_matched"),
+                 F.coalesce(F.sum(F.when(~hit, F.col("n"))), F.lit(0)).cast("bigint").alias("rows_dropped"))
 
 
 def gold_checks(executive: DataFrame, county: DataFrame) -> DataFrame:
