@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.dates import date_key, parse_date
 from ..functions.impact import logistic
-from ..operators import dims, facts, silver
+from ..operators import dims, facts
 from ..session import scratch_path
 from ..sources import files, sinks
 from .registry import register
