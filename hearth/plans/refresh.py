@@ -27,7 +27,7 @@ def _write(df: DataFrame, path: str, name: str) -> int:
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None) -> dict:
     """Run every silver and gold output; return success, duration and row counts."""
-    out = out_dir or scratch_path(spark, "pipeline")
+    out = out_dir or scratch_path(spark, "refresh")
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     t0 = time.perf_counter()
     rows: dict[str, int] = {}

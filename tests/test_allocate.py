@@ -104,3 +104,11 @@ def test_gain_not_positive_gets_no_fill(spark, units):
     alloc = A.allocate(u, A.scenario_grid(spark, [500000], ["lives_saved"], [0.03]))
     t = alloc.where("county = 'Turkana'").first()
     assert t.investment_usd == pytest.approx(15000.0)
+
+
+def test_missing_weighted_product_fails(spark):
+    econ = spark.createDataFrame([("charcoal_stove", 15.0, 5.0, 10.0)],
+                                 "product_type string, unit_cost_usd double, sale_price_usd double, "
+                                 "subsidy_per_unit double")
+    with pytest.raises(Exception, match="weighted product type missing"):
+        A.weighted_product_cost(econ).collect()

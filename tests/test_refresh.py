@@ -3,15 +3,15 @@
 import datetime as dt
 from decimal import Decimal
 
-from hearth.plans import pipeline
+from hearth.plans import refresh
 from hearth.session import scratch_path
 from hearth.streaming import incremental as inc
 from tests.conftest import SF001
 
 
-def test_pipeline_run(spark):
-    out = scratch_path(spark, "pipeline-test")
-    r = pipeline.run(spark, SF001, out)
+def test_full_refresh_run(spark):
+    out = scratch_path(spark, "refresh-test")
+    r = refresh.run(spark, SF001, out)
     assert r["success"]
     assert r["rows"]["gold_executive_summary"] == 1
     assert r["rows"]["silver_households"] <= spark.read.parquet(f"{SF001}/customer.parquet").count()
