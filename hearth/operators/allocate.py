@@ -12,9 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.impact import (DEFAULT_ALLOCATION, AllocationCoefficients,
                                 cost_per_household, impact_per_household,
@@ -79,25 +78,38 @@ def county_units(counties: DataFrame, base_cost: DataFrame,
     """F19 + F21 + F22: every per-county coefficient the allocation needs.
 
     ``base_cost`` is the one-row output of ``weighted_product_cost``; it is
-    attached by a broadcast cross join of exactly one row.
+    attached as a scalar subquery, which Spark evaluates once and checks at
+    run time to return at most one row.
     """
-    c = target_market(counties, coef).crossJoin(F.broadcast(base_cost.select("base_cost_usd")))
+    c = target_market(counties, coef).withColumn(
+        "base_cost_usd", base_cost.select("base_cost_usd").scalar())
     c = c.withColumns(cost_per_household(F.col("base_cost_usd"), F.col("electrification_rate"), coef))
     return c.withColumns(impact_per_household(F.col("poverty_rate"), coef))
 
 
-def scenario_grid(spark: SparkSession, budgets: Sequence[float],
-                  objectives: Sequence[str] = OBJECTIVES,
-                  floors: Sequence[float] = (0.03,), cap: float = 0.25) -> DataFrame:
-    """Budgets x objectives x floors, with the objective's listing order."""
-    rows = [(float(b), o, i, float(f), float(cap))
+def scenario_grid(budgets: Sequence[float], objectives: Sequence[str] = OBJECTIVES,
+                  floors: Sequence[float] = (0.03,), cap: float = 0.25) -> list[tuple]:
+    """Budgets x objectives x floors as a parameter list.
+
+    Rows are (budget_usd, objective, objective_order, min_allocation_pct,
+    max_penetration_pct); its length is the number of parameters listed.
+    """
+    return [(float(b), o, i, float(f), float(cap))
             for b in budgets for i, o in enumerate(objectives) for f in floors]
-    schema = T.StructType([T.StructField("budget_usd", T.DoubleType()),
-                           T.StructField("objective", T.StringType()),
-                           T.StructField("objective_order", T.IntegerType()),
-                           T.StructField("min_allocation_pct", T.DoubleType()),
-                           T.StructField("max_penetration_pct", T.DoubleType())])
-    return spark.createDataFrame(rows, schema)
+
+
+def _with_scenarios(units: DataFrame, scenarios: Sequence[tuple]) -> DataFrame:
+    """Attach every scenario to every unit with ``inline`` over a literal array.
+
+    No join: each unit row generates one row per listed scenario, so the
+    output is units x (number of parameters), bounded by the caller's list.
+    """
+    structs = [F.struct(F.lit(float(b)).alias("budget_usd"), F.lit(o).alias("objective"),
+                        F.lit(int(i)).alias("objective_order"),
+                        F.lit(float(f)).alias("min_allocation_pct"),
+                        F.lit(float(c)).alias("max_penetration_pct"))
+               for b, o, i, f, c in scenarios]
+    return units.select("*", F.inline(F.array(*structs)))
 
 
 def _gain(objective: Column) -> Column:
@@ -106,14 +118,14 @@ def _gain(objective: Column) -> Column:
             .otherwise(F.lit(1.0)))
 
 
-def allocate(units: DataFrame, scenarios: DataFrame) -> DataFrame:
+def allocate(units: DataFrame, scenarios: Sequence[tuple]) -> DataFrame:
     """M1 + M2: exact allocation per scenario and county, with metrics.
 
-    The scenario table is a parameter grid (its size is the number of
-    scenarios the caller lists), so it is broadcast; the window partitions by
-    scenario, so one task sorts one scenario's counties.
+    ``scenarios`` is the parameter list of ``scenario_grid``. The window
+    partitions by scenario, so one task sorts one scenario's counties (a
+    bounded dimension) and scenarios are solved in parallel.
     """
-    j = F.broadcast(scenarios).crossJoin(units)
+    j = _with_scenarios(units, scenarios)
     scen = Window.partitionBy(*SCENARIO_KEYS)
     gain = _gain(F.col("objective"))
     cost = F.col("cost_per_hh_usd")
@@ -242,16 +254,16 @@ def quota_allocation(units: DataFrame, total: DataFrame, weight: str,
                      remainder_unit: str) -> DataFrame:
     """``int(n * w)`` per unit; the shortfall goes to one named unit.
 
-    ``total`` is a one-row frame with column ``n``. The grand total of the
-    truncated quotas is a global aggregate joined back as one row.
+    ``total`` is a one-row frame with column ``n``. The weight total, ``n``
+    and the sum of truncated quotas are scalar subqueries (one row each,
+    checked by Spark at run time).
     """
-    wsum = units.agg(F.sum(weight).alias("wsum"))
-    u = (units.crossJoin(F.broadcast(wsum)).crossJoin(F.broadcast(total))
-         .withColumn("share", F.col(weight) / F.col("wsum"))
+    wsum = units.agg(F.sum(weight).alias("wsum")).scalar()
+    u = (units.withColumn("share", F.col(weight) / wsum)
+         .withColumn("n", total.select("n").scalar())
          .withColumn("base_quota", (F.col("n") * F.col("share")).cast("bigint")))
-    assigned = u.agg(F.sum("base_quota").alias("assigned"))
-    return (u.crossJoin(F.broadcast(assigned)).select(
+    assigned = u.agg(F.sum("base_quota")).scalar()
+    return u.select(
         "county", "share", "base_quota",
         (F.col("base_quota") + F.when(F.col("county") == remainder_unit,
-                                      F.col("n") - F.col("assigned")).otherwise(0))
-        .alias("quota")))
+                                      F.col("n") - assigned).otherwise(0)).alias("quota"))

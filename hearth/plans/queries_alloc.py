@@ -22,7 +22,7 @@ def _units(t):
 
 
 def _alloc(t, budgets=BUDGETS, floors=(FLOOR,)):
-    return A.allocate(_units(t), A.scenario_grid(t.spark, budgets, floors=floors))
+    return A.allocate(_units(t), A.scenario_grid(budgets, floors=floors))
 
 
 _W = ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in AC.product_weights.items())

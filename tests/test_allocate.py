@@ -41,7 +41,7 @@ def units(spark):
 
 
 def _summary(spark, units, budgets, floors):
-    alloc = A.allocate(units, A.scenario_grid(spark, budgets, floors=floors))
+    alloc = A.allocate(units, A.scenario_grid(budgets, floors=floors))
     rows = A.scenario_summary(alloc).collect()
     return alloc, {(r.budget_usd, r.objective, r.min_allocation_pct): r for r in rows}
 
@@ -101,7 +101,7 @@ def test_gain_not_positive_gets_no_fill(spark, units):
     u = units.withColumn("lives_saved_per_hh",
                          F.when(F.col("county") == "Turkana", F.lit(0.0))
                          .otherwise(F.col("lives_saved_per_hh")))
-    alloc = A.allocate(u, A.scenario_grid(spark, [500000], ["lives_saved"], [0.03]))
+    alloc = A.allocate(u, A.scenario_grid([500000], ["lives_saved"], [0.03]))
     t = alloc.where("county = 'Turkana'").first()
     assert t.investment_usd == pytest.approx(15000.0)
 

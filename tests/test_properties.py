@@ -43,7 +43,7 @@ def test_allocation_matches_greedy_oracle(spark, units, budget, floor):
         [(f"u{i:02d}", c, t, g, g) for i, (c, t, g) in enumerate(units)],
         "county string, cost_per_hh_usd double, target_market long, "
         "lives_saved_per_hh double, co2_per_hh double")
-    scen = A.scenario_grid(spark, [budget], ["lives_saved"], [floor])
+    scen = A.scenario_grid([budget], ["lives_saved"], [floor])
     alloc = A.allocate(df, scen)
     rows = alloc.collect()
     want = _greedy(units, budget, floor, 0.25)
