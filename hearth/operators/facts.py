@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_adopted
 from ..functions.dates import chained_add_months, date_key, parse_date
+from ..functions.impact import DEFAULT_IMPACT, ImpactCoefficients, impact_columns
 from .profile import first_product_per_type
 
 
@@ -93,29 +96,44 @@ def installment_schedule(adoptions: DataFrame) -> DataFrame:
                     .alias("due_date")))
 
 
-def impact_monthly(impact: DataFrame, months: int = 12) -> DataFrame:
+def impact_monthly(adoptions: DataFrame, products: DataFrame, geography: DataFrame,
+                   months: int = 12, coef: ImpactCoefficients = DEFAULT_IMPACT) -> DataFrame:
     """Household-product-month grain.
 
     The reference defines the grain but no formula; this plan's rule is the
     annual measure / 12 for each of the ``months`` months from the adoption
-    month. Rows are exploded then aggregated per (household, product, month)
-    with map-side combine.
+    month. Every measure but fuel is (per-product constant) x usage, and the
+    product is a grouping key, so the exploded rows carry only sum(usage) and
+    sum(weekly fuel x usage); the product join and the multiplications run
+    after the aggregation, on one row per (household, product, month).
+    Adoptions without a county drop out first (left semi join), as in the
+    silver impact view.
     """
-    m = F.col("m")
-    rows = impact.select(
-        "household_key", "product_key", "co2_avoided_annual", "dalys_avoided",
-        "annual_fuel_savings_ksh", "time_saved_hours_annual",
-        "healthcare_savings_annual_ksh", "usage_intensity",
-        F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("m"),
-        F.trunc(F.col("adoption_date"), "month").alias("start_month"))
-    month = F.add_months(F.col("start_month"), m)
-    rows = rows.withColumn("month_key", (F.year(month) * 100 + F.month(month)).cast("int"))
-    per12 = lambda c: (F.sum(c).cast("double") / 12)
-    return (rows.groupBy("household_key", "product_key", "month_key").agg(
-        per12("co2_avoided_annual").alias("co2_avoided_tons"),
-        per12("dalys_avoided").alias("dalys_avoided"),
-        per12("annual_fuel_savings_ksh").alias("fuel_cost_savings_ksh"),
-        per12("time_saved_hours_annual").alias("time_saved_hours"),
-        per12("healthcare_savings_annual_ksh").alias("healthcare_savings_ksh"),
-        F.count(F.lit(1)).alias("active_adoptions"),
-        F.max("usage_intensity").cast("double").alias("stove_stacking_ratio")))
+    u = F.col("usage_intensity")
+    f = adoptions.join(geography.select("geography_key"), "geography_key", "left_semi")
+    start = F.trunc(F.col("adoption_date"), "month")
+    rows = f.select("household_key", "product_key", u,
+                    (F.col("baseline_weekly_fuel_cost_ksh") * u).alias("fuel_u"),
+                    F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("m"),
+                    start.alias("start_month"))
+    month = F.add_months(F.col("start_month"), F.col("m"))
+    agg = (rows.withColumn("month_key", (F.year(month) * 100 + F.month(month)).cast("int"))
+           .groupBy("household_key", "product_key", "month_key")
+           .agg(F.sum(u).alias("su"), F.sum("fuel_u").alias("sfu"),
+                F.count(F.lit(1)).alias("active_adoptions"),
+                F.max(u).cast("double").alias("stove_stacking_ratio")))
+    p = products.select("product_key", "carbon_reduction_tons_year", "pm25_emissions_mg_m3")
+    m = impact_columns(F.col("carbon_reduction_tons_year"), F.col("pm25_emissions_mg_m3"),
+                       F.col("su"), F.lit(0), coef)
+    fuel = F.col("sfu") * F.lit(coef.fuel_weeks_per_year)
+    if coef.fuel_savings_factor != 1.0:
+        fuel = fuel * F.lit(Decimal(str(coef.fuel_savings_factor)))
+    per12 = lambda c: c.cast("double") / 12
+    return agg.join(p, "product_key").select(
+        "household_key", "product_key", "month_key",
+        per12(m["co2_avoided_annual"]).alias("co2_avoided_tons"),
+        per12(m["dalys_avoided"]).alias("dalys_avoided"),
+        per12(fuel).alias("fuel_cost_savings_ksh"),
+        per12(m["time_saved_hours_annual"]).alias("time_saved_hours"),
+        per12(m["healthcare_savings_annual_ksh"]).alias("healthcare_savings_ksh"),
+        "active_adoptions", "stove_stacking_ratio")

@@ -292,18 +292,7 @@ FROM rows GROUP BY household_key, product_key, month_key
                "healthcare_savings_ksh", "stove_stacking_ratio"), scale=10, ops="A17")
 def q_impact_monthly(t):
     s = t.star
-    f = s.fact_adoptions_multi
-    # the silver impact measures, carried with the adoption date and usage
-    imp = (f.select("adoption_key", "household_key", "product_key", "geography_key",
-                    "usage_intensity", "baseline_weekly_fuel_cost_ksh", "adoption_date")
-           .join(s.dim_product.select("product_key", "carbon_reduction_tons_year",
-                                      "pm25_emissions_mg_m3"), "product_key")
-           .join(s.dim_geography.select("geography_key"), "geography_key"))
-    from ..functions.impact import impact_columns
-    m = impact_columns(F.col("carbon_reduction_tons_year"), F.col("pm25_emissions_mg_m3"),
-                       F.col("usage_intensity"), F.col("baseline_weekly_fuel_cost_ksh"))
-    imp = imp.withColumns({k: v for k, v in m.items() if k != "stacking_ratio"})
-    return facts.impact_monthly(imp)
+    return facts.impact_monthly(s.fact_adoptions_multi, s.dim_product, s.dim_geography)
 
 
 # ------------------------------------------------------------ sources
