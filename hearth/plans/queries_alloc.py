@@ -282,7 +282,8 @@ q AS (SELECT c.county, CAST(c.population AS DOUBLE) / ws.wsum AS share,
              CAST(trunc(tot.n * (CAST(c.population AS DOUBLE) / ws.wsum)) AS BIGINT) AS base_quota, tot.n
       FROM counties c, ws, tot)
 SELECT county, share, base_quota,
-       base_quota + CASE WHEN county = 'NATION_24' THEN n - (SELECT SUM(base_quota) FROM q) ELSE 0 END AS quota
+       CAST(base_quota + CASE WHEN county = 'NATION_24' THEN n - (SELECT SUM(base_quota) FROM q) ELSE 0 END
+            AS BIGINT) AS quota
 FROM q
 """, measures=("share",), scale=9, ops="F25")
 def q_quota(t):
