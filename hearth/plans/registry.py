@@ -32,16 +32,29 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def _rounded(col, scale: int):
+    """DOUBLE rounded to ``scale`` decimals with IEEE operations only.
+
+    ``rint(x * 10^s) / 10^s`` (nearest, ties to even on the binary value) is
+    computed bit-for-bit the same by Spark and by DuckDB's
+    ``round_even(x * 10^s, 0) / 10^s``; their own ``round`` functions break
+    decimal ties differently (shortest-decimal HALF_UP vs binary).
+    """
+    k = float(10 ** scale)
+    return F.rint(col.cast("double") * F.lit(k)) / F.lit(k)
+
+
 def finish(df: DataFrame, measures, scale: int) -> DataFrame:
     if not measures:
         return df
-    return df.withColumns({m: F.round(F.col(m), scale).cast("double") for m in measures})
+    return df.withColumns({m: _rounded(F.col(m), scale) for m in measures})
 
 
 def oracle_wrap(sql: str, measures, scale: int) -> str:
     if not measures:
         return sql
-    repl = ", ".join(f"CAST(ROUND({m}, {scale}) AS DOUBLE) AS {m}" for m in measures)
+    k = repr(float(10 ** scale))
+    repl = ", ".join(f"round_even(CAST({m} AS DOUBLE) * {k}, 0) / {k} AS {m}" for m in measures)
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"
 
 
