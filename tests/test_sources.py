@@ -70,3 +70,19 @@ def test_ledger_row_counts(spark):
     assert pays == [dt.date(2024, 2, 29), dt.date(2024, 3, 29), dt.date(2024, 4, 29)]
     total = led.agg(F.sum("amount_ksh")).first()[0]
     assert total == 500 + 300 + 300 + 80 + 500 + 500 + 300
+
+
+def test_sinks_append_replace_json(spark):
+    path = scratch_path(spark, "sink")
+    df = spark.createDataFrame([(1, "a", 202401), (2, "b", 202402)], "k int, v string, m int")
+    sinks.append(df, path, partition_by=["m"])
+    sinks.append(df, path, partition_by=["m"])
+    assert spark.read.parquet(path).count() == 4
+    assert spark.read.parquet(path).where("m = 202401").count() == 2
+    staging = scratch_path(spark, "staging")
+    sinks.replace(df, staging)
+    sinks.replace(df.limit(1), staging)
+    assert spark.read.parquet(staging).count() == 1
+    js = scratch_path(spark, "json")
+    sinks.export_json(df, js)
+    assert sorted(r.k for r in spark.read.json(js).collect()) == [1, 2]
