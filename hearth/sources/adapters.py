@@ -138,20 +138,24 @@ class StarSchema:
             cols["usage_intensity"], cols["baseline_weekly_fuel_cost_ksh"],
         )
 
-    @cached_property
-    def first_orders(self) -> DataFrame:
-        """First order per customer by (date, key): a partial-aggregated min, no sort."""
+    def first_orders(self, *extra: str) -> DataFrame:
+        """First order per customer by (date, key): a partial-aggregated min, no window.
+
+        Only the columns asked for ride in the struct (Catalyst cannot prune
+        fields out of an aggregated struct).
+        """
         o = self.t.orders
         first = (o.groupBy("o_custkey")
-                 .agg(F.min(F.struct("o_orderdate", "o_orderkey", "o_orderstatus")).alias("f")))
-        return first.select("o_custkey", "f.o_orderdate", "f.o_orderkey", "f.o_orderstatus")
+                 .agg(F.min(F.struct("o_orderdate", "o_orderkey", *extra)).alias("f")))
+        return first.select("o_custkey", "f.o_orderdate", "f.o_orderkey",
+                            *[f"f.{c}" for c in extra])
 
     @cached_property
     def fact_adoptions(self) -> DataFrame:
         """One adoption per non-control customer: their first order."""
         c = self.t.customer.where(F.col("c_mktsegment") != "HOUSEHOLD") \
             .select("c_custkey", "c_nationkey")
-        firsts = self.first_orders.join(c, F.col("o_custkey") == F.col("c_custkey"))
+        firsts = self.first_orders().join(c, F.col("o_custkey") == F.col("c_custkey"))
         return self._adoption_rows(firsts)
 
     @cached_property
@@ -187,7 +191,7 @@ class StarSchema:
         when the first order is still pending (status 'P').
         """
         h = self.dim_household.drop("household_key")
-        fo = self.first_orders
+        fo = self.first_orders("o_orderstatus")
         prod = self.dim_product.select("product_key", "product_type")
         k = F.col("o_orderkey")
         cols = _order_columns(k)
