@@ -45,3 +45,20 @@ def test_stream_incremental_extract(spark):
     q = inc.stream_incremental_extract(spark, src, schema, "2024-01-20 00:00:00", sink, ck)
     q.awaitTermination(120)
     assert [r.id for r in spark.read.parquet(sink).collect()] == [1]
+
+
+def test_allocation_report_csv(spark):
+    from hearth.plans import allocation_report
+    out = scratch_path(spark, "alloc-report")
+    r = allocation_report.run(spark, SF001, out)
+    rec = spark.read.option("header", True).csv(r["recommendations"])
+    assert rec.count() == 6
+    alloc = spark.read.option("header", True).csv(r["allocations"])
+    assert alloc.select("budget_usd", "objective").distinct().count() == 6
+    assert alloc.count() == 6 * 25
+
+
+def test_cli_list(capsys):
+    from hearth.__main__ import main
+    assert main(["list"]) == 0
+    assert "gold_county_performance" in capsys.readouterr().out
