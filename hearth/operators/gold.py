@@ -16,8 +16,11 @@ household holding a third of all rows costs one partial row per map task.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.impact import DEFAULT_IMPACT, ImpactCoefficients
 
@@ -34,22 +37,45 @@ def _flag(cond: Column) -> Column:
     return F.max(F.when(cond, 1).otherwise(0))
 
 
-def _times(*factors: Column, exact: bool = True) -> Column:
-    """Count x count x measure.
+def _count_product(counts: list[str]) -> Column:
+    """Product of row counts as DECIMAL(38,0): no BIGINT overflow for hot households."""
+    n = None
+    for c in counts:
+        d = F.col(c).cast("decimal(20,0)")
+        n = d if n is None else (n * d).cast("decimal(38,0)")
+    return n
+
+
+def _pair_sum(j: DataFrame, counts: list[str], measure: str, factor: int = 1,
+              factor_scale: int = 0) -> Column:
+    """SUM of ``measure`` over the implied joined pairs, i.e. sum(count product x sum).
 
-    A BIGINT times a wide DECIMAL exceeds 38 digits and Spark would cut the
-    scale to 6. The count product is cast to DECIMAL(12,0) and the measure to
-    DECIMAL(26,12), which keeps scale 11: exact for every measure with at most
-    8 decimals. ``exact=False`` multiplies in DOUBLE for the 12-decimal
-    mortality measure, whose relative error (1e-16) is far below its scale.
+    DECIMAL measures are carried as unscaled integers (value x 10^scale in
+    DECIMAL(38,0)). Spark's decimal precision rules can then never cut a digit,
+    and a household with millions of rows on each side cannot overflow a
+    narrow type. The total becomes DOUBLE once, at the end; ``factor`` /
+    10^``factor_scale`` scales it exactly first (e.g. 17 / 10^2 for 0.17).
+    Integer measures return the exact DECIMAL(38,0) total.
     """
-    *counts, measure = factors
-    n = counts[0]
-    for c in counts[1:]:
-        n = n * c
-    if not exact:
-        return n.cast("double") * measure.cast("double")
-    return n.cast("decimal(12,0)") * measure.cast("decimal(26,12)")
+    dt = j.schema[measure].dataType
+    n = _count_product(counts)
+    m = F.col(measure)
+    if isinstance(dt, T.DecimalType):
+        unscaled = (m * F.lit(Decimal(10) ** dt.scale)).cast("decimal(38,0)")
+        total = F.sum((n * unscaled).cast("decimal(38,0)"))
+        if factor != 1:
+            total = (total * F.lit(Decimal(factor))).cast("decimal(38,0)")
+        return total.cast("double") / F.lit(float(10 ** (dt.scale + factor_scale)))
+    if isinstance(dt, T.IntegralType):
+        return F.sum((n * m.cast("decimal(20,0)")).cast("decimal(38,0)"))
+    return F.sum(n.cast("double") * m.cast("double"))
+
+
+def _ratio_factor(x: float) -> tuple[int, int]:
+    """An exact decimal coefficient as (integer, scale): 0.17 -> (17, 2)."""
+    d = Decimal(str(x)).normalize()
+    exp = -d.as_tuple().exponent if d.as_tuple().exponent < 0 else 0
+    return int(d.scaleb(exp)), exp
 
 
 def impact_per_household(impact: DataFrame) -> DataFrame:
@@ -87,21 +113,21 @@ def gold_executive_summary(adoptions: DataFrame, impact: DataFrame,
     u = F.col("usage_intensity")
     f = _fact_side(adoptions, [], [_flag(u >= 0.8).alias("full"), _flag(u < 0.5).alias("low")])
     j = f.join(impact_per_household(impact), "household_key")
-    nf, ni = F.col("n_f"), F.col("n_i")
+    ps = lambda counts, m: _pair_sum(j, counts, m)
     hh = F.count(F.lit(1))
     return j.agg(
         hh.alias("total_households_reached"),
-        F.sum(_times(nf, F.col("si_co2_avoided_annual"))).alias("total_co2_avoided_tons"),
-        F.sum(_times(nf, F.col("si_carbon_credit_value_usd"))).alias("total_carbon_credit_value"),
-        F.sum(_times(nf, F.col("si_dalys_avoided"))).alias("total_dalys_avoided"),
-        F.sum(_times(nf, F.col("si_annual_fuel_savings_ksh"))).alias("total_fuel_savings_ksh"),
-        (F.sum(_times(ni, F.col("sf_usage"))).cast("double")
-         / F.sum(_times(ni, F.col("nf_usage")))).alias("avg_usage_intensity"),
+        ps(["n_f"], "si_co2_avoided_annual").alias("total_co2_avoided_tons"),
+        ps(["n_f"], "si_carbon_credit_value_usd").alias("total_carbon_credit_value"),
+        ps(["n_f"], "si_dalys_avoided").alias("total_dalys_avoided"),
+        ps(["n_f"], "si_annual_fuel_savings_ksh").alias("total_fuel_savings_ksh"),
+        (ps(["n_i"], "sf_usage") / ps(["n_i"], "nf_usage").cast("double"))
+        .alias("avg_usage_intensity"),
         F.coalesce(F.sum("full"), F.lit(0)).cast("bigint").alias("full_adopters"),
         F.coalesce(F.sum("low"), F.lit(0)).cast("bigint").alias("low_adopters"),
-        F.sum(_times(ni, F.col("sf_subsidy"))).alias("total_subsidies"),
-        (F.sum(_times(ni, F.col("sf_subsidy"))).cast("double")
-         / F.sum(_times(ni, F.col("nf_subsidy")))).alias("avg_subsidy_per_household"),
+        ps(["n_i"], "sf_subsidy").alias("total_subsidies"),
+        (ps(["n_i"], "sf_subsidy") / ps(["n_i"], "nf_subsidy").cast("double"))
+        .alias("avg_subsidy_per_household"),
         (hh.cast("double") / F.lit(coef.households_goal) * 100).alias("pct_of_goal_achieved"),
     )
 
@@ -121,18 +147,18 @@ def gold_county_performance(adoptions: DataFrame, geography: DataFrame, products
     f = _fact_side(adoptions.join(g, "geography_key").join(p, "product_key"), keys,
                    [_flag(ptype == t).alias(f"has_{name}") for t, name in product_mix])
     j = f.join(impact_per_household(impact), "household_key")
-    nf, ni = F.col("n_f"), F.col("n_i")
+    ps = lambda counts, m: _pair_sum(j, counts, m)
     hh = F.count(F.lit(1))
     return (j.groupBy(*keys).agg(
         hh.alias("households_reached"),
         (hh.cast("double") / F.col("population") * 4.5 * 100).alias("penetration_rate"),
-        F.sum(_times(nf, F.col("si_co2_avoided_annual"))).alias("co2_avoided"),
-        F.sum(_times(nf, F.col("si_dalys_avoided"))).alias("dalys_avoided"),
-        F.sum(_times(nf, F.col("si_annual_fuel_savings_ksh"))).alias("fuel_savings"),
-        (F.sum(_times(nf, F.col("si_carbon_credit_value_usd"))).cast("double")
-         / F.nullif(F.sum(_times(ni, F.col("sf_subsidy"))), F.lit(0)).cast("double")).alias("roi_ratio"),
-        (F.sum(_times(ni, F.col("sf_usage"))).cast("double")
-         / F.sum(_times(ni, F.col("nf_usage")))).alias("avg_usage_intensity"),
+        ps(["n_f"], "si_co2_avoided_annual").alias("co2_avoided"),
+        ps(["n_f"], "si_dalys_avoided").alias("dalys_avoided"),
+        ps(["n_f"], "si_annual_fuel_savings_ksh").alias("fuel_savings"),
+        (ps(["n_f"], "si_carbon_credit_value_usd")
+         / F.nullif(ps(["n_i"], "sf_subsidy"), F.lit(0.0))).alias("roi_ratio"),
+        (ps(["n_i"], "sf_usage") / ps(["n_i"], "nf_usage").cast("double"))
+        .alias("avg_usage_intensity"),
         *[F.sum(f"has_{name}").cast("bigint").alias(name) for _, name in product_mix],
     ).drop("population"))
 
@@ -144,14 +170,14 @@ def gold_donor_health_impact(adoptions: DataFrame, households: DataFrame,
     f = _fact_side(adoptions.join(g, "geography_key"), ["county"], [])
     j = (f.join(household_facts(households), "household_key")
          .join(impact_per_household(impact), "household_key"))
-    nf, ni, nh = F.col("n_f"), F.col("n_i"), F.col("n_h")
+    ps = lambda counts, m: _pair_sum(j, counts, m)
     return (j.groupBy("county").agg(
         F.count(F.lit(1)).alias("households"),
-        F.sum(_times(nf, nh, F.col("si_mortality_reduction"), exact=False)).alias("lives_saved"),
-        F.sum(_times(nf, nh, F.col("si_dalys_avoided"))).alias("dalys_avoided"),
-        F.sum(_times(nf, nh, F.col("si_healthcare_savings_annual_ksh"))).alias("healthcare_cost_avoided"),
-        F.sum(_times(nf, ni, F.col("h_elderly"))).cast("bigint").alias("elderly_reached"),
-        F.sum(_times(nf, ni, F.col("h_children"))).cast("bigint").alias("children_impacted"),
+        ps(["n_f", "n_h"], "si_mortality_reduction").alias("lives_saved"),
+        ps(["n_f", "n_h"], "si_dalys_avoided").alias("dalys_avoided"),
+        ps(["n_f", "n_h"], "si_healthcare_savings_annual_ksh").alias("healthcare_cost_avoided"),
+        ps(["n_f", "n_i"], "h_elderly").cast("bigint").alias("elderly_reached"),
+        ps(["n_f", "n_i"], "h_children").cast("bigint").alias("children_impacted"),
     ))
 
 
@@ -159,21 +185,19 @@ def gold_donor_environment_impact(adoptions: DataFrame, products: DataFrame,
                                   geography: DataFrame, impact: DataFrame,
                                   coef: ImpactCoefficients = DEFAULT_IMPACT) -> DataFrame:
     """Per-county carbon, credits, tree equivalent and PM2.5."""
-    from decimal import Decimal
     g = geography.select("geography_key", "county")
     p = products.select("product_key", "pm25_emissions_mg_m3")
     pm = F.col("pm25_emissions_mg_m3") * F.col("usage_intensity")
     f = _fact_side(adoptions.join(p, "product_key").join(g, "geography_key"), ["county"],
                    [F.sum(pm).alias("sf_pm25")])
     j = f.join(impact_per_household(impact), "household_key")
-    nf, ni = F.col("n_f"), F.col("n_i")
-    co2 = F.sum(_times(nf, F.col("si_co2_avoided_annual")))
+    trees, trees_scale = _ratio_factor(coef.trees_per_ton)
     return (j.groupBy("county").agg(
         F.count(F.lit(1)).alias("households"),
-        co2.alias("co2_avoided_tons"),
-        F.sum(_times(nf, F.col("si_carbon_credit_value_usd"))).alias("carbon_credit_value"),
-        (co2 * F.lit(Decimal(str(coef.trees_per_ton)))).alias("trees_equivalent"),
-        F.sum(_times(ni, F.col("sf_pm25"))).alias("pm25_reduced"),
+        _pair_sum(j, ["n_f"], "si_co2_avoided_annual").alias("co2_avoided_tons"),
+        _pair_sum(j, ["n_f"], "si_carbon_credit_value_usd").alias("carbon_credit_value"),
+        _pair_sum(j, ["n_f"], "si_co2_avoided_annual", trees, trees_scale).alias("trees_equivalent"),
+        _pair_sum(j, ["n_i"], "sf_pm25").alias("pm25_reduced"),
     ))
 
 
@@ -181,18 +205,17 @@ def gold_donor_gender_impact(adoptions: DataFrame, households: DataFrame,
                              geography: DataFrame, impact: DataFrame,
                              coef: ImpactCoefficients = DEFAULT_IMPACT) -> DataFrame:
     """Female-headed reach and time saved per county."""
-    from decimal import Decimal
     g = geography.select("geography_key", "county")
     f = _fact_side(adoptions.join(g, "geography_key"), ["county"], [])
     j = (f.join(household_facts(households), "household_key")
          .join(impact_per_household(impact), "household_key"))
-    nf, ni, nh = F.col("n_f"), F.col("n_i"), F.col("n_h")
-    time = F.sum(_times(nf, nh, F.col("si_time_saved_hours_annual")))
+    share, share_scale = _ratio_factor(coef.women_time_share)
     return (j.groupBy("county").agg(
         F.sum("h_female").cast("bigint").alias("female_headed_households"),
-        time.alias("total_time_saved_hours"),
-        (time * F.lit(Decimal(str(coef.women_time_share)))).alias("women_time_saved_hours"),
-        F.sum(_times(nf, ni, F.col("h_single_parent"))).cast("bigint").alias("single_parents_reached"),
+        _pair_sum(j, ["n_f", "n_h"], "si_time_saved_hours_annual").alias("total_time_saved_hours"),
+        _pair_sum(j, ["n_f", "n_h"], "si_time_saved_hours_annual", share, share_scale)
+        .alias("women_time_saved_hours"),
+        _pair_sum(j, ["n_f", "n_i"], "h_single_parent").cast("bigint").alias("single_parents_reached"),
     ))
 
 

@@ -42,3 +42,26 @@ def test_hot_household_gold(spark):
     c = gold.gold_county_performance(fact, geo, prod, impact).first()
     assert c.households_reached == OTHERS + 1 and c.charcoal_stoves == OTHERS + 1
     assert c.co2_avoided == Decimal("0.5") * pairs
+
+
+def test_pair_counts_beyond_int_ranges(spark):
+    """2,000,000 adoptions on one household: 4e12 implied pairs, totals still exact."""
+    hot = 2_000_000
+    geo = spark.createDataFrame([(1, "A")], "geography_key long, county string")
+    prod = spark.createDataFrame([(10, "charcoal_stove", Decimal("100.00"), Decimal("1.00"))],
+                                 "product_key long, product_type string, "
+                                 "pm25_emissions_mg_m3 decimal(8,2), carbon_reduction_tons_year decimal(5,2)")
+    ids = F.col("id")
+    fact = spark.range(hot + 1).select(
+        ids.alias("adoption_key"),
+        F.when(ids < hot, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("household_key"),
+        F.lit(10).cast("long").alias("product_key"), F.lit(1).cast("long").alias("geography_key"),
+        F.lit(Decimal("0.50")).cast("decimal(3,2)").alias("usage_intensity"),
+        F.lit(Decimal("1.00")).cast("decimal(10,2)").alias("subsidy_amount"),
+        F.lit(Decimal("10.00")).cast("decimal(10,2)").alias("baseline_weekly_fuel_cost_ksh"))
+    impact = silver.silver_impact_calculations(fact, prod, geo)
+    r = gold.gold_executive_summary(fact, impact).first()
+    pairs = hot * hot + 1
+    assert r.total_co2_avoided_tons == 0.5 * pairs
+    assert r.total_dalys_avoided == float(Decimal("100.00") * Decimal("0.0245") * Decimal("0.5") * pairs)
+    assert r.total_subsidies == float(pairs)
