@@ -52,10 +52,12 @@ def test_pair_counts_beyond_int_ranges(spark):
                                  "product_key long, product_type string, "
                                  "pm25_emissions_mg_m3 decimal(8,2), carbon_reduction_tons_year decimal(5,2)")
     ids = F.col("id")
+    # Keys come from the row id, not literals: with literal keys Catalyst folds
+    # the dimension joins into a Cartesian product, which no real fact produces.
     fact = spark.range(hot + 1).select(
         ids.alias("adoption_key"),
         F.when(ids < hot, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("household_key"),
-        F.lit(10).cast("long").alias("product_key"), F.lit(1).cast("long").alias("geography_key"),
+        (ids % 1 + 10).alias("product_key"), (ids % 1 + 1).alias("geography_key"),
         F.lit(Decimal("0.50")).cast("decimal(3,2)").alias("usage_intensity"),
         F.lit(Decimal("1.00")).cast("decimal(10,2)").alias("subsidy_amount"),
         F.lit(Decimal("10.00")).cast("decimal(10,2)").alias("baseline_weekly_fuel_cost_ksh"))
