@@ -1,7 +1,8 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare.
 
-Usage: python tests/oracle_check.py [sf_dir] [name ...]
+Usage: python tests/oracle_check.py [--exact] [sf_dir] [name ...]
 Mirrors the driver's check: row count, column names, order-insensitive values.
+Floats are compared to 6 decimals, or bit for bit with ``--exact``.
 """
 
 from __future__ import annotations
@@ -19,15 +20,20 @@ from hearth.sources.tables import DRIVER_TABLES  # noqa: E402
 from hearth.session import build_session  # noqa: E402
 
 
+EXACT = False
+
+
 def norm(v):
     if v is None:
         return (0, "")
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (1, repr(round(v, 6)))
+        return (1, repr(v if EXACT else round(v, 6)))
     if hasattr(v, "is_integer") or isinstance(v, int):
-        return (1, repr(round(float(v), 6)) if not isinstance(v, (int, bool)) else str(int(v)))
+        if isinstance(v, (int, bool)):
+            return (1, str(int(v)))
+        return (1, repr(float(v) if EXACT else round(float(v), 6)))
     return (1, str(v))
 
 
@@ -43,7 +49,10 @@ def oracle_rows(con, sql):
 
 
 def main():
+    global EXACT
     args = sys.argv[1:]
+    if args and args[0] == "--exact":
+        EXACT, args = True, args[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:]
     reg = registry.load_all()
