@@ -4,9 +4,12 @@ The reference refreshes in daily batches: a created/modified timestamp filter
 followed by an upsert by natural key. Run as a stream with
 ``trigger(availableNow=True)``, each new set of delta files is processed
 exactly once (the checkpoint records which files were consumed) and the
-upsert runs per micro-batch in ``foreachBatch``. Every batch writes a new
-version folder of the table, so a failed batch never leaves a half-written
-table and is simply retried from the checkpoint.
+upsert runs per micro-batch in ``foreachBatch``. Batch ``b`` reads the newest
+complete version at or below ``b`` and writes version ``b + 1``. A version is
+complete once its ``_SUCCESS`` marker exists, so a batch that dies half way
+(a lost executor, a killed driver) leaves an incomplete folder that no reader
+uses. The retry of the same batch id reads the same base and overwrites that
+folder.
 """
 
 from __future__ import annotations
@@ -39,18 +42,47 @@ def stream_upsert(spark: SparkSession, source: str, schema: StructType | str, ta
     def merge(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        base = latest_version(spark, table)
+        base = spark.read.parquet(_version_path(table, _newest(spark, table, batch_id)))
         merged = upsert(base, batch, key, update_cols, order).drop("change")
-        merged.write.mode("overwrite").parquet(f"{table}/v={batch_id + 1}")
+        merged.write.mode("overwrite").parquet(_version_path(table, batch_id + 1))
 
     return (spark.readStream.schema(schema).parquet(source).writeStream
             .foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def _version_path(table: str, version: int) -> str:
+    return f"{table.rstrip('/')}/v={version}"
+
+
+def complete_versions(spark: SparkSession, table: str) -> list[int]:
+    """Version numbers whose folder holds a ``_SUCCESS`` marker, ascending.
+
+    Only the table's top-level folder is listed (one entry per version), on
+    the driver, through the Hadoop file system the session is configured for.
+    """
+    jvm = spark.sparkContext._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path
+    root = fs_path(table)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    out = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if (status.isDirectory() and name.startswith("v=") and name[2:].isdigit()
+                and fs.exists(fs_path(status.getPath(), "_SUCCESS"))):
+            out.append(int(name[2:]))
+    return sorted(out)
+
+
+def _newest(spark: SparkSession, table: str, at_most: int | None = None) -> int:
+    versions = [v for v in complete_versions(spark, table) if at_most is None or v <= at_most]
+    if not versions:
+        raise FileNotFoundError(f"no complete version under {table}")
+    return versions[-1]
+
+
 def latest_version(spark: SparkSession, table: str) -> DataFrame:
     """The newest complete version of a versioned table."""
-    from pyspark.sql import functions as F
-    versions = spark.read.parquet(table)
-    top = versions.agg(F.max("v")).first()[0]
-    return spark.read.parquet(f"{table}/v={top}")
+    return spark.read.parquet(_version_path(table, _newest(spark, table)))

@@ -35,6 +35,29 @@ def test_stream_upsert(spark):
     assert got == {1: (Decimal("10.00"), 3), 2: (Decimal("21.00"), None), 3: (Decimal("30.00"), 2)}
 
 
+def test_stream_upsert_ignores_incomplete_version(spark):
+    """A batch that died half way leaves a folder without _SUCCESS: nobody reads it."""
+    import os
+    base_dir = scratch_path(spark, "stream-table")
+    spark.createDataFrame([(1, Decimal("10"), 3)], "k long, income decimal(12,2), size int") \
+        .write.parquet(f"{base_dir}/v=0")
+    os.makedirs(f"{base_dir}/v=1")
+    with open(f"{base_dir}/v=1/part-00000.parquet", "wb") as fh:
+        fh.write(b"half written")
+    assert inc.complete_versions(spark, base_dir) == [0]
+    assert [r.k for r in inc.latest_version(spark, base_dir).collect()] == [1]
+    # the retried batch 0 reads v=0 and replaces the broken v=1
+    src = scratch_path(spark, "stream-src")
+    ck = scratch_path(spark, "stream-ck")
+    schema = "k long, ts timestamp, income decimal(12,2), size int"
+    spark.createDataFrame([(2, dt.datetime(2024, 1, 1), Decimal("20"), 1)], schema) \
+        .write.parquet(src + "/a")
+    q = inc.stream_upsert(spark, src + "/*", schema, base_dir, "k", ["income", "size"], ["ts"], ck)
+    q.awaitTermination(120)
+    assert inc.complete_versions(spark, base_dir) == [0, 1]
+    assert sorted(r.k for r in inc.latest_version(spark, base_dir).collect()) == [1, 2]
+
+
 def test_stream_incremental_extract(spark):
     src = scratch_path(spark, "inc-src")
     sink = scratch_path(spark, "inc-sink")
