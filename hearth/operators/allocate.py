@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.impact import (DEFAULT_ALLOCATION, AllocationCoefficients,
@@ -161,19 +161,22 @@ def allocate(units: DataFrame, scenarios: Sequence[tuple]) -> DataFrame:
     )
 
 
-def scenario_summary(allocation: DataFrame) -> DataFrame:
-    """One row per scenario (unweighted mean penetration)."""
+def _summary_measures() -> list[Column]:
     inv = F.sum("investment_usd")
     hh = F.sum("households_allocated")
-    return (allocation.groupBy(*SCENARIO_KEYS, "objective_order")
-            .agg(F.first("status").alias("status"),
-                 hh.alias("total_households"),
-                 F.sum("lives_saved").alias("total_lives_saved"),
-                 F.sum("co2_avoided_tons").alias("total_co2_avoided_tons"),
-                 inv.alias("total_investment"),
-                 (inv / F.first("budget_usd") * 100).alias("budget_utilization_pct"),
-                 (inv / hh).alias("avg_cost_per_household"),
-                 F.avg("penetration_achieved_pct").alias("avg_penetration_pct")))
+    return [F.first("status").alias("status"),
+            hh.alias("total_households"),
+            F.sum("lives_saved").alias("total_lives_saved"),
+            F.sum("co2_avoided_tons").alias("total_co2_avoided_tons"),
+            inv.alias("total_investment"),
+            (inv / F.first("budget_usd") * 100).alias("budget_utilization_pct"),
+            (inv / hh).alias("avg_cost_per_household"),
+            F.avg("penetration_achieved_pct").alias("avg_penetration_pct")]
+
+
+def scenario_summary(allocation: DataFrame) -> DataFrame:
+    """One row per scenario (unweighted mean penetration)."""
+    return allocation.groupBy(*SCENARIO_KEYS, "objective_order").agg(*_summary_measures())
 
 
 def equity_tradeoff(summary: DataFrame) -> DataFrame:
@@ -191,14 +194,17 @@ def equity_tradeoff(summary: DataFrame) -> DataFrame:
                            F.when(wo > 0, (wo - wi) / wo * 100))
 
 
+def _rank_window(by: str, money: bool) -> WindowSpec:
+    key = F.round(F.col(by), 2) if money else F.col(by)
+    return Window.partitionBy(*SCENARIO_KEYS).orderBy(key.desc(), F.col("county").asc())
+
+
 def top_units(allocation: DataFrame, by: str, k: int, money: bool = False) -> DataFrame:
     """Top-k counties per scenario; ties broken by county name.
 
     Money is compared rounded to cents so float noise cannot reorder ties.
     """
-    key = F.round(F.col(by), 2) if money else F.col(by)
-    w = Window.partitionBy(*SCENARIO_KEYS).orderBy(key.desc(), F.col("county").asc())
-    return (allocation.withColumn("rank", F.row_number().over(w))
+    return (allocation.withColumn("rank", F.row_number().over(_rank_window(by, money)))
             .where(F.col("rank") <= k))
 
 
@@ -206,26 +212,36 @@ def _money(x: Column, decimals: int) -> Column:
     return F.format_number(x, decimals)
 
 
-def recommendation_table(allocation: DataFrame, summary: DataFrame) -> DataFrame:
-    """Per-scenario headline row with the top-3 counties by investment."""
-    top = (top_units(allocation, "investment_usd", 3, money=True)
-           .groupBy(*SCENARIO_KEYS)
-           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "county"))),
-                                         lambda s: s["county"]), ", ").alias("top_3_counties")))
+def recommendation_table(allocation: DataFrame, k: int = 3) -> DataFrame:
+    """Per-scenario headline row with the top-k counties by investment.
+
+    One pass: counties are ranked by a window partitioned by scenario, and the
+    same grouped aggregate computes the scenario totals and collects the
+    counties ranked 1..k (``collect_list`` skips the NULLs of the others, so
+    it holds at most k entries). Its keys include the window's partition
+    keys, so no further shuffle and no join are needed.
+    """
+    ranked = allocation.withColumn("rank", F.row_number().over(
+        _rank_window("investment_usd", money=True)))
+    top = F.collect_list(F.when(F.col("rank") <= k, F.struct("rank", "county")))
+    per = ranked.groupBy(*SCENARIO_KEYS, "objective_order").agg(
+        *_summary_measures(),
+        F.array_join(F.transform(F.array_sort(top), lambda s: s["county"]), ", ")
+        .alias(f"top_{k}_counties"))
     b = F.col("budget_usd")
     label = (F.when(b >= 1e6, F.concat(F.lit("$"), F.format_number(b / 1e6, 0), F.lit("M")))
              .otherwise(F.concat(F.lit("$"), F.format_number(b / 1e3, 0), F.lit("K"))))
-    return (summary.join(top, SCENARIO_KEYS, "left").select(
+    return per.select(
         *SCENARIO_KEYS, "status",
         label.alias("budget_label"),
         F.initcap(F.regexp_replace("objective", "_", " ")).alias("objective_label"),
         _money(F.col("total_households"), 0).alias("households_text"),
         _money(F.col("total_lives_saved"), 1).alias("lives_saved_text"),
         _money(F.col("total_co2_avoided_tons"), 0).alias("co2_avoided_text"),
-        "top_3_counties",
+        f"top_{k}_counties",
         F.concat(F.lit("$"), _money(F.col("avg_cost_per_household"), 2)).alias("avg_cost_text"),
         "total_households", "total_lives_saved", "total_co2_avoided_tons",
-        "avg_cost_per_household"))
+        "avg_cost_per_household")
 
 
 def allocation_efficiency(allocation: DataFrame) -> DataFrame:

@@ -27,8 +27,7 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None,
     counties = A.county_profile(s.dim_geography, s.dim_household)
     base = A.weighted_product_cost(A.product_economics(s.dim_product))
     alloc = A.allocate(A.county_units(counties, base), A.scenario_grid(budgets, floors=(floor,)))
-    summary = A.scenario_summary(alloc)
-    write_csv(A.recommendation_table(alloc, summary).drop("min_allocation_pct"),
+    write_csv(A.recommendation_table(alloc).drop("min_allocation_pct"),
               f"{out}/recommendations")
     (alloc.select("budget_usd", "objective", *ALLOCATION_COLUMNS)
      .write.mode("overwrite").option("header", True)

@@ -271,8 +271,7 @@ FROM summary s LEFT JOIN top t ON s.budget_usd = t.budget_usd AND s.objective =
 """, measures=("budget_usd", "min_allocation_pct", "total_households", "total_lives_saved",
                "total_co2_avoided_tons", "avg_cost_per_household"), scale=4, ops="M5 L2 C2 C3")
 def q_recommendation(t):
-    alloc = _alloc(t)
-    return A.recommendation_table(alloc, A.scenario_summary(alloc))
+    return A.recommendation_table(_alloc(t))
 
 
 @register("quota_allocation", UNITS_SQL + """
