@@ -15,14 +15,17 @@ EQUITY_BUDGET = 500000.0
 
 
 def _units(t):
-    s = t.star
-    counties = A.county_profile(s.dim_geography, s.dim_household)
-    base = A.weighted_product_cost(A.product_economics(s.dim_product))
-    return A.county_units(counties, base)
+    def make():
+        s = t.star
+        counties = A.county_profile(s.dim_geography, s.dim_household)
+        base = A.weighted_product_cost(A.product_economics(s.dim_product))
+        return A.county_units(counties, base)
+    return t.derived("alloc_units", make)
 
 
 def _alloc(t, budgets=BUDGETS, floors=(FLOOR,)):
-    return A.allocate(_units(t), A.scenario_grid(budgets, floors=floors))
+    return t.derived(("alloc", tuple(budgets), tuple(floors)),
+                     lambda: A.allocate(_units(t), A.scenario_grid(budgets, floors=floors)))
 
 
 _W = ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in AC.product_weights.items())

@@ -22,6 +22,13 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    # With the UI off nobody reads the driver's in-memory job/stage/task/SQL
+    # history; keeping it short stops a driver that runs many queries from
+    # slowing down as that history (and its GC load) grows.
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "100",
+    "spark.ui.retainedTasks": "2000",
+    "spark.sql.ui.retainedExecutions": "50",
 }
 
 

@@ -51,6 +51,13 @@ class Tables:
             return df
         raise AttributeError(name)
 
+    def derived(self, key, make):
+        """A lazy DataFrame derived from these tables, built once per ``key``."""
+        memo = self.__dict__.setdefault("_derived", {})
+        if key not in memo:
+            memo[key] = make()
+        return memo[key]
+
     @cached_property
     def star(self):
         from .adapters import StarSchema
