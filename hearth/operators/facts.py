@@ -103,25 +103,41 @@ def impact_monthly(adoptions: DataFrame, products: DataFrame, geography: DataFra
     The reference defines the grain but no formula; this plan's rule is the
     annual measure / 12 for each of the ``months`` months from the adoption
     month. Every measure but fuel is (per-product constant) x usage, and the
-    product is a grouping key, so the exploded rows carry only sum(usage) and
+    product is a grouping key, so the rows carry only sum(usage) and
     sum(weekly fuel x usage); the product join and the multiplications run
     after the aggregation, on one row per (household, product, month).
     Adoptions without a county drop out first (left semi join), as in the
     silver impact view.
+
+    Plan: adoptions are first reduced per (household, product, start month)
+    with map-side combine, so a hot household costs one partial row per
+    start month and map task. Those rows are hash-partitioned on (household,
+    product); each then expands to its ``months`` months and the final
+    aggregate runs inside the partition, which already satisfies the
+    (household, product, month) grouping. The shuffles carry the reduced
+    rows, not the ``months``-fold expansion, and a (household, product) holds
+    at most one row per distinct start month.
     """
     u = F.col("usage_intensity")
     f = adoptions.join(geography.select("geography_key"), "geography_key", "left_semi")
-    start = F.trunc(F.col("adoption_date"), "month")
-    rows = f.select("household_key", "product_key", u,
-                    (F.col("baseline_weekly_fuel_cost_ksh") * u).alias("fuel_u"),
-                    F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("m"),
-                    start.alias("start_month"))
+    pre = (f.groupBy("household_key", "product_key",
+                     F.trunc(F.col("adoption_date"), "month").alias("start_month"))
+           .agg(F.sum(u).alias("su"),
+                F.sum(F.col("baseline_weekly_fuel_cost_ksh") * u).alias("sfu"),
+                F.count(F.lit(1)).alias("n"), F.max(u).alias("mx")))
+    # Sums of sums keep the first-level types, so the decimal arithmetic below
+    # (and its exactness) is the same as summing the adoption rows directly.
+    su_type = pre.schema["su"].dataType.simpleString()
+    sfu_type = pre.schema["sfu"].dataType.simpleString()
+    rows = (pre.repartition("household_key", "product_key")
+            .select("household_key", "product_key", "su", "sfu", "n", "mx", "start_month",
+                    F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("m")))
     month = F.add_months(F.col("start_month"), F.col("m"))
     agg = (rows.withColumn("month_key", (F.year(month) * 100 + F.month(month)).cast("int"))
            .groupBy("household_key", "product_key", "month_key")
-           .agg(F.sum(u).alias("su"), F.sum("fuel_u").alias("sfu"),
-                F.count(F.lit(1)).alias("active_adoptions"),
-                F.max(u).cast("double").alias("stove_stacking_ratio")))
+           .agg(F.sum("su").cast(su_type).alias("su"), F.sum("sfu").cast(sfu_type).alias("sfu"),
+                F.coalesce(F.sum("n"), F.lit(0)).alias("active_adoptions"),
+                F.max("mx").cast("double").alias("stove_stacking_ratio")))
     p = products.select("product_key", "carbon_reduction_tons_year", "pm25_emissions_mg_m3")
     m = impact_columns(F.col("carbon_reduction_tons_year"), F.col("pm25_emissions_mg_m3"),
                        F.col("su"), F.lit(0), coef)

@@ -67,3 +67,61 @@ def test_pair_counts_beyond_int_ranges(spark):
     assert r.total_co2_avoided_tons == 0.5 * pairs
     assert r.total_dalys_avoided == float(Decimal("100.00") * Decimal("0.0245") * Decimal("0.5") * pairs)
     assert r.total_subsidies == float(pairs)
+
+
+def test_impact_monthly_hot_household_matches_direct_expansion(spark):
+    """A17 staged plan == expand every adoption to 12 months, then aggregate."""
+    import datetime as dt
+
+    from hearth.operators import facts
+
+    geo = spark.createDataFrame([(1, "A")], "geography_key long, county string")
+    prod = spark.createDataFrame(
+        [(10, Decimal("100.00"), Decimal("1.00")), (11, Decimal("40.00"), Decimal("0.25"))],
+        "product_key long, pm25_emissions_mg_m3 decimal(8,2), carbon_reduction_tons_year decimal(5,2)")
+    ids = F.col("id")
+    hot = 30_000
+    # household 0 holds `hot` rows over two products and three start months;
+    # households 1..99 one row each; geography 2 has no county and drops out
+    fact = spark.range(hot + 100).select(
+        F.when(ids < hot, F.lit(0)).otherwise(ids - hot + 1).alias("household_key"),
+        (F.lit(10) + ids % 2).alias("product_key"),
+        F.when(ids % 97 == 0, F.lit(2)).otherwise(F.lit(1)).cast("long").alias("geography_key"),
+        F.date_add(F.lit(dt.date(2024, 1, 31)), (ids % 3 * 29).cast("int")).alias("adoption_date"),
+        ((ids % 101).cast("decimal(5,2)") * Decimal("0.01")).cast("decimal(3,2)").alias("usage_intensity"),
+        (ids % 1500).cast("decimal(10,2)").alias("baseline_weekly_fuel_cost_ksh"))
+    got = facts.impact_monthly(fact, prod, geo)
+
+    u = F.col("usage_intensity")
+    rows = (fact.where("geography_key = 1")
+            .select("household_key", "product_key", u,
+                    (F.col("baseline_weekly_fuel_cost_ksh") * u).alias("fu"),
+                    F.explode(F.sequence(F.lit(0), F.lit(11))).alias("m"),
+                    F.trunc("adoption_date", "month").alias("s")))
+    mth = F.add_months("s", F.col("m"))
+    direct = (rows.groupBy("household_key", "product_key",
+                           (F.year(mth) * 100 + F.month(mth)).cast("int").alias("month_key"))
+              .agg(F.sum(u).alias("su"), F.sum("fu").alias("sfu"),
+                   F.count(F.lit(1)).alias("active_adoptions"),
+                   F.max(u).cast("double").alias("stove_stacking_ratio"))
+              .join(prod, "product_key")
+              .select("household_key", "product_key", "month_key",
+                      (F.col("carbon_reduction_tons_year") * F.col("su")).cast("double").alias("co2"),
+                      (F.col("sfu") * 52).cast("double").alias("fuel"),
+                      "active_adoptions", "stove_stacking_ratio"))
+    g = got.select("household_key", "product_key", "month_key",
+                   (F.col("co2_avoided_tons") * 12).alias("co2"),
+                   (F.col("fuel_cost_savings_ksh") * 12).alias("fuel"),
+                   "active_adoptions", "stove_stacking_ratio")
+    a = {(r[0], r[1], r[2]): r for r in g.collect()}
+    b = {(r[0], r[1], r[2]): r for r in direct.collect()}
+    assert a.keys() == b.keys()
+    for k, r in b.items():
+        x = a[k]
+        assert x.active_adoptions == r.active_adoptions
+        assert x.stove_stacking_ratio == r.stove_stacking_ratio
+        assert abs(x.co2 - r.co2) <= 1e-9 * max(1.0, abs(r.co2))
+        assert abs(x.fuel - r.fuel) <= 1e-9 * max(1.0, abs(r.fuel))
+    hot_rows = [r for k, r in b.items() if k[0] == 0]
+    assert sum(r.active_adoptions for r in hot_rows) == 12 * fact.where(
+        "household_key = 0 AND geography_key = 1").count()
