@@ -52,9 +52,38 @@ def build_session(master: str | None = None, app: str = "hearth",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    if not shuffle_partitions:
+        size_shuffles(spark)
     return spark
 
 
+# Floor for the initial shuffle partition count on a cluster.
+MIN_INITIAL_SHUFFLE_PARTITIONS = 8192
+
+
+def size_shuffles(spark: SparkSession) -> None:
+    """On a cluster, start every shuffle wide and let AQE coalesce it.
+
+    AQE can merge small shuffle partitions but never split a large one (only
+    skewed join partitions are split). So a shuffle starts from at least
+    ``MIN_INITIAL_SHUFFLE_PARTITIONS`` (or four per core) partitions. AQE then
+    coalesces them towards ``advisoryPartitionSizeInBytes`` (128 MB), not
+    towards the core count (``parallelismFirst`` off, as recommended for
+    shared clusters). Nothing changes on ``local`` masters, and settings the
+    job was submitted with are kept.
+    """
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        return
+    submitted = sc.getConf()
+    if not (submitted.contains("spark.sql.shuffle.partitions")
+            or submitted.contains("spark.sql.adaptive.coalescePartitions.initialPartitionNum")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                       str(max(MIN_INITIAL_SHUFFLE_PARTITIONS, 4 * sc.defaultParallelism)))
+    if not submitted.contains("spark.sql.adaptive.coalescePartitions.parallelismFirst"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
