@@ -91,11 +91,17 @@ _IMPACT_MEASURES = ("co2_avoided_annual", "carbon_credit_value_usd", "mortality_
                     "healthcare_savings_annual_ksh", "stacking_ratio")
 
 
+def _impact(t):
+    """V3 over the single-adoption fact, shared by every gold query built on ``t``."""
+    s = t.star
+    return t.derived("silver_impact", lambda: silver.silver_impact_calculations(
+        s.fact_adoptions, s.dim_product, s.dim_geography))
+
+
 @register("silver_impact_calculations", _IMPACT_SQL.format(fact="fact_adoptions"),
           measures=_IMPACT_MEASURES, scale=10, ops="V3 F17 F6")
 def q_silver_impact(t):
-    s = t.star
-    return silver.silver_impact_calculations(s.fact_adoptions, s.dim_product, s.dim_geography)
+    return _impact(t)
 
 
 # ------------------------------------------------------------------- gold
@@ -122,7 +128,7 @@ FROM fact_adoptions f JOIN silver_impact_calculations i ON f.household_key = i.h
                "avg_subsidy_per_household", "pct_of_goal_achieved"), ops="G4 A4 J5")
 def q_gold_exec(t):
     s = t.star
-    impact = silver.silver_impact_calculations(s.fact_adoptions, s.dim_product, s.dim_geography)
+    impact = _impact(t)
     return gold.gold_executive_summary(s.fact_adoptions, impact)
 
 
@@ -154,7 +160,7 @@ _COUNTY_PERF_MEASURES = ("poverty_rate", "electrification_rate", "penetration_ra
           measures=_COUNTY_PERF_MEASURES, ops="G5 A5 A8 J5", headline=True)
 def q_gold_county(t):
     s = t.star
-    impact = silver.silver_impact_calculations(s.fact_adoptions, s.dim_product, s.dim_geography)
+    impact = _impact(t)
     return gold.gold_county_performance(s.fact_adoptions, s.dim_geography, s.dim_product, impact)
 
 
@@ -184,7 +190,7 @@ GROUP BY g.county
     ops="G6 A6 F10")
 def q_gold_health(t):
     s = t.star
-    impact = silver.silver_impact_calculations(s.fact_adoptions, s.dim_product, s.dim_geography)
+    impact = _impact(t)
     return gold.gold_donor_health_impact(s.fact_adoptions, s.dim_household, s.dim_geography, impact)
 
 
@@ -203,7 +209,7 @@ GROUP BY g.county
     ops="G7 A9")
 def q_gold_env(t):
     s = t.star
-    impact = silver.silver_impact_calculations(s.fact_adoptions, s.dim_product, s.dim_geography)
+    impact = _impact(t)
     return gold.gold_donor_environment_impact(s.fact_adoptions, s.dim_product, s.dim_geography, impact)
 
 
@@ -221,7 +227,7 @@ GROUP BY g.county
 """, measures=("total_time_saved_hours", "women_time_saved_hours"), ops="G8 A9")
 def q_gold_gender(t):
     s = t.star
-    impact = silver.silver_impact_calculations(s.fact_adoptions, s.dim_product, s.dim_geography)
+    impact = _impact(t)
     return gold.gold_donor_gender_impact(s.fact_adoptions, s.dim_household, s.dim_geography, impact)
 
 

@@ -165,8 +165,9 @@ FROM ex, (SELECT SUM(households_reached) AS county_households,
 
 @register("gold_checks", _gold_checks_sql(), ops="Q9")
 def q_gold_checks(t):
+    from .queries import _impact
     s = t.star
-    impact = silver.silver_impact_calculations(s.fact_adoptions, s.dim_product, s.dim_geography)
+    impact = _impact(t)
     ex = gold.gold_executive_summary(s.fact_adoptions, impact)
     cp = gold.gold_county_performance(s.fact_adoptions, s.dim_geography, s.dim_product, impact)
     return quality.gold_checks(ex, cp)

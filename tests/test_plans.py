@@ -48,3 +48,11 @@ def test_scans_read_only_needed_columns(plans):
                 cols = [c for c in m.group(1).split(",") if c.strip()]
                 assert len(cols) < widths[table], (name, table, cols)
     assert seen > 0
+
+
+def test_tables_opened_once_per_session_and_folder(spark):
+    a = registry.tables(spark, SF001)
+    assert registry.tables(spark, SF001) is a
+    assert a.star.dim_geography is registry.tables(spark, SF001).star.dim_geography
+    b = registry.tables(spark, SF001, fresh=True)
+    assert b is not a and registry.tables(spark, SF001) is b
