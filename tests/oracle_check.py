@@ -23,23 +23,24 @@ from hearth.session import build_session  # noqa: E402
 EXACT = False
 
 
-def norm(v):
+def norm(v, exact=None):
+    exact = EXACT if exact is None else exact
     if v is None:
         return (0, "")
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (1, repr(v if EXACT else round(v, 6)))
+        return (1, repr(v if exact else round(v, 6)))
     if hasattr(v, "is_integer") or isinstance(v, int):
         if isinstance(v, (int, bool)):
             return (1, str(int(v)))
-        return (1, repr(float(v) if EXACT else round(float(v), 6)))
+        return (1, repr(float(v) if exact else round(float(v), 6)))
     return (1, str(v))
 
 
-def canon(cols, rows):
+def canon(cols, rows, exact=None):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted(tuple(norm(r[i]) for i in order) for r in rows), [cols[i] for i in order]
+    return sorted(tuple(norm(r[i], exact) for i in order) for r in rows), [cols[i] for i in order]
 
 
 def oracle_rows(con, sql):

@@ -1,4 +1,4 @@
-"""Every registered query vs its DuckDB oracle on the sf0.001 tables."""
+"""Every registered query vs its DuckDB oracle on the sf0.001 tables, floats bit for bit."""
 
 import duckdb
 import pytest
@@ -28,8 +28,8 @@ def test_query_matches_oracle(spark, con, name):
         assert len(df.columns) > 0
         return
     ocols, orows = oracle_rows(con, sql)
-    a, ac = canon(df.columns, rows)
-    b, bc = canon(ocols, orows)
+    a, ac = canon(df.columns, rows, exact=True)
+    b, bc = canon(ocols, orows, exact=True)
     assert ac == bc
     assert len(a) == len(b)
     assert a == b
