@@ -40,3 +40,18 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+# Spark simple type name -> DuckDB type name (DECIMAL(p,s) maps by upper case).
+DUCKDB_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+               "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if registry.oracle(n) is not None])
+def test_query_types_match_oracle(spark, con, name):
+    df = registry.build(name, spark, SF001)
+    rel = con.sql(registry.oracle(name))
+    oracle_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert DUCKDB_TYPE.get(t, t.upper()) == oracle_types.get(f.name), (f.name, t)
