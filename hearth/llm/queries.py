@@ -5,13 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, secret_scan, simhash
+from . import (embed_dedup, license_scan, mixing, neighbours, packing, quality, secret_scan, sharding,
+               simhash, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc(spark, sf_dir):
+    manifest = warc.write(_table(spark, sf_dir, "pages"))
+    return warc.read(spark, manifest).drop("archive")
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+r AS (SELECT *, row_number() OVER (PARTITION BY d, n ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS place,
+             max(page_id) OVER (PARTITION BY d, n) AS last FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND place > 1 THEN last END AS refers_to FROM r"""
+
+
 def op2_mixing(spark, sf_dir):
     return (mixing.plan(_table(spark, sf_dir, "documents"), ["doc_id"])
             .orderBy(F.col("position").asc_nulls_last(), "_order")
@@ -48,6 +63,35 @@ def op4_secret_scan(spark, sf_dir):
     return secret_scan.report(_table(spark, sf_dir, "documents"))
 
 
+def op5_embed_dedup(spark, sf_dir):
+    return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+OP5_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND NOT list_has_any(list_transform(e, lambda x: coalesce(isfinite(x), false)), [false])
+       AND list_has_any(list_transform(e, lambda x: x <> 0), [true])),
+link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+         AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM link GROUP BY x)
+SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, comp.c AS component_id, v.vec_id = comp.c AS kept
+FROM v JOIN comp ON comp.x = v.vec_id LEFT JOIN n ON n.x = v.vec_id"""
+
+
+def op6_sharding(spark, sf_dir):
+    return sharding.shard(_table(spark, sf_dir, "documents"))
+
+
+def op7_neighbours(spark, sf_dir):
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0).orderBy("query_id", "rank")
+
+
+def op8_license_scan(spark, sf_dir):
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
@@ -61,5 +105,6 @@ def op10_simhash(spark, sf_dir):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_packing, op4_secret_scan, op9_quality, op10_simhash)}
-ORACLES = {"op2_mixing": OP2_SQL}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_packing, op4_secret_scan, op5_embed_dedup, op6_sharding,
+                                   op7_neighbours, op8_license_scan, op9_quality, op10_simhash)}
+ORACLES = {"op1_warc": OP1_SQL, "op2_mixing": OP2_SQL, "op5_embed_dedup": OP5_SQL}
