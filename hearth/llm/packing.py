@@ -31,7 +31,8 @@ CAPACITY = 2048
 CLASSES = 16
 SLACK = 6
 END_ID = 1
-CACHE = 300_000   # chunks whose ids a worker remembers
+CACHE = 200_000   # chunks whose ids a worker remembers
+EMIT = 4096       # pieces a task holds before it hands them on
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
@@ -194,7 +195,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, classes: int = CLASSES, slac
                     part = ids[4 * at:4 * (at + n)]
                     packer.add((doc, at, n, zlib.crc32(part), total, part if emit_ids else None))
                     at += n
-            yield table()
+                if len(packer.out) >= EMIT:
+                    yield table()
         packer.finish()
         yield table()
 
