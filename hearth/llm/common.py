@@ -39,6 +39,14 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] for n in names])
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` has it (names differ in case only count as equal)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def min_nulls_last(col: str) -> list:
     """Sort key fields under which a null is larger than every value."""
     return [F.col(col).isNull(), F.col(col)]

@@ -87,7 +87,7 @@ def time_of(share: Column, knots) -> Column:
 
 def plan(docs: DataFrame, keep: list[str], weights=WEIGHTS, schedules=SCHEDULES, share: float = SHARE,
          cap: int = CAP, per_bucket: int = PER_BUCKET) -> DataFrame:
-    """One row per document: ``keep`` columns, size, source_size, target, taken, passes, part, position, copies.
+    """One row per document: ``row`` (a struct of the ``keep`` columns), size, source_size, target, taken, passes, part, position, copies.
 
     ``passes`` whole copies and ``part`` words of one more are taken; ``copies`` holds a
     struct (pass, words, position) of each, ``position`` is the first one's.
@@ -99,7 +99,7 @@ def plan(docs: DataFrame, keep: list[str], weights=WEIGHTS, schedules=SCHEDULES,
     buckets = 1 << min(20, max(6, math.ceil(math.log2(max(1, docs.count() / per_bucket)))))
     key = F.md5(F.coalesce(docs["doc_id"].cast("string"), F.lit("")).cast("binary"))
     rows = docs.select(
-        *[docs[c] for c in keep],
+        F.struct(*[docs[c] for c in keep]).alias("row"),
         F.coalesce(F.concat(F.lit("s"), docs["source"]), F.lit("n")).alias("_source"),
         key.alias("_order"), docs["doc_id"].alias("_id"), word_count(docs["text"]).alias("_size"),
         F.floor(F.conv(F.substring(key, 1, 5), 16, 10).cast("bigint") * buckets / (1 << 20)).cast("int").alias("_bucket"))
@@ -138,7 +138,7 @@ def plan(docs: DataFrame, keep: list[str], weights=WEIGHTS, schedules=SCHEDULES,
     copies = F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), F.greatest(n, F.lit(1)) - 1), lambda i: F.struct(
         i.alias("pass"), F.when(i < F.col("passes"), F.col("_size")).otherwise(F.col("part")).alias("words"),
         position(i).alias("position")))).otherwise(F.array())
-    return out.select(*keep, F.col("_size").alias("size"), "source_size", "target", "taken", "passes", "part",
+    return out.select("row", F.col("_size").alias("size"), "source_size", "target", "taken", "passes", "part",
                       F.when(n > 0, position(F.lit(0))).alias("position"), copies.alias("copies"), "_order")
 
 
@@ -150,9 +150,12 @@ def training_order(docs: DataFrame, **options) -> DataFrame:
     """
     columns = docs.columns
     mixed = plan(docs, columns, **options).where("taken > 0")
-    rows = mixed.select(*columns, "size", "_order", F.explode("copies").alias("_copy"))
-    text = F.when(F.col("_copy.words") < F.col("size"), first_words(F.col("text"), F.col("_copy.words"))).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
+    rows = mixed.select("row", "size", "_order", F.explode("copies").alias("copy"))
+    text = F.col("row.text")
+    rows = rows.withColumn("text", F.when(F.col("copy.words") < F.col("size"),
+                                          first_words(text, F.col("copy.words"))).otherwise(text))
+    new = {"text": F.col("text")}
     if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.orderBy("_copy.position", "_order", "_copy.pass").select(*columns)
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return (rows.orderBy("copy.position", "_order", "copy.pass")
+            .select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in columns]))

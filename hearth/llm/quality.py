@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, pick
+from .common import fresh, materialise, pick
 
 DIM = 1 << 18
 MAX_LABELLED = 12_000
@@ -144,11 +144,15 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
 
 def score(docs: DataFrame, model: OrdinalModel, keep_tail: float = KEEP_TAIL) -> DataFrame:
-    """All columns of ``docs`` plus ``_expected``, ``_tail`` and ``_keep``; one pass, no shuffle."""
+    """All columns of ``docs``, then the expected grade, the tail probability and whether it is kept.
+
+    The three last columns are ``_expected``, ``_tail`` and ``_keep``, lengthened by underscores where
+    ``docs`` has such names. One pass, no shuffle.
+    """
     from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-    schema = StructType([*docs.schema.fields, StructField("_expected", DoubleType()),
-                         StructField("_tail", DoubleType()), StructField("_keep", BooleanType())])
+    schema = StructType([*docs.schema.fields, StructField(fresh("_expected", docs), DoubleType()),
+                         StructField(fresh("_tail", docs), DoubleType()), StructField(fresh("_keep", docs), BooleanType())])
     shared = docs.sparkSession.sparkContext.broadcast(
         (np.flatnonzero(model.weights).astype(np.int32), model.weights[model.weights != 0], model.thresholds))
     at = docs.columns.index("text")
@@ -174,4 +178,5 @@ def select(docs: DataFrame, labels: DataFrame, keep_tail: float = KEEP_TAIL,
            max_labelled: int = MAX_LABELLED) -> DataFrame:
     """The rows of ``docs`` whose tail probability reaches ``keep_tail``, all columns kept."""
     model = train(docs, labels, max_labelled)
-    return score(docs, model, keep_tail).where("_keep").drop("_expected", "_tail", "_keep")
+    scored = score(docs, model, keep_tail)
+    return scored.where(F.col(scored.columns[-1])).select(*docs.columns)

@@ -30,7 +30,7 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 def op2_mixing(spark, sf_dir):
     return (mixing.plan(_table(spark, sf_dir, "documents"), ["doc_id"])
             .orderBy(F.col("position").asc_nulls_last(), "_order")
-            .select("doc_id", "size", "source_size", "target", "taken"))
+            .select("row.doc_id", "size", "source_size", "target", "taken"))
 
 
 OP2_SQL = r"""

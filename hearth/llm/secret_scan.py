@@ -23,7 +23,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, materialise
+from .common import broadcast_if_small, fresh, materialise
 
 # The base patterns and the least length of what each must hold.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -152,21 +152,22 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
     Documents meet their spans by (doc_id, text hash); equal rows have equal spans.
     """
     _, judged = spans(docs, **options)
+    cut, cut_id, cut_hash = (fresh(n, docs) for n in ("cuts", "cut_id", "cut_hash"))
     cuts = materialise(judged.where("verdict <> 'example'").groupBy("doc_id", "text_hash")
-                       .agg(F.collect_set(F.struct(F.col("from").alias("s"), F.col("end").alias("e"))).alias("_cuts")),
-                       "secret-cuts").withColumnsRenamed({"doc_id": "_cut_id", "text_hash": "_cut_hash"})
-    joined = docs.join(broadcast_if_small(cuts, 256), docs["doc_id"].cast("bigint").eqNullSafe(F.col("_cut_id"))
-                       & (F.xxhash64(docs["text"]) == F.col("_cut_hash")), "left").drop("_cut_id", "_cut_hash")
+                       .agg(F.collect_set(F.struct(F.col("from").alias("s"), F.col("end").alias("e"))).alias(cut)),
+                       "secret-cuts").withColumnsRenamed({"doc_id": cut_id, "text_hash": cut_hash})
+    joined = docs.join(broadcast_if_small(cuts, 256), docs["doc_id"].cast("bigint").eqNullSafe(F.col(cut_id))
+                       & (F.xxhash64(docs["text"]) == F.col(cut_hash)), "left").drop(cut_id, cut_hash)
     # pieces between the merged cuts: (end of what is masked so far, text so far)
     state = F.aggregate(
-        F.array_sort("_cuts"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        F.array_sort(cut), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda a, c: F.when(c["e"] <= a["at"], a).otherwise(F.struct(
             c["e"].alias("at"),
             F.concat(a["out"], F.when(c["s"] >= a["at"], F.concat(
                 F.substring(F.col("text"), a["at"] + 1, c["s"] - a["at"]), F.lit(mask))).otherwise(F.lit(""))).alias("out"))),
         lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.lit(1 << 30))))
-    out = joined.withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(state))
+    out = joined.withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(state))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cuts").isNull(), F.col("n_chars"))
+        out = out.withColumn("n_chars", F.when(F.col(cut).isNull(), F.col("n_chars"))
                              .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (broadcast_if_small, components, group_roots, materialise, min_nulls_last,
+from .common import (broadcast_if_small, components, fresh, group_roots, materialise, min_nulls_last,
                      pick, run_bounds, sorted_runs)
 
 BITS = 64
@@ -143,12 +143,13 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     cases = materialise(judged.groupBy("doc_id", "text_hash")
                         .agg(F.max("lost").alias("lost"), F.count(F.lit(1)).alias("n"))
                         .where("lost or n > 1"), "simhash-cases")
-    losers = broadcast_if_small(cases.where("lost").select(F.col("doc_id").alias("_lost_id"),
-                                                           F.col("text_hash").alias("_lost_hash")), 32)
-    text_hash = F.xxhash64(docs["text"])
-    kept = docs.join(losers, docs["doc_id"].cast("bigint").eqNullSafe(F.col("_lost_id"))
-                     & (text_hash == F.col("_lost_hash")), "left_anti")
+    lost_id, lost_hash = fresh("lost_id", docs), fresh("lost_hash", docs)
+    losers = broadcast_if_small(cases.where("lost").select(F.col("doc_id").alias(lost_id),
+                                                           F.col("text_hash").alias(lost_hash)), 32)
+    kept = docs.join(losers, docs["doc_id"].cast("bigint").eqNullSafe(F.col(lost_id))
+                     & (F.xxhash64(docs["text"]) == F.col(lost_hash)), "left_anti")
     if cases.where("not lost").isEmpty():
         return kept
     # repeated winners: the same id and text more than once
-    return kept.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    text_hash = fresh("text_hash", docs)
+    return kept.withColumn(text_hash, F.xxhash64("text")).dropDuplicates(["doc_id", text_hash]).drop(text_hash)
