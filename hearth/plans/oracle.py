@@ -71,7 +71,7 @@ multi_src AS (
 ),
 fact_adoptions AS (
   SELECT o_orderkey AS adoption_key, o_custkey AS household_key,
-         CAST(o_orderkey % 200 AS BIGINT) AS product_key,
+         CAST(o_orderkey % (SELECT greatest(COUNT(*), 1) FROM part) AS BIGINT) AS product_key,
          CAST(c_nationkey AS BIGINT) AS geography_key,
          CAST(o_orderdate AS DATE) AS adoption_date,
          CAST(strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS INTEGER) AS adoption_date_key,
@@ -85,7 +85,7 @@ fact_adoptions AS (
 ),
 fact_adoptions_multi AS (
   SELECT o_orderkey AS adoption_key, o_custkey AS household_key,
-         CAST(o_orderkey % 200 AS BIGINT) AS product_key,
+         CAST(o_orderkey % (SELECT greatest(COUNT(*), 1) FROM part) AS BIGINT) AS product_key,
          CAST(c_nationkey AS BIGINT) AS geography_key,
          CAST(o_orderdate AS DATE) AS adoption_date,
          CAST(strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS INTEGER) AS adoption_date_key,
@@ -126,14 +126,15 @@ households_raw AS (
            CAST(a.o_orderkey % 1500 AS DECIMAL(10,2)) END AS weekly_fuel_cost_ksh
   FROM dim_household h
   LEFT JOIN (SELECT printf('Customer#%09d', o_custkey) AS household_id, o_orderkey, o_orderstatus,
+                    o_orderkey % (SELECT greatest(COUNT(*), 1) FROM part) AS catalogue_key,
                     CAST(o_orderdate AS DATE) AS adoption_date FROM first_orders) a
          ON a.household_id = h.household_id
-  LEFT JOIN dim_product p ON p.product_key = a.o_orderkey % 200
+  LEFT JOIN dim_product p ON p.product_key = a.catalogue_key
 ),
 transactions_raw AS (
   SELECT 'TRX' || CAST(event_id AS VARCHAR) AS transaction_id,
          CASE WHEN event_type <> 'signup' THEN printf('Customer#%09d', user_id) END AS household_id,
-         strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date,
+         CASE WHEN event_id % 97 = 0 THEN 'not-a-date' ELSE strftime(CAST(ts AS DATE), '%Y-%m-%d') END AS date,
          CAST(value AS DECIMAL(12,2)) AS amount_ksh, event_type AS type,
          CASE event_id % 3 WHEN 0 THEN 'cash' WHEN 1 THEN 'mobile_money' ELSE 'donor_fund' END AS payment_method,
          CASE WHEN event_id % 20 = 0 THEN 'failed' WHEN event_id % 20 = 1 THEN 'pending'

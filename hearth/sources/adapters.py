@@ -29,7 +29,6 @@ PRODUCT_TYPE_OF_PART_TYPE = {
 # Payment methods and transaction channels by code.
 PAYMENT_METHODS = ("Cash", "Mobile Money", "Credit", "Full Subsidy")
 TERRAIN_TYPES = ("flat", "hilly", "mixed")
-PRODUCTS_IN_CATALOGUE = 200   # adoption product_key = order key mod this
 
 
 def _dec(x) -> Column:
@@ -43,11 +42,11 @@ def _case(col: Column, mapping: dict, default=None) -> Column:
     return expr.otherwise(default) if default is not None else expr
 
 
-def _order_columns(o_orderkey: Column) -> dict[str, Column]:
-    """Adoption attributes that are functions of the order key."""
+def _order_columns(o_orderkey: Column, products: Column) -> dict[str, Column]:
+    """Adoption attributes that are functions of the order key and the size of the catalogue."""
     k = o_orderkey
     cols = {
-        "product_key": (k % PRODUCTS_IN_CATALOGUE).cast("bigint"),
+        "product_key": (k % products).cast("bigint"),
         "payment_method": _case(k % 4, dict(enumerate(PAYMENT_METHODS))),
         "subsidy_amount": (k % 4).cast("decimal(10,2)"),
         "actual_price_paid": F.lit(500).cast("decimal(10,2)"),
@@ -117,6 +116,11 @@ class StarSchema:
             (s * _dec("0.05")).cast("decimal(5,2)").alias("carbon_reduction_tons_year"),
         )
 
+    @cached_property
+    def product_count(self) -> Column:
+        """Products in the catalogue (their keys are 0-based and dense), as a scalar subquery."""
+        return self.t.part.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+
     # ----------------------------------------------------------------- facts
     def _non_control_orders(self) -> DataFrame:
         c = self.t.customer.where(F.col("c_mktsegment") != "HOUSEHOLD") \
@@ -126,7 +130,7 @@ class StarSchema:
     def _adoption_rows(self, orders: DataFrame) -> DataFrame:
         k = F.col("o_orderkey")
         d = F.to_date(F.col("o_orderdate"))
-        cols = _order_columns(k)
+        cols = _order_columns(k, self.product_count)
         return orders.select(
             k.alias("adoption_key"),
             F.col("o_custkey").alias("household_key"),
@@ -163,6 +167,23 @@ class StarSchema:
         """Every order of a non-control customer: several adoptions per household."""
         return self._adoption_rows(self._non_control_orders())
 
+    @cached_property
+    def order_adoptions(self) -> DataFrame:
+        """Adoption measures of every order, before any customer is looked up."""
+        k = F.col("o_orderkey")
+        cols = _order_columns(k, self.product_count)
+        return self.t.orders.select(
+            F.col("o_custkey").alias("household_key"), cols["product_key"],
+            F.to_date(F.col("o_orderdate")).alias("adoption_date"),
+            cols["usage_intensity"], cols["baseline_weekly_fuel_cost_ksh"])
+
+    @cached_property
+    def programme_households(self) -> DataFrame:
+        """Household and county key of every non-control customer."""
+        return (self.t.customer.where(F.col("c_mktsegment") != "HOUSEHOLD")
+                .select(F.col("c_custkey").alias("household_key"),
+                        F.col("c_nationkey").cast("bigint").alias("geography_key")))
+
     @cached_property
     def fact_transactions(self) -> DataFrame:
         e = self.t.events
@@ -194,7 +215,7 @@ class StarSchema:
         fo = self.first_orders("o_orderstatus")
         prod = self.dim_product.select("product_key", "product_type")
         k = F.col("o_orderkey")
-        cols = _order_columns(k)
+        cols = _order_columns(k, self.product_count)
         adopt = (fo.withColumn("product_key", cols["product_key"])
                  .join(prod, "product_key", "left")
                  .select(F.format_string("Customer#%09d", F.col("o_custkey")).alias("household_id"),
@@ -214,7 +235,10 @@ class StarSchema:
 
     @cached_property
     def transactions_raw(self) -> DataFrame:
-        """Ledger-shaped rows with a natural household id; signups have none yet."""
+        """Ledger-shaped rows with a natural household id; signups have none yet.
+
+        Every 97th date is unreadable, as hand-kept ledgers have them.
+        """
         e = self.t.events
         eid = F.col("event_id")
         types = ("charcoal_stove", "firewood_stove", "pellet_stove", "solar_lantern")
@@ -222,7 +246,8 @@ class StarSchema:
             F.concat(F.lit("TRX"), eid.cast("string")).alias("transaction_id"),
             F.when(F.col("event_type") != "signup",
                    F.format_string("Customer#%09d", F.col("user_id"))).alias("household_id"),
-            F.date_format(F.col("ts"), "yyyy-MM-dd").alias("date"),
+            F.when(eid % 97 == 0, F.lit("not-a-date"))
+             .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd")).alias("date"),
             F.col("value").cast("decimal(12,2)").alias("amount_ksh"),
             F.col("event_type").alias("type"),
             F.when(eid % 3 == 0, "cash").when(eid % 3 == 1, "mobile_money")
