@@ -8,10 +8,8 @@ compared value for value.
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable
 from dataclasses import dataclass
-from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,26 +67,10 @@ def register(name: str, sql: str | None, measures=(), scale: int = 6, ops: str =
     return deco
 
 
-# Opened driver tables per session and folder. A table definition is a lazy
-# plan (file listing, schema and the star-schema derivations, no data), so
-# every query built on the same session and folder shares one, as a Spark
-# application registers its sources once and then runs its queries.
-_OPEN: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-_OPEN_LOCK = Lock()
-
-
-def tables(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Tables:
-    """The driver tables of ``sf_dir``; ``fresh`` re-lists them (after files change)."""
-    with _OPEN_LOCK:
-        per_session = _OPEN.setdefault(spark, {})
-        if fresh or sf_dir not in per_session:
-            per_session[sf_dir] = Tables(spark, sf_dir)
-        return per_session[sf_dir]
-
-
-def build(name: str, spark: SparkSession, sf_dir: str, fresh: bool = False) -> DataFrame:
+def build(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query over tables opened for this call: files added since the last call count."""
     q = REGISTRY[name]
-    return finish(q.build(tables(spark, sf_dir, fresh)), q.measures, q.scale)
+    return finish(q.build(Tables(spark, sf_dir)), q.measures, q.scale)
 
 
 def oracle(name: str) -> str | None:

@@ -3,38 +3,21 @@
 from __future__ import annotations
 
 from functools import cached_property
-from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events", "documents", "embeddings", "pages",
                  "benchmark", "labels", "conversations")
 
-# Footer schema of each table path, inferred once per driver process. Every
-# scan still lists its files afresh; only the footer read is skipped, which is
-# most of the driver-side cost of opening a table.
-_SCHEMAS: dict[str, StructType] = {}
-_SCHEMAS_LOCK = Lock()
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    with _SCHEMAS_LOCK:
-        _SCHEMAS.setdefault(path, df.schema)
-    return df
-
+    """A lazy parquet scan; Catalyst prunes columns and pushes filters into it.
 
-def forget_schemas() -> None:
-    """Drop the cached footer schemas (after a table is rewritten in place)."""
-    with _SCHEMAS_LOCK:
-        _SCHEMAS.clear()
+    Files and schema are read afresh each time, so a result depends on what is
+    there now and not on what the session saw before.
+    """
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
