@@ -4,21 +4,57 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.columns import coerce, coerce_bool
+from ..functions.columns import clip, coerce, coerce_bool
+from ..functions.dates import date_key, parse_date
+from .schemas import struct
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Header CSV with an explicit schema; the text ``None`` and empty fields are NULL."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("nullValue", "None").option("emptyValue", None)
-            .option("mode", "PERMISSIVE").csv(path))
+class SchemaMismatch(ValueError):
+    """A file's columns are not the expected ones: the load is aborted."""
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, corrupt: str | None = None,
+             multiline: bool = True) -> DataFrame:
+    """Header CSV matched by column name; the text ``None`` and empty fields are NULL.
+
+    Columns may stand in any order but must be exactly the expected ones, in every file
+    (``SchemaMismatch`` otherwise, or Spark's header check when files differ). Quoted fields
+    may hold line breaks and doubled quotes. A row that is too short, too long or has an
+    unreadable value keeps what could be read; with ``corrupt`` its text is kept in that
+    column, so it can be counted. ``multiline=False`` lets large files be split where no
+    field holds a line break.
+    """
+    want = struct(schema)
+    options = {"header": True, "multiLine": multiline, "quote": '"', "escape": '"'}
+    header = spark.read.options(**options).csv(path).columns
+    if sorted(header) != sorted(want.fieldNames()):
+        raise SchemaMismatch(f"{path}: expected {sorted(want.fieldNames())}, found {sorted(header)}")
+    bad = corrupt or "_corrupt_record"
+    found = StructType([*[want[c] for c in header], StructField(bad, StringType())])
+    df = (spark.read.schema(found).options(**options).option("enforceSchema", False)
+          .option("nullValue", "None").option("emptyValue", None).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", bad).csv(path))
+    return df.select(*want.fieldNames(), *([bad] if corrupt else []))
+
+
+def bronze_check(source: str, rows: DataFrame, corrupt: str = "_corrupt_record") -> DataFrame:
+    """Load check of one file read with ``corrupt``: rows, corrupt rows, and a warning on none."""
+    columns = [c for c in rows.columns if c != corrupt]
+    n = F.count(F.lit(1))
+    # Spark converts only the columns a query uses, and only those can fail: use them all
+    bad = F.count_if(F.col(corrupt).isNotNull() | (F.length(F.to_json(F.struct(*columns))) < 2))
+    return rows.agg(
+        F.lit(source).alias("source"), n.alias("rows"), bad.alias("corrupt_rows"),
+        F.count(columns[0]).alias("first_column_filled"),
+        F.when((n == 0) | (bad > 0), "Warning").otherwise("OK").alias("status"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV; NULLs written as ``None`` so ``read_csv`` restores them."""
-    df.write.mode("overwrite").option("header", True).option("nullValue", "None").csv(path)
+    (df.write.mode("overwrite").option("header", True).option("nullValue", "None")
+     .option("escape", '"').csv(path))
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str,
@@ -78,6 +114,44 @@ def crm_extract(households: DataFrame) -> DataFrame:
     )
 
 
+# CRM opportunity field -> adoption column.
+CRM_ADOPTION_FIELDS = {
+    "Id": "salesforce_id",
+    "AccountId": "household_salesforce_id",
+    "Product2Id": "product_salesforce_id",
+    "CloseDate": "adoption_date",
+    "Subsidy_Amount__c": "subsidy_amount",
+    "Payment_Method__c": "payment_method",
+    "Usage_Intensity__c": "usage_intensity",
+    "Baseline_Fuel_Cost__c": "baseline_weekly_fuel_cost_ksh",
+}
+USAGE_DEFAULT = 0.7    # fixed value: usage where the CRM has none
+
+
+def clean_crm_adoptions(raw: DataFrame) -> DataFrame:
+    """F2 + F13 + F14 + F15: rename, read the date and its key, usage defaulted and clipped to [0, 1]."""
+    df = raw.drop("attributes").withColumnsRenamed(CRM_ADOPTION_FIELDS)
+    df = df.withColumn("adoption_date", parse_date("adoption_date"))
+    return df.withColumns({"adoption_date_key": date_key(F.col("adoption_date")),
+                           "usage_intensity": clip(coerce("usage_intensity", USAGE_DEFAULT), 0.0, 1.0)})
+
+
+def crm_adoption_extract(adoptions: DataFrame) -> DataFrame:
+    """Render adoption rows the way the CRM API returns them: text, some usage blank or out of range."""
+    k = F.col("adoption_key")
+    usage = F.col("usage_intensity").cast("string")
+    return adoptions.select(
+        F.to_json(F.struct(F.lit("Opportunity").alias("type"))).alias("attributes"),
+        k.cast("string").alias("Id"), F.col("household_key").cast("string").alias("AccountId"),
+        F.col("product_key").cast("string").alias("Product2Id"),
+        F.date_format("adoption_date", "yyyy-MM-dd").alias("CloseDate"),
+        F.col("subsidy_amount").cast("string").alias("Subsidy_Amount__c"),
+        F.col("payment_method").alias("Payment_Method__c"),
+        F.when(k % 13 == 0, F.lit("unknown")).when(k % 17 == 0, F.lit("1.5")).when(k % 19 == 0, F.lit("-2"))
+         .otherwise(usage).alias("Usage_Intensity__c"),
+        F.col("baseline_weekly_fuel_cost_ksh").cast("string").alias("Baseline_Fuel_Cost__c"))
+
+
 def load_donors(spark: SparkSession, path: str) -> DataFrame:
     """Donor JSON array -> the donor dimension's columns (arrays dropped, as loaded)."""
     from .schemas import DIM_DONOR, RAW_DONORS, conform

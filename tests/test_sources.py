@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from hearth.operators import facts
@@ -23,6 +24,22 @@ def test_csv_none_is_null(spark):
     assert rows["HH3"].product_type is None and rows["HH3"].education_level == "Primary"
 
 
+def test_csv_is_matched_by_name_and_bad_rows_are_kept(spark):
+    path = scratch_path(spark, "odd-csv")
+    text = 'county,household_id,age\n"Nairobi, ""west""\nside",HH1,30\nKilifi,HH2\nTana,HH3,old\nLamu,HH4,41'
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    schema = "household_id string, county string, age int"
+    df = files.read_csv(spark, path, schema, corrupt="bad")
+    rows = {r.household_id: r for r in df.collect()}
+    assert rows["HH1"].county == 'Nairobi, "west"\nside' and rows["HH1"].age == 30 and rows["HH1"].bad is None
+    assert rows["HH2"].county == "Kilifi" and rows["HH2"].age is None and rows["HH2"].bad is not None
+    assert rows["HH3"].age is None and rows["HH3"].bad is not None and rows["HH4"].age == 41
+    check = files.bronze_check("households", df, corrupt="bad").first()
+    assert (check.rows, check.corrupt_rows, check.status) == (4, 2, "Warning")
+    with pytest.raises(files.SchemaMismatch):
+        files.read_csv(spark, path, "household_id string, county string, income int")
+
+
 def test_upsert_semantics(spark):
     base = spark.createDataFrame([(1, "a", Decimal("10"), 3), (2, "b", Decimal("20"), 4),
                                   (3, "c", Decimal("30"), 5)],
@@ -32,12 +49,14 @@ def test_upsert_semantics(spark):
          (2, dt.datetime(2024, 1, 2), 2, Decimal("22"), None),     # latest wins, NULL overwrites
          (3, dt.datetime(2024, 1, 1), 3, Decimal("31"), 6),
          (9, dt.datetime(2024, 1, 1), 4, Decimal("90"), 1)],       # new key
-        "k long, ts timestamp, seq long, income decimal(12,2), size int")
-    out = {r.k: r for r in sinks.upsert(base, delta, "k", ["income", "size"], ["ts", "seq"]).collect()}
+        "k long, ts timestamp, seq long, income decimal(12,2), size int").withColumn("name", F.concat(F.lit("new"), "k"))
+    stamp = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+    out = {r.k: r for r in sinks.upsert(base, delta, "k", ["income", "size"], ["ts", "seq"], updated_at=stamp).collect()}
+    assert out[1].updated_at is None and out[2].updated_at == out[9].updated_at == dt.datetime(2024, 3, 1)
     assert (out[1].income, out[1].size, out[1].change) == (Decimal("10.00"), 3, "unchanged")
     assert (out[2].income, out[2].size, out[2].name, out[2].change) == (Decimal("22.00"), None, "b", "updated")
     assert (out[3].income, out[3].size) == (Decimal("31.00"), 6)
-    assert (out[9].income, out[9].name, out[9].change) == (Decimal("90.00"), None, "inserted")
+    assert (out[9].income, out[9].name, out[9].change) == (Decimal("90.00"), "new9", "inserted")
 
 
 def test_latest_per_key_hot_key(spark):
