@@ -108,8 +108,9 @@ def conform(df: DataFrame, schema: StructType | str, key: str | None = None,
     Columns are matched by name (F1); absent columns become typed NULLs;
     audit timestamps are left NULL rather than a per-run clock so results
     are reproducible. When the surrogate ``key`` is missing it is derived
-    from ``natural_key`` with ``xxhash64`` (a deterministic, shuffle-free
-    key; collisions are caught by ``duplicate_keys``).
+    from ``natural_key`` as its 128-bit MD5 (32 hex digits, a STRING column):
+    deterministic, shuffle-free, and wide enough that no two of 10^10 entities
+    can be expected to share a key.
     """
     schema = struct(schema)
     present = set(df.columns)
@@ -118,7 +119,8 @@ def conform(df: DataFrame, schema: StructType | str, key: str | None = None,
         if f.name in present:
             c = F.col(f.name)
         elif f.name == key and natural_key:
-            c = F.xxhash64(F.col(natural_key))
+            cols.append(F.md5(F.col(natural_key).cast("string").cast("binary")).alias(f.name))
+            continue
         else:
             c = F.lit(None)
         cols.append(c.cast(f.dataType).alias(f.name))

@@ -26,10 +26,17 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def incremental(df: DataFrame, since, created: str = "created_ts",
-                modified: str = "modified_ts") -> DataFrame:
-    """Rows created or modified after ``since`` (a pushed-down scan filter)."""
+def incremental(df: DataFrame, since, created: str = "created_ts", modified: str = "modified_ts",
+                latest_change: str | None = None) -> DataFrame:
+    """Rows created or modified after ``since``.
+
+    Where ``modified`` is computed from ``created`` a scan cannot use the filter. If no row
+    is modified later than ``latest_change`` (an interval, e.g. ``"47 hours"``) after it was
+    created, the bound this implies on ``created`` is added; it reaches the scan.
+    """
     ts = F.lit(since).cast("timestamp_ntz")
+    if latest_change is not None:
+        df = df.where(F.col(created) > ts - F.expr(f"INTERVAL {latest_change}"))
     return df.where((F.col(modified) > ts) | (F.col(created) > ts))
 
 
@@ -47,23 +54,33 @@ def latest_per_key(delta: DataFrame, key: str, order: Sequence[str]) -> DataFram
 
 
 def upsert(base: DataFrame, delta: DataFrame, key: str, update_cols: Sequence[str],
-           order: Sequence[str]) -> DataFrame:
+           order: Sequence[str], updated_at: Column | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO UPDATE SET c = EXCLUDED.c``.
 
     The delta is first reduced to its latest row per key. On a match every
-    listed column takes the delta value, NULL included (not ``coalesce``);
-    other columns keep the base value. New keys are inserted with what the
-    delta carries. A ``change`` column says which rows moved.
+    listed column takes the delta value, NULL included (not ``coalesce``), and
+    the other columns keep the base value. A new key is inserted with every
+    column the delta carries. ``updated_at`` (an input time, so that reruns
+    agree) stamps inserted and updated rows. A ``change`` column says which
+    rows moved.
     """
     d = latest_per_key(delta, key, order)
+    carried = [c for c in d.columns if c != key]
     d = d.select(F.col(key), F.lit(True).alias("_in_delta"),
-                 *[F.col(c).alias(f"_d_{c}") for c in update_cols])
+                 *[F.col(c).alias(f"_d_{c}") for c in carried])
     b = base.withColumn("_in_base", F.lit(True))
     j = b.join(d, key, "full_outer")
     in_d, in_b = F.col("_in_delta").isNotNull(), F.col("_in_base").isNotNull()
-    sets: dict[str, Column] = {c: F.when(in_d, F.col(f"_d_{c}")).otherwise(F.col(c))
-                               for c in update_cols}
+    sets: dict[str, Column] = {}
+    for c in carried:
+        if c in update_cols:
+            sets[c] = F.when(in_d, F.col(f"_d_{c}")).otherwise(F.col(c))
+        elif c in base.columns:
+            sets[c] = F.when(in_b, F.col(c)).otherwise(F.col(f"_d_{c}"))
+    if updated_at is not None:
+        old = F.col("updated_at") if "updated_at" in base.columns else F.lit(None)
+        sets["updated_at"] = F.when(in_d, updated_at).otherwise(old)
     sets["change"] = (F.when(in_b & in_d, "updated").when(in_d, "inserted")
                       .otherwise("unchanged"))
     return (j.withColumns(sets)
-            .drop("_in_delta", "_in_base", *[f"_d_{c}" for c in update_cols]))
+            .drop("_in_delta", "_in_base", *[f"_d_{c}" for c in carried]))
