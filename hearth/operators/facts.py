@@ -33,7 +33,8 @@ def load_adoptions(households_raw: DataFrame, households: DataFrame,
 
 def load_transactions(transactions_raw: DataFrame, households: DataFrame,
                       products: DataFrame) -> DataFrame:
-    """Left lookups, date key from text, rename, then drop rows without a household."""
+    """Left lookups, date key from text, rename, then drop rows without a household or a
+    readable date (J7)."""
     hk = households.select("household_key", "household_id")
     pk = first_product_per_type(products)
     j = (transactions_raw.join(hk, "household_id", "left")
@@ -42,7 +43,7 @@ def load_transactions(transactions_raw: DataFrame, households: DataFrame,
                      date_key(parse_date(F.col("date"))).alias("transaction_date_key"),
                      "amount_ksh", F.col("type").alias("transaction_type"),
                      "payment_method", "status")
-            .dropna(subset=["household_key"]))
+            .dropna(subset=["household_key", "transaction_date_key"]))
 
 
 def load_routes(routes_raw: DataFrame, geography: DataFrame) -> DataFrame:
@@ -97,7 +98,8 @@ def installment_schedule(adoptions: DataFrame) -> DataFrame:
 
 
 def impact_monthly(adoptions: DataFrame, products: DataFrame, geography: DataFrame,
-                   months: int = 12, coef: ImpactCoefficients = DEFAULT_IMPACT) -> DataFrame:
+                   months: int = 12, coef: ImpactCoefficients = DEFAULT_IMPACT,
+                   members: DataFrame | None = None) -> DataFrame:
     """Household-product-month grain.
 
     The reference defines the grain but no formula; this plan's rule is the
@@ -117,25 +119,33 @@ def impact_monthly(adoptions: DataFrame, products: DataFrame, geography: DataFra
     (household, product, month) grouping. The shuffles carry the reduced
     rows, not the ``months``-fold expansion, and a (household, product) holds
     at most one row per distinct start month.
+
+    With ``members`` (household_key, geography_key: the programme's households)
+    the adoptions carry no county; they are reduced first and the reduced rows
+    meet their household, so a hot household never reaches a join row by row.
     """
     u = F.col("usage_intensity")
-    f = adoptions.join(geography.select("geography_key"), "geography_key", "left_semi")
-    pre = (f.groupBy("household_key", "product_key",
-                     F.trunc(F.col("adoption_date"), "month").alias("start_month"))
+    known = geography.select("geography_key")
+    f = adoptions if members is not None else adoptions.join(known, "geography_key", "left_semi")
+    by = ["household_key", "product_key"] + ([] if members is not None else ["geography_key"])
+    pre = (f.groupBy(*by, F.trunc(F.col("adoption_date"), "month").alias("start_month"))
            .agg(F.sum(u).alias("su"),
                 F.sum(F.col("baseline_weekly_fuel_cost_ksh") * u).alias("sfu"),
                 F.count(F.lit(1)).alias("n"), F.max(u).alias("mx")))
+    if members is not None:
+        pre = pre.join(members.join(known, "geography_key", "left_semi"), "household_key")
     # Sums of sums keep the first-level types, so the decimal arithmetic below
     # (and its exactness) is the same as summing the adoption rows directly.
     su_type = pre.schema["su"].dataType.simpleString()
     sfu_type = pre.schema["sfu"].dataType.simpleString()
     rows = (pre.repartition("household_key", "product_key")
-            .select("household_key", "product_key", "su", "sfu", "n", "mx", "start_month",
+            .select("household_key", "product_key", "geography_key", "su", "sfu", "n", "mx", "start_month",
                     F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("m")))
     month = F.add_months(F.col("start_month"), F.col("m"))
     agg = (rows.withColumn("month_key", (F.year(month) * 100 + F.month(month)).cast("int"))
            .groupBy("household_key", "product_key", "month_key")
-           .agg(F.sum("su").cast(su_type).alias("su"), F.sum("sfu").cast(sfu_type).alias("sfu"),
+           .agg(F.min("geography_key").alias("geography_key"),
+                F.sum("su").cast(su_type).alias("su"), F.sum("sfu").cast(sfu_type).alias("sfu"),
                 F.coalesce(F.sum("n"), F.lit(0)).alias("active_adoptions"),
                 F.max("mx").cast("double").alias("stove_stacking_ratio")))
     p = products.select("product_key", "carbon_reduction_tons_year", "pm25_emissions_mg_m3")
@@ -146,7 +156,11 @@ def impact_monthly(adoptions: DataFrame, products: DataFrame, geography: DataFra
         fuel = fuel * F.lit(Decimal(str(coef.fuel_savings_factor)))
     per12 = lambda c: c.cast("double") / 12
     return agg.join(p, "product_key").select(
-        "household_key", "product_key", "month_key",
+        "household_key", "product_key", "geography_key", "month_key",
+        per12(m["mortality_reduction"]).alias("mortality_reduction"),
+        per12(m["co2_avoided_annual"] * F.lit(Decimal(str(coef.trees_per_ton))))
+        .alias("trees_saved_equivalent"),
+        per12(F.col("pm25_emissions_mg_m3") * F.col("su")).alias("pm25_reduced"),
         per12(m["co2_avoided_annual"]).alias("co2_avoided_tons"),
         per12(m["dalys_avoided"]).alias("dalys_avoided"),
         per12(fuel).alias("fuel_cost_savings_ksh"),

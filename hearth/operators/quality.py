@@ -52,6 +52,46 @@ ADOPTION_RULES = (
     Rule("usage_range", "usage_intensity", 0, 1),
     Rule("weekly_fuel_cost_range", "baseline_weekly_fuel_cost_ksh", 0, 2000),
 )
+PRODUCT_RULES = (
+    Rule("thermal_efficiency_range", "thermal_efficiency_pct", 25, 100),
+    Rule("pm25_emissions_range", "pm25_emissions_mg_m3", 0, 500),
+    Rule("lifespan_range", "lifespan_years", 3, 7),
+    Rule("tier_range", "tier_rating", 1, 5),
+    Rule("unit_cost_range", "unit_cost_usd", 5, 50),
+    Rule("carbon_reduction_range", "carbon_reduction_tons_year", 0.3, 2.5),
+    Rule("product_type_values", "product_type",
+         allowed=("charcoal_stove", "firewood_stove", "pellet_stove", "solar_lantern")),
+)
+GEOGRAPHY_RULES = (
+    Rule("population_range", "population", 500000, 5000000),
+    Rule("area_range", "area_sq_km", 200, 70000),
+    Rule("poverty_rate_range", "poverty_rate", 15, 80),
+    Rule("electrification_rate_range", "electrification_rate", 15, 80),
+)
+DATE_RULES = (
+    Rule("year_range", "year", 2023, 2035),
+    Rule("quarter_range", "quarter", 1, 4),
+    Rule("month_range", "month", 1, 12),
+    Rule("week_range", "week", 1, 53),
+    Rule("day_of_month_range", "day_of_month", 1, 31),
+    Rule("day_of_week_range", "day_of_week", 0, 6),
+    Rule("fiscal_year_range", "fiscal_year", 2023, 2035),
+    Rule("fiscal_quarter_range", "fiscal_quarter", 1, 4),
+)
+TRANSACTION_RULES = (
+    Rule("amount_range", "amount_ksh", -10000, 10000),
+    Rule("status_values", "status", allowed=("completed", "pending", "failed")),
+)
+IMPACT_RULES = (
+    Rule("dalys_range", "dalys_avoided", 0, 0.1),
+    Rule("mortality_range", "mortality_reduction", 0, 0.001),
+    Rule("co2_range", "co2_avoided_tons", 0, 0.3),
+    Rule("trees_range", "trees_saved_equivalent", 0, 5),
+    Rule("fuel_savings_range", "fuel_cost_savings_ksh", 0, 2000),
+    Rule("time_saved_range", "time_saved_hours", 0, 60),
+    Rule("healthcare_savings_range", "healthcare_savings_ksh", 0, 1000),
+    Rule("stacking_ratio_range", "stove_stacking_ratio", 0, 1),
+)
 
 
 def range_violations(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
@@ -136,11 +176,14 @@ def duplicate_keys(checks: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
 
 
 def orphan_keys(checks: Sequence[tuple[str, str, DataFrame, DataFrame, str]]) -> DataFrame:
-    """Q7: rows whose foreign key has no parent (left anti join), per check."""
+    """Q7: rows whose foreign key has no parent (left anti join), per check.
+
+    A NULL reference satisfies a foreign key and is no orphan.
+    """
     out = None
     for fact, fk, child, parent, pk in checks:
         # count child rows per key first, so the anti join sees one row per key
-        keys = child.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("n"))
+        keys = child.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("n"))
         orphans = keys.join(parent.select(F.col(pk).alias("_k")), "_k", "left_anti")
         one = orphans.agg(F.lit(fact).alias("fact_table"), F.lit(fk).alias("foreign_key"),
                           F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows"))

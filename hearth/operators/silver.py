@@ -10,13 +10,21 @@ from ..functions.columns import adoption_category, age_group, family_type, \
 from ..functions.impact import DEFAULT_IMPACT, ImpactCoefficients, impact_columns
 
 
-# Personal data never carried into analytics.
-PII_COLUMNS = ("head_name", "head_id")
+# Household columns that analytics may hold (F23). A column that is not
+# listed, personal data above all, never passes.
+ANALYTIC_COLUMNS = (
+    "household_key", "household_id", "county", "sub_county", "ward", "village", "urban_rural",
+    "gps_latitude", "gps_longitude", "head_gender", "head_age", "marital_status",
+    "education_level", "household_size", "children_under_18", "youth_18_35", "elderly_over_60",
+    "primary_economic_activity", "monthly_income_ksh", "owns_land", "land_size_acres",
+    "livestock_owned", "electricity_access", "mobile_phone_ownership", "water_source",
+    "toilet_type", "has_disability", "control_group", "vulnerability_factors", "created_at",
+    "updated_at")
 
 
 def silver_households(households: DataFrame) -> DataFrame:
-    """V1: F7 range filter (NULLs fail it, T5) plus F4 brackets; PII dropped."""
-    return (households.drop(*PII_COLUMNS).where(household_is_valid())
+    """V1: F7 range filter (NULLs fail it, T5) plus F4 brackets; allow-listed columns only."""
+    return (households.select(*[c for c in ANALYTIC_COLUMNS if c in households.columns]).where(household_is_valid())
             .withColumns({"income_bracket": income_bracket(),
                           "family_type": family_type(),
                           "age_group": age_group()}))
