@@ -9,7 +9,7 @@ from ..functions.dates import date_key, parse_date
 from ..functions.impact import logistic
 from ..operators import dims, facts
 from ..session import scratch_path
-from ..sources import files, sinks
+from ..sources import files, schemas, sinks
 from .registry import register
 
 # ------------------------------------------------------------ derived columns
@@ -136,7 +136,7 @@ def q_adoption_curve(t):
 
 # ----------------------------------------------------------------- dims
 
-@register("dim_date", """
+DIM_DATE_SQL = """
 , b AS (SELECT MIN(d0) AS s, MAX(d1) AS e FROM (
     SELECT MIN(adoption_date) AS d0, MAX(adoption_date) AS d1 FROM fact_adoptions_multi
     UNION ALL SELECT MIN(transaction_date), MAX(transaction_date) FROM fact_transactions)),
@@ -150,7 +150,10 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
        CAST(year(d) - CASE WHEN month(d) < 7 THEN 1 ELSE 0 END AS INTEGER) AS fiscal_year,
        CAST(((month(d) + 5) % 12) // 3 + 1 AS INTEGER) AS fiscal_quarter
 FROM spine
-""", ops="B2 D1 D2 D3 D4 D5")
+"""
+
+
+@register("dim_date", DIM_DATE_SQL, ops="B2 D1 D2 D3 D4 D5")
 def q_dim_date(t):
     s = t.star
     bounds = dims.date_bounds((s.fact_adoptions_multi, F.col("adoption_date")),
@@ -187,7 +190,7 @@ FROM transactions_raw r
 LEFT JOIN dim_household h ON r.household_id = h.household_id
 LEFT JOIN (SELECT product_type, MIN(product_key) AS product_key FROM dim_product GROUP BY product_type) p
   ON r.product_type = p.product_type
-WHERE h.household_key IS NOT NULL
+WHERE h.household_key IS NOT NULL AND TRY_CAST(r.date AS DATE) IS NOT NULL
 """, measures=("amount_ksh",), ops="B5 J3 J7 F2 D9")
 def q_load_transactions(t):
     s = t.star
@@ -206,11 +209,11 @@ def q_load_routes(t):
 
 
 @register("route_ids", """
-SELECT route_id, route_name, CAST(substr(route_id, 3) AS INTEGER) AS route_number FROM routes_raw
+SELECT route_id, route_name, CAST(substr(route_id, 3) AS BIGINT) AS route_number FROM routes_raw
 """, ops="C1")
 def q_route_ids(t):
     return t.star.routes_raw.select("route_id", "route_name",
-                                    F.substring("route_id", 3, 10).cast("int").alias("route_number"))
+                                    F.expr("substring(route_id, 3)").cast("bigint").alias("route_number"))
 
 
 # ------------------------------------------------------------- ledger
@@ -265,9 +268,11 @@ def q_ledger(t):
     return facts.adoption_ledger(_ledger_input(t.star.fact_adoptions_multi)).drop("seq")
 
 
-@register("impact_monthly", """
+IMPACT_MONTHLY_SQL = """
 , imp AS (
-  SELECT f.household_key, f.product_key, f.adoption_date, f.usage_intensity,
+  SELECT f.household_key, f.product_key, f.geography_key, f.adoption_date, f.usage_intensity,
+         p.pm25_emissions_mg_m3 * 0.00000082 * f.usage_intensity AS mortality,
+         p.pm25_emissions_mg_m3 * f.usage_intensity AS pm25,
          p.carbon_reduction_tons_year * f.usage_intensity AS co2,
          p.pm25_emissions_mg_m3 * 0.0245 * f.usage_intensity AS dalys,
          f.baseline_weekly_fuel_cost_ksh * 52 * f.usage_intensity AS fuel,
@@ -279,7 +284,11 @@ def q_ledger(t):
 rows AS (
   SELECT imp.*, date_trunc('month', adoption_date) + INTERVAL (m) MONTH AS mth
   FROM imp, LATERAL generate_series(0, 11) AS s(m))
-SELECT household_key, product_key, CAST(year(mth) * 100 + month(mth) AS INTEGER) AS month_key,
+SELECT household_key, product_key, MIN(geography_key) AS geography_key,
+       CAST(year(mth) * 100 + month(mth) AS INTEGER) AS month_key,
+       CAST(SUM(mortality) AS DOUBLE) / 12 AS mortality_reduction,
+       CAST(SUM(co2 * 0.17) AS DOUBLE) / 12 AS trees_saved_equivalent,
+       CAST(SUM(pm25) AS DOUBLE) / 12 AS pm25_reduced,
        CAST(SUM(co2) AS DOUBLE) / 12 AS co2_avoided_tons,
        CAST(SUM(dalys) AS DOUBLE) / 12 AS dalys_avoided,
        CAST(SUM(fuel) AS DOUBLE) / 12 AS fuel_cost_savings_ksh,
@@ -288,11 +297,16 @@ SELECT household_key, product_key, CAST(year(mth) * 100 + month(mth) AS INTEGER)
        COUNT(*) AS active_adoptions,
        CAST(MAX(usage_intensity) AS DOUBLE) AS stove_stacking_ratio
 FROM rows GROUP BY household_key, product_key, month_key
-""", measures=("co2_avoided_tons", "dalys_avoided", "fuel_cost_savings_ksh", "time_saved_hours",
-               "healthcare_savings_ksh", "stove_stacking_ratio"), scale=10, ops="A17")
+"""
+
+
+@register("impact_monthly", IMPACT_MONTHLY_SQL, measures=("co2_avoided_tons", "dalys_avoided", "fuel_cost_savings_ksh", "time_saved_hours",
+               "healthcare_savings_ksh", "stove_stacking_ratio", "mortality_reduction", "trees_saved_equivalent",
+               "pm25_reduced"), scale=10, ops="A17")
 def q_impact_monthly(t):
     s = t.star
-    return facts.impact_monthly(s.fact_adoptions_multi, s.dim_product, s.dim_geography)
+    return facts.impact_monthly(s.order_adoptions, s.dim_product, s.dim_geography,
+                                members=s.programme_households)
 
 
 # ------------------------------------------------------------ sources
@@ -325,17 +339,18 @@ SELECT transaction_id, household_key, created_ts, modified_ts FROM fact_transact
 WHERE modified_ts > TIMESTAMP '2024-01-20 00:00:00' OR created_ts > TIMESTAMP '2024-01-20 00:00:00'
 """, ops="S11")
 def q_incremental(t):
-    return sinks.incremental(t.star.fact_transactions, "2024-01-20 00:00:00").select(
+    return sinks.incremental(t.star.fact_transactions, "2024-01-20 00:00:00", latest_change="47 hours").select(
         "transaction_id", "household_key", "created_ts", "modified_ts")
 
 
 def _household_delta(events):
-    """Profile updates arriving as events: signups are new households."""
+    """Profile updates arriving as events, by natural key: signups are new households."""
     new = F.col("event_type") == "signup"
     return events.select(
-        F.when(new, F.lit(1_000_000_000) + F.col("event_id")).otherwise(F.col("user_id"))
-         .alias("household_key"),
+        F.when(new, F.format_string("Signup#%012d", F.col("event_id")))
+         .otherwise(F.format_string("Customer#%09d", F.col("user_id"))).alias("household_id"),
         "ts", "event_id",
+        F.concat(F.lit("County "), (F.col("event_id") % 47).cast("string")).alias("county"),
         (F.col("value").cast("decimal(10,2)") * F.lit(100)).cast("decimal(12,2)")
          .alias("monthly_income_ksh"),
         F.when(F.col("event_type") != "error", (F.col("event_id") % 9 + 1).cast("int"))
@@ -344,24 +359,140 @@ def _household_delta(events):
 
 @register("upsert_household", """
 , delta AS (
-  SELECT CASE WHEN event_type = 'signup' THEN 1000000000 + event_id ELSE user_id END AS household_key,
-         ts, event_id,
+  SELECT CASE WHEN event_type = 'signup' THEN printf('Signup#%012d', event_id)
+              ELSE printf('Customer#%09d', user_id) END AS household_id,
+         ts, event_id, 'County ' || CAST(event_id % 47 AS VARCHAR) AS county,
          CAST(CAST(value AS DECIMAL(10,2)) * 100 AS DECIMAL(12,2)) AS monthly_income_ksh,
          CASE WHEN event_type <> 'error' THEN CAST(event_id % 9 + 1 AS INTEGER) END AS household_size
   FROM events),
 latest AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY household_key ORDER BY ts DESC, event_id DESC) AS rn
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY household_id ORDER BY ts DESC, event_id DESC) AS rn
                  FROM delta) WHERE rn = 1)
-SELECT COALESCE(b.household_key, d.household_key) AS household_key, b.household_id,
-       CASE WHEN d.household_key IS NOT NULL THEN d.monthly_income_ksh ELSE b.monthly_income_ksh END AS monthly_income_ksh,
-       CASE WHEN d.household_key IS NOT NULL THEN d.household_size ELSE b.household_size END AS household_size,
-       CASE WHEN b.household_key IS NOT NULL AND d.household_key IS NOT NULL THEN 'updated'
-            WHEN d.household_key IS NOT NULL THEN 'inserted' ELSE 'unchanged' END AS change
-FROM (SELECT household_key, household_id, monthly_income_ksh, household_size FROM dim_household) b
-FULL OUTER JOIN latest d ON b.household_key = d.household_key
+SELECT COALESCE(b.household_id, d.household_id) AS household_id,
+       CASE WHEN b.household_id IS NOT NULL THEN b.county ELSE d.county END AS county,
+       CASE WHEN d.household_id IS NOT NULL THEN d.monthly_income_ksh ELSE b.monthly_income_ksh END AS monthly_income_ksh,
+       CASE WHEN d.household_id IS NOT NULL THEN d.household_size ELSE b.household_size END AS household_size,
+       CASE WHEN d.household_id IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00' END AS updated_at,
+       CASE WHEN b.household_id IS NOT NULL AND d.household_id IS NOT NULL THEN 'updated'
+            WHEN d.household_id IS NOT NULL THEN 'inserted' ELSE 'unchanged' END AS change
+FROM (SELECT household_id, county, monthly_income_ksh, household_size FROM dim_household) b
+FULL OUTER JOIN latest d ON b.household_id = d.household_id
 """, measures=("monthly_income_ksh",), ops="S12 W3")
 def q_upsert(t):
-    base = t.star.dim_household.select("household_key", "household_id", "monthly_income_ksh",
-                                       "household_size")
-    return sinks.upsert(base, _household_delta(t.events), "household_key",
-                        ["monthly_income_ksh", "household_size"], order=["ts", "event_id"])
+    base = t.star.dim_household.select("household_id", "county", "monthly_income_ksh", "household_size")
+    return sinks.upsert(base, _household_delta(t.events), "household_id",
+                        ["monthly_income_ksh", "household_size"], order=["ts", "event_id"],
+                        updated_at=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+
+
+@register("crm_adoption_clean", """
+SELECT CAST(adoption_key AS VARCHAR) AS salesforce_id, adoption_date,
+       CAST(strftime(adoption_date, '%Y%m%d') AS INTEGER) AS adoption_date_key, payment_method,
+       CASE WHEN adoption_key % 13 = 0 THEN 0.7::DOUBLE WHEN adoption_key % 17 = 0 THEN 1.0::DOUBLE
+            WHEN adoption_key % 19 = 0 THEN 0.0::DOUBLE ELSE CAST(usage_intensity AS DOUBLE) END AS usage_intensity
+FROM fact_adoptions
+""", measures=("usage_intensity",), ops="F2 F13 F14 F15")
+def q_crm_adoption_clean(t):
+    raw = files.crm_adoption_extract(t.star.fact_adoptions)
+    return files.clean_crm_adoptions(raw).select(
+        "salesforce_id", "adoption_date", "adoption_date_key", "payment_method", "usage_intensity")
+
+
+# ---------------------------------------------- written tables, read back
+
+@register("bronze_load_checks", """
+SELECT 'households' AS source, COUNT(*) AS rows, CAST(0 AS BIGINT) AS corrupt_rows,
+       COUNT(county) AS first_column_filled, 'OK' AS status FROM dim_household
+UNION ALL SELECT 'routes', COUNT(*), 0, COUNT(route_id), 'OK' FROM routes_raw
+UNION ALL SELECT 'routes_none', 0, 0, 0, 'Warning'
+UNION ALL SELECT 'products', COUNT(*), COUNT(*) FILTER (WHERE product_key % 10 = 3), COUNT(*), 'Warning' FROM dim_product
+""", ops="S1 S8")
+def q_bronze_load_checks(t):
+    """CSV extracts written with columns in another order, quotes, line breaks and bad values."""
+    s, out = t.star, None
+    key = F.col("product_key")
+    products = s.dim_product.select(
+        "product_type", F.concat(F.lit('a "quoted"\nname, '), "product_model").alias("product_model"),
+        F.when(key % 10 == 3, F.lit("twelve")).otherwise(F.col("lifespan_years").cast("string")).alias("lifespan_years"))
+    for name, df, schema in (
+            ("households", s.dim_household.select("household_key", "county", "head_age"),
+             "county string, head_age int, household_key bigint"),
+            ("routes", s.routes_raw.select("terrain_type", "route_id", "distance_km"),
+             "route_id string, distance_km decimal(10,2), terrain_type string"),
+            ("routes_none", s.routes_raw.where("distance_km < 0").select("route_id", "distance_km"),
+             "distance_km decimal(10,2), route_id string"),
+            ("products", products, "product_model string, lifespan_years int, product_type string")):
+        path = scratch_path(t.spark, f"bronze-{name}")
+        files.write_csv(df, path)
+        one = files.bronze_check(name, files.read_csv(t.spark, path, schema, corrupt="_corrupt_record"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("sink_append", """
+SELECT terrain_type, 2 * COUNT(*) AS rows FROM routes_raw GROUP BY terrain_type
+""", ops="S6")
+def q_sink_append(t):
+    path = scratch_path(t.spark, "sink-append")
+    for _ in range(2):
+        sinks.append(t.star.routes_raw, path, partition_by=["terrain_type"])
+    return t.spark.read.parquet(path).groupBy("terrain_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("sink_replace", """
+SELECT terrain_type, COUNT(*) AS rows FROM routes_raw WHERE ebike_required GROUP BY terrain_type
+""", ops="S7")
+def q_sink_replace(t):
+    path = scratch_path(t.spark, "sink-replace")
+    sinks.replace(t.star.routes_raw, path)
+    sinks.replace(t.star.routes_raw.where("ebike_required"), path)
+    return t.spark.read.parquet(path).groupBy("terrain_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("json_export", """
+SELECT geography_key, county, population, CAST(poverty_rate AS DOUBLE) AS poverty_rate FROM dim_geography
+""", ops="S9")
+def q_json_export(t):
+    path = scratch_path(t.spark, "json-export")
+    sinks.export_json(t.star.dim_geography.select("geography_key", "county", "population", "poverty_rate"), path)
+    return files.read_json(t.spark, path, "geography_key bigint, county string, population int, poverty_rate double",
+                           multiline=False)
+
+
+@register("sql_views", """
+SELECT county, COUNT(*) FILTER (WHERE urban_rural = 'Urban') AS urban, COUNT(*) AS households
+FROM dim_household GROUP BY county
+""", ops="S10")
+def q_sql_views(t):
+    files.register_views(t.spark, {"hearth_households": t.star.dim_household})
+    return t.spark.sql("SELECT county, count_if(urban_rural = 'Urban') AS urban, count(*) AS households "
+                       "FROM hearth_households GROUP BY county")
+
+
+@register("conform_products", """
+SELECT md5(product_id) AS product_key, product_id, product_type, CAST(lifespan_years AS INTEGER) AS lifespan_years,
+       CAST(unit_cost_usd AS DOUBLE) AS unit_cost_usd, CAST(NULL AS INTEGER) AS maintenance_frequency_months
+FROM dim_product
+""", measures=("unit_cost_usd",), ops="B1 B3")
+def q_conform_products(t):
+    raw = t.star.dim_product.drop("product_key")
+    return schemas.conform(raw, schemas.DIM_PRODUCT, key="product_key", natural_key="product_id").select(
+        "product_key", "product_id", "product_type", "lifespan_years", "unit_cost_usd", "maintenance_frequency_months")
+
+
+@register("refresh_audit", """
+SELECT 'silver_households' AS output, COUNT(*) AS rows FROM dim_household
+WHERE household_size BETWEEN 1 AND 20 AND head_age BETWEEN 18 AND 100 AND monthly_income_ksh >= 0
+UNION ALL SELECT 'silver_impact_calculations', COUNT(*) FROM fact_adoptions
+  WHERE product_key IN (SELECT product_key FROM dim_product) AND geography_key IN (SELECT geography_key FROM dim_geography)
+UNION ALL SELECT 'gold_executive_summary', 1
+UNION ALL SELECT 'gold_county_performance', COUNT(DISTINCT geography_key) FROM fact_adoptions
+""", ops="R1 Q13")
+def q_refresh_audit(t):
+    """The full run into the shared folder; its audit row, one output per row."""
+    from . import refresh
+    out = refresh.run(t.spark, t.sf_dir)["output"]
+    audit = t.spark.read.parquet(f"{out}/run_audit").where("success")
+    return (audit.select(F.explode("rows").alias("output", "rows"))
+            .where(F.col("output").isin("silver_households", "silver_impact_calculations", "gold_executive_summary",
+                                        "gold_county_performance")))
