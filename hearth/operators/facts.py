@@ -60,30 +60,46 @@ def adoption_ledger(adoptions: DataFrame, purchase: int = 500, subsidy: int = 30
     One purchase; a subsidy unless fully subsidised; ``n_installments``
     chained monthly payments when on credit; an optional maintenance visit.
     The random draws of the original generator are input columns here:
-    ``n_installments``, ``maintenance_months`` (NULL = none), ``maintenance_amount``.
+    ``n_installments``, ``maintenance_months`` (NULL = none), ``maintenance_amount``; the
+    status of a payment and the channel of a maintenance visit follow from the key.
+    Donors pay subsidies and installments come by mobile money. ``product_type`` is
+    carried where the adoptions have it.
     """
+    key = F.col("adoption_key")
     d = F.col("adoption_date")
     pay = F.col("payment_method")
-    entry = lambda t, dt, amt: F.struct(F.lit(t).alias("type"), dt.alias("date"),
-                                        amt.cast("int").alias("amount_ksh"))
+    kind = "array<struct<type:string,date:date,amount_ksh:int,payment_method:string,status:string>>"
+    none = F.array().cast(kind)
+
+    def entry(t, dt, amt, method, status=F.lit("completed")):
+        return F.struct(F.lit(t).alias("type"), dt.alias("date"), amt.cast("int").alias("amount_ksh"),
+                        method.alias("payment_method"), status.alias("status"))
+
+    def paid(i):  # 17, 2 and 1 of 20 payments are completed, pending and failed
+        at = (key + i) % 20
+        return F.when(at < 17, "completed").when(at < 19, "pending").otherwise("failed")
+
     payments = F.transform(
         F.sequence(F.lit(1), F.col("n_installments")),
-        lambda i: entry("payment", chained_add_months(d, i), F.lit(installment)))
+        lambda i: entry("payment", chained_add_months(d, i), F.lit(installment), F.lit("mobile_money"), paid(i)))
     rows = F.concat(
-        F.array(entry("purchase", d, F.lit(purchase))),
-        F.when(pay != "Full Subsidy", F.array(entry("subsidy", d, F.lit(subsidy))))
-         .otherwise(F.array().cast("array<struct<type:string,date:date,amount_ksh:int>>")),
+        F.array(entry("purchase", d, F.lit(purchase), pay)),
+        F.when(pay != "Full Subsidy", F.array(entry("subsidy", d, F.lit(subsidy), F.lit("donor_fund"))))
+         .otherwise(none),
         F.when(pay == "Credit", payments)
-         .otherwise(F.array().cast("array<struct<type:string,date:date,amount_ksh:int>>")),
+         .otherwise(none),
         F.when(F.col("maintenance_months").isNotNull(),
                F.array(entry("maintenance", F.add_months(d, F.col("maintenance_months")),
-                             F.col("maintenance_amount"))))
-         .otherwise(F.array().cast("array<struct<type:string,date:date,amount_ksh:int>>")),
+                             F.col("maintenance_amount"),
+                             F.when(key % 2 == 0, "cash").otherwise("mobile_money"))))
+         .otherwise(none),
     )
-    return (adoptions.select("adoption_key", "household_key",
+    extra = [c for c in ("product_type",) if c in adoptions.columns]
+    return (adoptions.select("adoption_key", "household_key", *extra,
                              F.posexplode(rows).alias("seq", "e"))
-            .select("adoption_key", "household_key", "seq", "e.type",
-                    F.col("e.date").alias("date"), "e.amount_ksh"))
+            .select(F.concat(F.lit("TRX"), key.cast("string"), F.lit("-"), F.col("seq").cast("string"))
+                    .alias("transaction_id"), "adoption_key", "household_key", *extra, "seq", "e.type",
+                    F.col("e.date").alias("date"), "e.amount_ksh", "e.payment_method", "e.status"))
 
 
 def installment_schedule(adoptions: DataFrame) -> DataFrame:

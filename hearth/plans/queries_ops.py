@@ -224,7 +224,8 @@ def _ledger_input(f):
                     (F.lit(2) + k % 4).cast("int").alias("n_installments"),
                     F.when(k % 10 < 3, (F.lit(3) + (k / 10).cast("bigint") % 10).cast("int"))
                      .alias("maintenance_months"),
-                    (F.lit(50) + k % 151).cast("int").alias("maintenance_amount"))
+                    (F.lit(50) + k % 151).cast("int").alias("maintenance_amount"),
+                    *[c for c in ("product_type",) if c in f.columns])
 
 
 _LEDGER_INPUT_SQL = """
@@ -254,18 +255,30 @@ def q_installments(t):
 
 
 @register("adoption_ledger", _LEDGER_INPUT_SQL + """
-SELECT adoption_key, household_key, 'purchase' AS type, adoption_date AS date, 500 AS amount_ksh FROM li
-UNION ALL
-SELECT adoption_key, household_key, 'subsidy', adoption_date, 300 FROM li WHERE payment_method <> 'Full Subsidy'
-UNION ALL
-SELECT adoption_key, household_key, 'payment', due_date, 100 FROM inst
-UNION ALL
-SELECT adoption_key, household_key, 'maintenance',
-       CAST(adoption_date + INTERVAL (maintenance_months) MONTH AS DATE), maintenance_amount
-FROM li WHERE maintenance_months IS NOT NULL
+, entries AS (
+  SELECT adoption_key, household_key, 0 AS place, 'purchase' AS type, adoption_date AS date, 500 AS amount_ksh, payment_method,
+         'completed' AS status FROM li
+  UNION ALL
+  SELECT adoption_key, household_key, 1, 'subsidy', adoption_date, 300, 'donor_fund', 'completed' FROM li
+  WHERE payment_method <> 'Full Subsidy'
+  UNION ALL
+  SELECT adoption_key, household_key, 1 + installment_no, 'payment', due_date, 100, 'mobile_money',
+         CASE WHEN (adoption_key + installment_no) % 20 < 17 THEN 'completed'
+              WHEN (adoption_key + installment_no) % 20 < 19 THEN 'pending' ELSE 'failed' END FROM inst
+  UNION ALL
+  SELECT adoption_key, household_key, 99, 'maintenance', CAST(adoption_date + INTERVAL (maintenance_months) MONTH AS DATE),
+         maintenance_amount, CASE WHEN adoption_key % 2 = 0 THEN 'cash' ELSE 'mobile_money' END, 'completed'
+  FROM li WHERE maintenance_months IS NOT NULL)
+SELECT 'TRX' || CAST(adoption_key AS VARCHAR) || '-'
+         || CAST(row_number() OVER (PARTITION BY adoption_key ORDER BY place) - 1 AS VARCHAR) AS transaction_id,
+       adoption_key, household_key, product_type, type, date, amount_ksh, payment_method, status
+FROM entries JOIN (SELECT adoption_key, product_type FROM fact_adoptions_multi LEFT JOIN dim_product USING (product_key))
+     USING (adoption_key)
 """, ops="B9 D7")
 def q_ledger(t):
-    return facts.adoption_ledger(_ledger_input(t.star.fact_adoptions_multi)).drop("seq")
+    adoptions = t.star.fact_adoptions_multi
+    types = t.star.dim_product.select("product_key", "product_type")
+    return facts.adoption_ledger(_ledger_input(adoptions.join(types, "product_key", "left"))).drop("seq")
 
 
 IMPACT_MONTHLY_SQL = """
