@@ -23,19 +23,24 @@ OBJECTIVES = ("lives_saved", "co2_avoided", "households_reached")
 SCENARIO_KEYS = ["budget_usd", "objective", "min_allocation_pct"]
 
 
-def county_profile(geography: DataFrame, households: DataFrame) -> DataFrame:
-    """Allocation units from the warehouse: one row per county.
+def county_profile(geography: DataFrame) -> DataFrame:
+    """Allocation units from the geography dimension: one row per county."""
+    return geography.select("county", "region", "population",
+                            F.col("poverty_rate").cast("double").alias("poverty_rate"),
+                            F.col("electrification_rate").cast("double").alias("electrification_rate"))
 
-    Population and electrification come from the geography dimension; the
-    poverty rate is observed: the share of surveyed households of the county
-    with a monthly income under 10,000.
+
+def observed_county_profile(geography: DataFrame, households: DataFrame) -> DataFrame:
+    """Allocation units with an observed poverty rate, for the counties that were surveyed.
+
+    It is the share of a county's surveyed households with a monthly income under 10,000.
     """
     stats = (households.groupBy("county")
              .agg(F.count(F.lit(1)).alias("surveyed_households"),
                   F.avg(F.when(F.col("monthly_income_ksh") < 10000, 1).otherwise(0))
                   .alias("poor_share")))
     return (geography.join(stats, "county")
-            .select("county", "region", "population",
+            .select("county", "region", "population", "surveyed_households",
                     F.round(F.col("poor_share") * 100, 2).alias("poverty_rate"),
                     F.col("electrification_rate").cast("double").alias("electrification_rate")))
 
@@ -266,19 +271,18 @@ def best_objective(summary: DataFrame) -> DataFrame:
                     F.col("objective").alias("best_objective"), F.col("value").alias("best_value")))
 
 
-def quota_allocation(units: DataFrame, total: DataFrame, weight: str,
+def quota_allocation(units: DataFrame, count: str, weight: str,
                      remainder_unit: str) -> DataFrame:
     """``int(n * w)`` per unit; the shortfall goes to one named unit.
 
-    ``total`` is a one-row frame with column ``n``. The weight total, ``n``
-    and the sum of truncated quotas are scalar subqueries (one row each,
-    checked by Spark at run time).
+    ``n`` is the sum of ``count`` over all units. Totals are windows over the
+    units, one row per county (a bounded dimension), so their source is read once.
     """
-    wsum = units.agg(F.sum(weight).alias("wsum")).scalar()
-    u = (units.withColumn("share", F.col(weight) / wsum)
-         .withColumn("n", total.select("n").scalar())
+    every = Window.partitionBy()
+    u = (units.withColumn("share", F.col(weight) / F.sum(weight).over(every))
+         .withColumn("n", F.sum(count).over(every))
          .withColumn("base_quota", (F.col("n") * F.col("share")).cast("bigint")))
-    assigned = u.agg(F.sum("base_quota")).scalar()
+    assigned = F.sum("base_quota").over(every)
     return u.select(
         "county", "share", "base_quota",
         (F.col("base_quota") + F.when(F.col("county") == remainder_unit,

@@ -27,6 +27,8 @@ def load_adoptions(households_raw: DataFrame, households: DataFrame,
         "household_key", "product_key", "geography_key",
         date_key(F.col("adoption_date")).alias("adoption_date_key"),
         "payment_method", "subsidy_amount", "usage_intensity",
+        "baseline_cooking_method", "baseline_fuel_type",
+        F.col("cooking_hours_per_day").alias("baseline_cooking_hours_per_day"),
         F.col("weekly_fuel_cost_ksh").alias("baseline_weekly_fuel_cost_ksh"),
         F.lit(500).cast("decimal(10,2)").alias("actual_price_paid"))
 
@@ -46,6 +48,13 @@ def load_transactions(transactions_raw: DataFrame, households: DataFrame,
             .dropna(subset=["household_key", "transaction_date_key"]))
 
 
+def load_prices(prices_raw: DataFrame) -> DataFrame:
+    """Price rows with their date key; a row whose date is unreadable has none."""
+    return prices_raw.select(
+        date_key(parse_date(F.col("date"))).alias("date_key"), "price_per_ton_usd", "market_type", "standard",
+        "verification_status", "volume_traded_tons", "kenya_premium_pct")
+
+
 def load_routes(routes_raw: DataFrame, geography: DataFrame) -> DataFrame:
     """Geography by county (left), then drop unmapped routes."""
     gk = geography.select("geography_key", "county")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.impact import DEFAULT_IMPACT, ImpactCoefficients
+from ..functions.impact import DEFAULT_IMPACT, ImpactCoefficients, impact_columns
 
 # Product types pivoted into the county performance view.
 PRODUCT_MIX = (("charcoal_stove", "charcoal_stoves"), ("firewood_stove", "firewood_stoves"),
@@ -146,7 +146,33 @@ def gold_county_performance(adoptions: DataFrame, geography: DataFrame, products
     ptype = F.col("product_type")
     f = _fact_side(adoptions.join(g, "geography_key").join(p, "product_key"), keys,
                    [_flag(ptype == t).alias(f"has_{name}") for t, name in product_mix])
-    j = f.join(impact_per_household(impact), "household_key")
+    return _county_totals(f.join(impact_per_household(impact), "household_key"), product_mix)
+
+
+def gold_county_fanout(adoptions: DataFrame, members: DataFrame, geography: DataFrame, products: DataFrame,
+                       coef: ImpactCoefficients = DEFAULT_IMPACT, product_mix=PRODUCT_MIX) -> DataFrame:
+    """G5 over a fact with several adoptions per household (J5), which carries no county.
+
+    ``members`` holds one row (household_key, geography_key) per household, so all
+    adoptions of a household meet all its impact rows: one aggregate per household,
+    with map-side combine, gives both sides. It comes before the household and
+    county joins, so a hot household reaches no join row by row.
+    """
+    p = products.select("product_key", "product_type", "carbon_reduction_tons_year", "pm25_emissions_mg_m3")
+    measures = impact_columns(F.col("carbon_reduction_tons_year"), F.col("pm25_emissions_mg_m3"),
+                              F.col("usage_intensity"), F.col("baseline_weekly_fuel_cost_ksh"), coef)
+    ptype = F.col("product_type")
+    per = _fact_side(adoptions.join(p, "product_key"), [],
+                     [_flag(ptype == t).alias(f"has_{name}") for t, name in product_mix]
+                     + [F.sum(measures[m]).alias(f"si_{m}") for m in IMPACT_MEASURES])
+    g = geography.select("geography_key", "county", "poverty_rate", "electrification_rate", "population")
+    j = (per.withColumn("n_i", F.col("n_f")).join(members, "household_key").join(g, "geography_key"))
+    return _county_totals(j, product_mix)
+
+
+def _county_totals(j: DataFrame, product_mix) -> DataFrame:
+    """County rows from one row per (household, county) with both sides' counts and sums."""
+    keys = ["county", "poverty_rate", "electrification_rate", "population"]
     ps = lambda counts, m: _pair_sum(j, counts, m)
     hh = F.count(F.lit(1))
     return (j.groupBy(*keys).agg(

@@ -24,7 +24,7 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None,
         budgets: Sequence[float] = (500000.0, 1000000.0), floor: float = 0.03) -> dict:
     out = out or scratch_path(spark, "allocation-report")
     s = Tables(spark, sf_dir).star
-    counties = A.county_profile(s.dim_geography, s.dim_household)
+    counties = A.county_profile(s.dim_geography)
     base = A.weighted_product_cost(A.product_economics(s.dim_product))
     alloc = A.allocate(A.county_units(counties, base), A.scenario_grid(budgets, floors=(floor,)))
     write_csv(A.recommendation_table(alloc).drop("min_allocation_pct"),

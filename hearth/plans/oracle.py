@@ -122,6 +122,13 @@ households_raw AS (
            CAST(CAST(a.o_orderkey % 101 AS DECIMAL(5,2)) * 0.01 AS DECIMAL(3,2)) END AS usage_intensity,
          CASE WHEN NOT h.control_group AND a.adoption_date IS NOT NULL THEN
            CAST(a.o_orderkey % 4 AS DECIMAL(10,2)) END AS subsidy_amount,
+         CASE WHEN NOT h.control_group AND a.adoption_date IS NOT NULL THEN
+           ['Three-stone fire', 'Charcoal stove', 'Kerosene', 'LPG', 'Electric'][a.o_orderkey % 5 + 1]
+           END AS baseline_cooking_method,
+         CASE WHEN NOT h.control_group AND a.adoption_date IS NOT NULL THEN
+           ['Charcoal', 'Firewood', 'Kerosene', 'LPG', 'Mixed'][a.o_orderkey % 5 + 1] END AS baseline_fuel_type,
+         CASE WHEN NOT h.control_group AND a.adoption_date IS NOT NULL THEN
+           CAST(1 + (a.o_orderkey % 9) * 0.5 AS DECIMAL(5,2)) END AS cooking_hours_per_day,
          CASE WHEN NOT h.control_group AND a.adoption_date IS NOT NULL THEN
            CAST(a.o_orderkey % 1500 AS DECIMAL(10,2)) END AS weekly_fuel_cost_ksh
   FROM dim_household h
@@ -154,6 +161,15 @@ routes_raw AS (
          CAST(20 + s_suppkey % 30 AS INTEGER) AS deliveries_per_month
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
 ),
+prices_raw AS (
+  SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date,
+         CAST(5 + (o_orderkey % 2000) * 0.01 AS DECIMAL(10,2)) AS price_per_ton_usd,
+         'voluntary' AS market_type, 'CCP' AS standard,
+         CASE WHEN o_orderkey % 3 < 2 THEN 'verified' ELSE 'projected' END AS verification_status,
+         CAST(10000 + o_orderkey % 90000 AS INTEGER) AS volume_traded_tons,
+         CAST(5 + (o_orderkey % 101) * 0.1 AS DECIMAL(5,2)) AS kenya_premium_pct
+  FROM orders
+),
 monthly_prices AS (
   SELECT strftime(date_trunc('month', CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS date,
          SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS total_price, COUNT(*) AS orders

@@ -185,9 +185,7 @@ def q_gold_county(t):
           measures=_COUNTY_PERF_MEASURES, ops="J5 T3", headline=True)
 def q_gold_fanout(t):
     s = t.star
-    f = s.fact_adoptions_multi
-    impact = silver.silver_impact_calculations(f, s.dim_product, s.dim_geography)
-    return gold.gold_county_performance(f, s.dim_geography, s.dim_product, impact)
+    return gold.gold_county_fanout(s.order_adoptions, s.programme_households, s.dim_geography, s.dim_product)
 
 
 @register("gold_donor_health_impact", households_sql("fact_adoptions") + f"""

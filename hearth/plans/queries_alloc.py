@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.impact import DEFAULT_ALLOCATION as AC
+from ..functions.impact import impact_per_household
 from ..operators import allocate as A
 from .registry import register
 
@@ -17,7 +17,7 @@ EQUITY_BUDGET = 500000.0
 def _units(t):
     def make():
         s = t.star
-        counties = A.county_profile(s.dim_geography, s.dim_household)
+        counties = A.county_profile(s.dim_geography)
         base = A.weighted_product_cost(A.product_economics(s.dim_product))
         return A.county_units(counties, base)
     return t.derived("alloc_units", make)
@@ -28,17 +28,28 @@ def _alloc(t, budgets=BUDGETS, floors=(FLOOR,)):
                      lambda: A.allocate(_units(t), A.scenario_grid(budgets, floors=floors)))
 
 
-_W = ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in AC.product_weights.items())
+# Product mix, deaths per 1000 households and the share averted, tons of CO2 a household.
+_W = """('charcoal_stove', CAST(0.55 AS DOUBLE)), ('firewood_stove', CAST(0.35 AS DOUBLE)),
+        ('pellet_stove', CAST(0.02 AS DOUBLE)), ('solar_lantern', CAST(0.08 AS DOUBLE))"""
+_LIVES = "(CAST(2.3 AS DOUBLE) * CAST(0.35 AS DOUBLE) / CAST(1000 AS DOUBLE))"
+_MULTIPLIER = ("CASE WHEN 1.0 + (poverty_rate - 30.0) / 100.0 IS NOT NULL "
+               "THEN greatest(0.8, least(1.5, 1.0 + (poverty_rate - 30.0) / 100.0)) END")
 
-UNITS_SQL = f"""
+OBSERVED_SQL = """
 , stats AS (
   SELECT county, COUNT(*) AS surveyed_households,
          AVG(CASE WHEN monthly_income_ksh < 10000 THEN 1 ELSE 0 END) AS poor_share
   FROM dim_household GROUP BY county),
-counties AS (
-  SELECT g.county, g.region, g.population, ROUND(s.poor_share * 100, 2) AS poverty_rate,
-         CAST(g.electrification_rate AS DOUBLE) AS electrification_rate
-  FROM dim_geography g JOIN stats s ON g.county = s.county),
+observed AS (
+  SELECT g.county, g.population, s.surveyed_households, ROUND(s.poor_share * 100, 2) AS poverty_rate
+  FROM dim_geography g JOIN stats s ON g.county = s.county)
+"""
+
+UNITS_SQL = f"""
+, counties AS (
+  SELECT county, region, population, CAST(poverty_rate AS DOUBLE) AS poverty_rate,
+         CAST(electrification_rate AS DOUBLE) AS electrification_rate
+  FROM dim_geography),
 econ AS (
   SELECT product_type, CAST(SUM(unit_cost_usd) AS DOUBLE) / COUNT(unit_cost_usd) AS unit_cost_usd
   FROM dim_product GROUP BY product_type),
@@ -55,12 +66,11 @@ units AS (
   SELECT *, CAST(trunc(CAST(est_households AS DOUBLE) * energy_poverty_rate / 100.0) AS BIGINT) AS target_market,
          1.0 + (100.0 - electrification_rate) / 200.0 AS remoteness_factor,
          base_cost_usd * (1.0 + (100.0 - electrification_rate) / 200.0) * 1.15 AS cost_per_hh_usd,
-         CASE WHEN 1.0 + (poverty_rate - 30.0) / 100.0 IS NOT NULL
-              THEN greatest(0.8, least(1.5, 1.0 + (poverty_rate - 30.0) / 100.0)) END AS poverty_multiplier
+         {_MULTIPLIER} AS poverty_multiplier
   FROM m1),
 units2 AS (
-  SELECT *, {AC.mortality_per_1000_hh * AC.mortality_reduction / 1000.0!r} * poverty_multiplier AS lives_saved_per_hh,
-         {AC.co2_per_hh!r} AS co2_per_hh
+  SELECT *, {_LIVES} * poverty_multiplier AS lives_saved_per_hh,
+         CAST(1.58 AS DOUBLE) AS co2_per_hh
   FROM units)
 """
 
@@ -152,6 +162,19 @@ def q_impact_coeff(t):
                             "co2_per_hh")
 
 
+@register("observed_poverty_impact", OBSERVED_SQL + f"""
+, m AS (SELECT *, {_MULTIPLIER} AS poverty_multiplier FROM observed)
+SELECT county, surveyed_households, poverty_rate, poverty_multiplier,
+       {_LIVES} * poverty_multiplier AS lives_saved_per_hh
+FROM m
+""", measures=("poverty_rate", "poverty_multiplier", "lives_saved_per_hh"), scale=9, ops="F22")
+def q_observed_poverty(t):
+    s = t.star
+    units = A.observed_county_profile(s.dim_geography, s.dim_household)
+    return (units.withColumns(impact_per_household(F.col("poverty_rate")))
+            .select("county", "surveyed_households", "poverty_rate", "poverty_multiplier", "lives_saved_per_hh"))
+
+
 _ALLOC_OUT = ("households_allocated", "investment_usd", "allocation_pct", "lives_saved",
               "co2_avoided_tons", "penetration_achieved_pct")
 
@@ -277,12 +300,12 @@ def q_recommendation(t):
     return A.recommendation_table(_alloc(t))
 
 
-@register("quota_allocation", UNITS_SQL + """
+@register("quota_allocation", OBSERVED_SQL + """
 , tot AS (SELECT COUNT(*) AS n FROM dim_household),
-ws AS (SELECT SUM(population) AS wsum FROM counties),
+ws AS (SELECT SUM(population) AS wsum FROM observed),
 q AS (SELECT c.county, CAST(c.population AS DOUBLE) / ws.wsum AS share,
              CAST(trunc(tot.n * (CAST(c.population AS DOUBLE) / ws.wsum)) AS BIGINT) AS base_quota, tot.n
-      FROM counties c, ws, tot)
+      FROM observed c, ws, tot)
 SELECT county, share, base_quota,
        CAST(base_quota + CASE WHEN county = 'NATION_24' THEN n - (SELECT SUM(base_quota) FROM q) ELSE 0 END
             AS BIGINT) AS quota
@@ -290,9 +313,8 @@ FROM q
 """, measures=("share",), scale=9, ops="F25")
 def q_quota(t):
     s = t.star
-    counties = A.county_profile(s.dim_geography, s.dim_household)
-    total = s.dim_household.agg(F.count(F.lit(1)).alias("n"))
-    return A.quota_allocation(counties, total, "population", remainder_unit="NATION_24")
+    units = A.observed_county_profile(s.dim_geography, s.dim_household)
+    return A.quota_allocation(units, "surveyed_households", "population", remainder_unit="NATION_24")
 
 
 @register("impact_potential", """

@@ -83,22 +83,35 @@ def q_usage_clip(t):
             .withColumn("usage_clipped", C.clip("usage_raw", 0, 1)))
 
 
-@register("crm_household_clean", """
-SELECT household_id, county, urban_rural, head_gender,
-       CAST(trunc(COALESCE(TRY_CAST(CASE WHEN household_key % 13 = 0 THEN 'unknown'
-                                         ELSE CAST(head_age AS VARCHAR) END AS DOUBLE), 0)) AS INTEGER) AS head_age,
-       CAST(trunc(COALESCE(TRY_CAST(CASE WHEN household_key % 11 = 0 THEN ''
-                                         ELSE CAST(household_size AS VARCHAR) END AS DOUBLE), 1)) AS INTEGER) AS household_size,
-       children_under_18,
-       monthly_income_ksh,
-       control_group
-FROM dim_household
-""", measures=("monthly_income_ksh",), ops="F2 F3 F13")
+_CRM_SQL = """
+, crm AS (
+  SELECT CAST(household_key AS VARCHAR) AS salesforce_id, household_id, county,
+         county || '-' || CAST(household_key % 8 AS VARCHAR) AS sub_county,
+         'Ward ' || CAST(household_key % 40 AS VARCHAR) AS ward, 'Village ' || CAST(household_key % 400 AS VARCHAR) AS village,
+         urban_rural, gps_latitude, gps_longitude, head_gender,
+         CAST(trunc(COALESCE(TRY_CAST(CASE WHEN household_key % 13 = 0 THEN 'unknown'
+                                           ELSE CAST(head_age AS VARCHAR) END AS DOUBLE), 0)) AS INTEGER) AS head_age,
+         CAST(trunc(COALESCE(TRY_CAST(CASE WHEN household_key % 11 = 0 THEN ''
+                                           ELSE CAST(household_size AS VARCHAR) END AS DOUBLE), 1)) AS INTEGER) AS household_size,
+         children_under_18, monthly_income_ksh, control_group
+  FROM dim_household)
+"""
+
+
+@register("crm_household_clean", _CRM_SQL + "SELECT * FROM crm",
+          measures=("monthly_income_ksh", "gps_latitude", "gps_longitude"), ops="F2 F3 F13")
 def q_crm_clean(t):
-    raw = files.crm_extract(t.star.dim_household)
-    return files.clean_crm_households(raw).select(
-        "household_id", "county", "urban_rural", "head_gender", "head_age", "household_size",
-        "children_under_18", "monthly_income_ksh", "control_group")
+    return files.clean_crm_households(files.crm_extract(t.star.dim_household))
+
+
+@register("crm_household_transform", _CRM_SQL + """
+SELECT *, CASE WHEN monthly_income_ksh > 30000 THEN 'High' WHEN monthly_income_ksh > 10000 THEN 'Medium'
+               WHEN monthly_income_ksh > 0 THEN 'Low' END AS income_bracket
+FROM crm
+WHERE head_age BETWEEN 18 AND 100 AND household_size BETWEEN 1 AND 20 AND monthly_income_ksh >= 0
+""", measures=("monthly_income_ksh", "gps_latitude", "gps_longitude"), ops="F2 F3 F5 F7 F13")
+def q_crm_transform(t):
+    return files.transform_crm_households(files.crm_extract(t.star.dim_household))
 
 
 @register("date_key_facts", """
@@ -167,6 +180,8 @@ def q_dim_date(t):
 SELECT h.household_key, p.product_key, g.geography_key,
        CAST(strftime(r.adoption_date, '%Y%m%d') AS INTEGER) AS adoption_date_key,
        r.payment_method, r.subsidy_amount, r.usage_intensity,
+       r.baseline_cooking_method, r.baseline_fuel_type,
+       r.cooking_hours_per_day AS baseline_cooking_hours_per_day,
        r.weekly_fuel_cost_ksh AS baseline_weekly_fuel_cost_ksh,
        CAST(500 AS DECIMAL(10,2)) AS actual_price_paid
 FROM households_raw r
@@ -176,7 +191,7 @@ LEFT JOIN (SELECT product_type, MIN(product_key) AS product_key FROM dim_product
 JOIN dim_geography g ON r.county = g.county
 WHERE r.product_type IS NOT NULL AND r.product_type <> 'none'
 """, measures=("subsidy_amount", "usage_intensity", "baseline_weekly_fuel_cost_ksh",
-               "actual_price_paid"), ops="B4 J2 J3 A10 F15 F16")
+               "baseline_cooking_hours_per_day", "actual_price_paid"), ops="B4 J2 J3 A10 F15 F16")
 def q_load_adoptions(t):
     s = t.star
     return facts.load_adoptions(s.households_raw, s.dim_household, s.dim_product, s.dim_geography)
@@ -197,6 +212,15 @@ def q_load_transactions(t):
     return facts.load_transactions(s.transactions_raw, s.dim_household, s.dim_product)
 
 
+@register("load_prices", """
+SELECT CAST(strftime(TRY_CAST(date AS DATE), '%Y%m%d') AS INTEGER) AS date_key, price_per_ton_usd, market_type,
+       standard, verification_status, volume_traded_tons, kenya_premium_pct
+FROM prices_raw
+""", measures=("price_per_ton_usd", "kenya_premium_pct"), ops="B8 F15 D9")
+def q_load_prices(t):
+    return facts.load_prices(t.star.prices_raw)
+
+
 @register("load_routes", """
 SELECT r.route_id, g.geography_key, r.distribution_center, r.route_name, r.distance_km,
        r.households_covered, r.terrain_type, r.ebike_required, r.deliveries_per_month

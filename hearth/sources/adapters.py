@@ -29,6 +29,9 @@ PRODUCT_TYPE_OF_PART_TYPE = {
 # Payment methods and transaction channels by code.
 PAYMENT_METHODS = ("Cash", "Mobile Money", "Credit", "Full Subsidy")
 TERRAIN_TYPES = ("flat", "hilly", "mixed")
+# Cooking methods and fuels before adoption, by code.
+COOKING_METHODS = ("Three-stone fire", "Charcoal stove", "Kerosene", "LPG", "Electric")
+FUEL_TYPES = ("Charcoal", "Firewood", "Kerosene", "LPG", "Mixed")
 
 
 def _dec(x) -> Column:
@@ -175,7 +178,7 @@ class StarSchema:
         return self.t.orders.select(
             F.col("o_custkey").alias("household_key"), cols["product_key"],
             F.to_date(F.col("o_orderdate")).alias("adoption_date"),
-            cols["usage_intensity"], cols["baseline_weekly_fuel_cost_ksh"])
+            cols["usage_intensity"], cols["subsidy_amount"], cols["baseline_weekly_fuel_cost_ksh"])
 
     @cached_property
     def programme_households(self) -> DataFrame:
@@ -224,11 +227,16 @@ class StarSchema:
                          F.to_date("o_orderdate").alias("adoption_date"),
                          cols["payment_method"], cols["usage_intensity"],
                          cols["subsidy_amount"],
+                         _case(k % 5, dict(enumerate(COOKING_METHODS))).alias("baseline_cooking_method"),
+                         _case(k % 5, dict(enumerate(FUEL_TYPES))).alias("baseline_fuel_type"),
+                         (_dec("1.0") + (k % 9).cast("decimal(2,0)") * _dec("0.5")).cast("decimal(5,2)")
+                         .alias("cooking_hours_per_day"),
                          cols["baseline_weekly_fuel_cost_ksh"].alias("weekly_fuel_cost_ksh")))
         j = h.join(adopt, "household_id", "left")
         treated = ~F.col("control_group") & F.col("adoption_date").isNotNull()
         out = j.withColumn("product_type", F.when(treated, F.col("adopted_type")).otherwise(F.lit("none")))
         for name in ("adoption_date", "payment_method", "usage_intensity", "subsidy_amount",
+                     "baseline_cooking_method", "baseline_fuel_type", "cooking_hours_per_day",
                      "weekly_fuel_cost_ksh"):
             out = out.withColumn(name, F.when(treated, F.col(name)))
         return out.drop("adopted_type")
@@ -274,6 +282,20 @@ class StarSchema:
             (F.lit(20) + k % 30).cast("int").alias("deliveries_per_month"),
         ))
 
+    @cached_property
+    def prices_raw(self) -> DataFrame:
+        """Carbon price rows as they are read: one per order, dated by a text day."""
+        k = F.col("o_orderkey")
+        return self.t.orders.select(
+            F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd").alias("date"),
+            (_dec("5.00") + (k % 2000).cast("decimal(4,0)") * _dec("0.01")).cast("decimal(10,2)")
+            .alias("price_per_ton_usd"),
+            F.lit("voluntary").alias("market_type"), F.lit("CCP").alias("standard"),
+            F.when(k % 3 < 2, "verified").otherwise("projected").alias("verification_status"),
+            (F.lit(10000) + k % 90000).cast("int").alias("volume_traded_tons"),
+            (_dec("5.0") + (k % 101).cast("decimal(3,0)") * _dec("0.1")).cast("decimal(5,2)")
+            .alias("kenya_premium_pct"))
+
     @cached_property
     def monthly_prices(self) -> DataFrame:
         """Price series: one row per order month, dated by a text first-of-month."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.columns import clip, coerce, coerce_bool
+from ..functions.columns import clip, coerce, coerce_bool, cut, household_is_valid
 from ..functions.dates import date_key, parse_date
 from .schemas import struct
 
@@ -65,9 +65,15 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str,
 
 # CRM field -> warehouse column.
 CRM_HOUSEHOLD_FIELDS = {
+    "Id": "salesforce_id",
     "Household_ID__c": "household_id",
     "County__c": "county",
+    "Sub_County__c": "sub_county",
+    "Ward__c": "ward",
+    "Village__c": "village",
     "Urban_Rural__c": "urban_rural",
+    "GPS_Latitude__c": "gps_latitude",
+    "GPS_Longitude__c": "gps_longitude",
     "Head_Gender__c": "head_gender",
     "Head_Age__c": "head_age",
     "Household_Size__c": "household_size",
@@ -85,11 +91,24 @@ def clean_crm_households(raw: DataFrame) -> DataFrame:
         "head_age": coerce("head_age", 0, "int"),
         "household_size": coerce("household_size", 1, "int"),
         "children_under_18": coerce("children_under_18", 0, "int"),
+        "gps_latitude": F.col("gps_latitude").try_cast("decimal(10,6)"),
+        "gps_longitude": F.col("gps_longitude").try_cast("decimal(10,6)"),
         "monthly_income_ksh": coerce("monthly_income_ksh", 0, "decimal(12,2)"),
         "control_group": coerce_bool("control_group"),
     })
 
 
+# Income cut of the CRM transform.
+INCOME_EDGES = (0, 10000, 30000, float("inf"))
+INCOME_LABELS = ("Low", "Medium", "High")
+
+
+def transform_crm_households(raw: DataFrame) -> DataFrame:
+    """F5 + F7 on the cleaned extract: rows in range only, with their income cut (0 and below: NULL)."""
+    return clean_crm_households(raw).where(household_is_valid()).withColumn(
+        "income_bracket", cut("monthly_income_ksh", INCOME_EDGES, INCOME_LABELS))
+
+
 def crm_extract(households: DataFrame) -> DataFrame:
     """Render household rows the way the CRM API returns them: text fields.
 
@@ -102,7 +121,12 @@ def crm_extract(households: DataFrame) -> DataFrame:
         k.cast("string").alias("Id"),
         F.col("household_id").alias("Household_ID__c"),
         F.col("county").alias("County__c"),
+        F.concat("county", F.lit("-"), (k % 8).cast("string")).alias("Sub_County__c"),
+        F.concat(F.lit("Ward "), (k % 40).cast("string")).alias("Ward__c"),
+        F.concat(F.lit("Village "), (k % 400).cast("string")).alias("Village__c"),
         F.col("urban_rural").alias("Urban_Rural__c"),
+        F.col("gps_latitude").cast("string").alias("GPS_Latitude__c"),
+        F.col("gps_longitude").cast("string").alias("GPS_Longitude__c"),
         F.col("head_gender").alias("Head_Gender__c"),
         F.when(k % 13 == 0, F.lit("unknown")).otherwise(F.col("head_age").cast("string"))
          .alias("Head_Age__c"),

@@ -85,3 +85,23 @@ def test_orders_are_reduced_before_they_meet_their_household(spark):
 def test_incremental_filter_reaches_the_scan(spark):
     plan = registry.build("incremental_extract", spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(ts," in plan
+
+
+def test_fanout_reduces_orders_before_they_meet_their_household(spark):
+    from hearth.operators import gold, silver
+    from hearth.sources.tables import Tables
+    s = Tables(spark, SF001).star
+    df = gold.gold_county_fanout(s.order_adoptions, s.programme_households.hint("merge"), s.dim_geography, s.dim_product)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    _, _, below = plan.partition("Join Inner, (household_key")
+    assert "Aggregate" in below.split("Relation")[0]
+    f = s.fact_adoptions_multi
+    pairs = gold.gold_county_performance(f, s.dim_geography, s.dim_product, silver.silver_impact_calculations(
+        f, s.dim_product, s.dim_geography))
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, pairs.collect()))
+
+
+def test_quotas_read_households_once(spark):
+    registry.load_all()
+    plan = registry.build("quota_allocation", spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[c_custkey", plan)) == 1
