@@ -106,10 +106,14 @@ def template_grams(spark: SparkSession, templates=TEMPLATES, k: int = K) -> Data
 
 def regions(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND,
             least_votes: float = LEAST_VOTES) -> DataFrame:
-    """``(doc_id, text_hash, template, first, last)``: merged diagonals with enough votes."""
+    """``(doc_id, text_hash, template, first, last)``: merged diagonals with enough votes, per row.
+
+    Votes are counted per row of ``docs``, so copies neither add up nor meet in one group.
+    """
     def run(batches):
         import pyarrow as pa
-        grams = Grams(k)
+        from pyspark import TaskContext
+        grams, row = Grams(k), TaskContext.get().partitionId() << 33
         for b in batches:
             made, n = [], 0
             for i, t in enumerate(b.column(2)):
@@ -123,17 +127,19 @@ def regions(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND,
                     offsets = pa.array(np.cumsum([0] + [len(m[2]) for m in made]), pa.int32())
                     flat = pa.array(np.concatenate([m[2] for m in made]), pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(rows), b.column(1).take(rows), pa.array([m[1] for m in made], pa.int32()),
-                         pa.ListArray.from_arrays(offsets, flat)], names=["doc_id", "text_hash", "begin", "grams"])
+                        [pa.array([row + m[0] for m in made], pa.int64()), b.column(0).take(rows), b.column(1).take(rows),
+                         pa.array([m[1] for m in made], pa.int32()), pa.ListArray.from_arrays(offsets, flat)],
+                        names=["row", "doc_id", "text_hash", "begin", "grams"])
                     made, n = [], 0
+            row += b.num_rows
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"),
                        F.col("text").cast("binary").alias("text"))
-    grams = rows.mapInArrow(run, "doc_id bigint, text_hash bigint, begin int, grams array<bigint>").select(
-        "doc_id", "text_hash", "begin", F.posexplode("grams").alias("i", "gram"))
+    grams = rows.mapInArrow(run, "row bigint, doc_id bigint, text_hash bigint, begin int, grams array<bigint>").select(
+        "row", "doc_id", "text_hash", "begin", F.posexplode("grams").alias("i", "gram"))
     table = F.broadcast(template_grams(docs.sparkSession, templates, k))  # a few hundred rows, fixed
     p = F.col("begin") + F.col("i")
-    doc = ["doc_id", "text_hash", "template"]
+    doc = ["row", "doc_id", "text_hash", "template"]
     votes = (grams.join(table, "gram").groupBy(*doc, "size", (p - F.col("tpos")).alias("diagonal"))
              .agg(F.count(F.lit(1)).alias("votes"), F.min(p).alias("first"), F.max(p + F.lit(k)).alias("last")))
     order = Window.partitionBy(*doc).orderBy("diagonal")
@@ -142,7 +148,7 @@ def regions(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND,
               .groupBy(*doc, "size", "region").agg(F.sum("votes").alias("votes"), F.min("first").alias("first"),
                                                    F.max("last").alias("last")))
     return merged.where(F.col("votes") >= F.greatest(F.lit(1), F.col("size") * F.lit(least_votes))).select(
-        *doc, "first", "last")
+        *doc[1:], "first", "last")
 
 
 def verify(ws: list[bytes], template: list[bytes], first: int, last: int, slack: int) -> tuple[int, int, float]:
@@ -161,9 +167,11 @@ def base_places(ws: list[bytes], base=BASE) -> list[tuple[int, str]]:
     out = []
     for phrase, label in base:
         needle = b" " + phrase.encode() + b" "
-        at = joined.find(needle)
+        at, seen, word = joined.find(needle), 0, 0
         while at >= 0:
-            out.append((joined.count(b" ", 0, at), label))
+            word += joined.count(b" ", seen, at)  # words before the place, counted on from the last one
+            seen = at
+            out.append((word, label))
             at = joined.find(needle, at + 1)
     return sorted(out)
 
@@ -177,7 +185,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND, lea
     docs = pick(docs, "doc_id", "text")
     found = materialise(regions(docs, templates, k, band, least_votes)
                         .groupBy(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"))
-                        .agg(F.collect_list(F.struct("template", "first", "last")).alias("regions")), "license-regions")
+                        .agg(F.collect_set(F.struct("template", "first", "last")).alias("regions")), "license-regions")
     rows = (docs.select(F.col("doc_id").cast("bigint"), F.col("text"))
             .join(broadcast_if_small(found, 160), F.col("doc_id").eqNullSafe(F.col("r_id"))
                   & (F.xxhash64("text") == F.col("r_hash")), "left")

@@ -67,3 +67,19 @@ def test_neighbouring_diagonals_of_an_edited_notice(spark):
 def test_odd_rows(odd_docs, no_docs):
     check(odd_docs)
     assert license_scan.scan(no_docs).count() == 0
+
+
+def test_copies_do_not_add_up_votes(spark):
+    text = "released under the terms of nothing, permission is hereby granted to nobody at all"
+    one = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    many = spark.createDataFrame([(1, text)] * 40, "doc_id long, text string")
+    loose, strict = (set(license_scan.regions(one, least_votes=v).collect()) for v in (0.05, 0.25))
+    assert loose > strict
+    assert set(license_scan.regions(many, least_votes=0.05).collect()) == loose
+    assert set(license_scan.regions(many, least_votes=0.25).collect()) == strict
+
+
+def test_many_places_in_one_text(spark):
+    text = "cc by nc under the mit license " * 20_000
+    row = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (140_000, 40_000, 0, 139_996)
