@@ -67,22 +67,27 @@ def fit_cells(classes: DataFrame, cell: int = CELL, max_cells: int = MAX_CELLS,
     return spherical_kmeans(unit(flat, size[0]), min(max_cells, math.ceil(size[1] / cell)))
 
 
-def near_cells(x: np.ndarray, centroids: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def distances(centroids: np.ndarray) -> np.ndarray:
+    """Distance of every two centroids, a row at a time: memory is one table of cells by cells."""
+    return np.stack([np.linalg.norm(centroids - c, axis=1) for c in centroids])
+
+
+def near_cells(x: np.ndarray, centroids: np.ndarray, apart: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Home cell of each unit row, and the matrix of cells that a linked vector may call home.
 
     x and a linked y (chord at most sqrt(2 - 2 threshold)) lie in cells h and j only if x is
-    within that chord of the plane between the two centroids.
+    within that chord of the plane between the two centroids (``apart``: their distances).
     """
     dots = x @ centroids.T
     home = dots.argmax(axis=1)
     gap = dots[np.arange(len(x)), home][:, None] - dots
-    apart = np.linalg.norm(centroids[home][:, None, :] - centroids[None, :, :], axis=2)
-    return home, gap <= apart * (math.sqrt(2 - 2 * threshold) + 1e-9) + 1e-12
+    return home, gap <= apart[home] * (math.sqrt(2 - 2 * threshold) + 1e-9) + 1e-12
 
 
 def _assign(centroids, threshold):
     def run(batches):
         import pyarrow as pa
+        apart = distances(centroids) if centroids is not None else None
         for b in batches:
             dims = b.column(3).to_numpy()
             homes = np.zeros(b.num_rows, np.int32)
@@ -90,7 +95,7 @@ def _assign(centroids, threshold):
             at = np.flatnonzero(dims == centroids.shape[1]) if centroids is not None else ()
             for part in (at[i:i + 256] for i in range(0, len(at), 256)):
                 x = unit(b.column(2).take(pa.array(part)).flatten().to_numpy(zero_copy_only=False), centroids.shape[1])
-                homes[part], near = near_cells(x, centroids, threshold)
+                homes[part], near = near_cells(x, centroids, apart, threshold)
                 for row, cell in zip(part, near):
                     cells[row] = np.flatnonzero(cell).tolist()
             yield pa.RecordBatch.from_arrays(
