@@ -34,7 +34,7 @@ def op2_mixing(spark, sf_dir):
 
 
 OP2_SQL = r"""
-WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+WITH d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), text, '')) AS key, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
            FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE
@@ -46,7 +46,7 @@ l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE
 t AS (SELECT source, source_size, CASE WHEN lev < cap / w THEN least(cap, max(CASE WHEN lev < cap / w THEN lev END) OVER () * w)
              ELSE cap END AS target FROM l),
 r AS (SELECT d.doc_id, d.size, t.source_size, t.target,
-             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id, d.size
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin_at,
              CAST(floor(t.target) AS BIGINT) // greatest(t.source_size, 1) AS passes
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)

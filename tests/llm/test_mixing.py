@@ -89,3 +89,17 @@ def test_odd_rows(odd_docs, no_docs):
     assert mixing.plan(no_docs, ["doc_id"]).count() == 0
     assert mixing.training_order(no_docs).count() == 0
     assert mixing.training_order(odd_docs).columns == odd_docs.columns
+
+
+def test_rows_without_an_id_match_the_sql(spark, tmp_path):
+    import duckdb
+
+    from hearth.llm import queries
+    docs = spark.range(600).selectExpr("case when id % 3 > 0 then id end as doc_id",
+                                       "concat('t', id % 50, repeat(' w', cast(id % 7 as int))) as text",
+                                       "concat('s', id % 4) as source")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(str, map(tuple, queries.op2_mixing(spark, str(tmp_path)).collect())))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert got == sorted(map(str, con.execute(queries.OP2_SQL).fetchall()))
