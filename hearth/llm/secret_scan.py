@@ -20,6 +20,7 @@ import math
 import re
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,7 +74,6 @@ def candidates(text: str) -> list[dict]:
 def find(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
     """``(row, doc_id, text_hash, owner, repository, found)`` per row; one pass, no shuffle."""
     def run(batches):
-        import pyarrow as pa
         import pyarrow.compute as pc
         from pyspark import TaskContext
 
@@ -146,6 +146,25 @@ def report(docs: DataFrame, **options) -> DataFrame:
         F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"))
 
 
+def masked(text: str, cuts: list[tuple[int, int]], mask: str) -> str:
+    """``text`` with ``mask`` in place of each of the merged ``cuts``; linear in its length."""
+    pieces, at = [], 0
+    for start, end in sorted(cuts):
+        if end > at:
+            if start >= at:
+                pieces += [text[at:start], mask]
+            at = end
+    return "".join([*pieces, text[at:]])
+
+
+def _masker(mask: str):
+    @F.arrow_udf("string")
+    def run(text: pa.Array, cuts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else masked(t, [(c["s"], c["e"]) for c in cut], mask)
+                         for t, cut in zip(text.to_pylist(), cuts.to_pylist())], pa.string())
+    return run
+
+
 def redact(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
     """The rows and columns of ``docs`` with every value masked that is not a widely copied example.
 
@@ -158,15 +177,8 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
                        "secret-cuts").withColumnsRenamed({"doc_id": cut_id, "text_hash": cut_hash})
     joined = docs.join(broadcast_if_small(cuts, 256), docs["doc_id"].cast("bigint").eqNullSafe(F.col(cut_id))
                        & (F.xxhash64(docs["text"]) == F.col(cut_hash)), "left").drop(cut_id, cut_hash)
-    # pieces between the merged cuts: (end of what is masked so far, text so far)
-    state = F.aggregate(
-        F.array_sort(cut), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, c: F.when(c["e"] <= a["at"], a).otherwise(F.struct(
-            c["e"].alias("at"),
-            F.concat(a["out"], F.when(c["s"] >= a["at"], F.concat(
-                F.substring(F.col("text"), a["at"] + 1, c["s"] - a["at"]), F.lit(mask))).otherwise(F.lit(""))).alias("out"))),
-        lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.lit(1 << 30))))
-    out = joined.withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(state))
+    masked = _masker(mask)(F.when(F.col(cut).isNotNull(), F.col("text")), F.col(cut))  # other texts stay in the JVM
+    out = joined.withColumn("text", F.coalesce(masked, F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(cut).isNull(), F.col("n_chars"))
                              .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))

@@ -69,3 +69,17 @@ def test_redaction_masks_values_and_leaves_the_rest(spark):
     assert rows[11].text == "x [SECRET] y"
     assert rows[12].text == "token = '[SECRET]'"
     assert rows[13].text is None and rows[13].n_chars is None
+
+
+def test_many_cuts_of_a_long_text(spark):
+    own = [f"AKIA{i:016d}" for i in range(5000)]
+    text = "é " + " ".join(own) + " end"
+    docs = spark.createDataFrame([(1, text, "en", "a"), (2, "plain", "en", "b"), (3, None, None, None)],
+                                 "doc_id long, text string, lang string, source string")
+    rows = {r.doc_id: r.text for r in secret_scan.redact(docs, mask="*").collect()}
+    assert rows == {1: "é " + " ".join("*" * 5000) + " end", 2: "plain", 3: None}
+
+
+def test_overlapping_cuts_are_one():
+    assert secret_scan.masked("abcdefgh", [(4, 6), (1, 5), (1, 3)], "#") == "a#gh"
+    assert secret_scan.masked("abc", [], "#") == "abc"
