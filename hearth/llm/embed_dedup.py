@@ -29,6 +29,7 @@ CELL = 2048            # classes of one label that a cell should hold
 MAX_CELLS = 1024
 SAMPLE = 20_000        # classes the cells are fitted on
 BLOCK = 2048           # rows of either side compared at once
+EDGE = 1e-12           # rounding of a blocked product of unit vectors stays far below this
 
 
 def valid(vector) -> F.Column:
@@ -84,6 +85,20 @@ def near_cells(x: np.ndarray, centroids: np.ndarray, apart: np.ndarray, threshol
     return home, gap <= apart[home] * (math.sqrt(2 - 2 * threshold) + 1e-9) + 1e-12
 
 
+def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which unit rows of ``a`` and ``b`` have a cosine of at least ``threshold``.
+
+    The last bits of a blocked product depend on the block. Pairs within ``EDGE`` of the
+    threshold are summed by themselves, so that a pair is judged alike from either side.
+    """
+    dots = a @ b.T
+    hit = dots >= threshold - EDGE
+    if hit.any():
+        i, j = np.nonzero(hit & (dots < threshold + EDGE))
+        hit[i, j] = np.einsum("ij,ij->i", a[i], b[j]) >= threshold
+    return hit
+
+
 def _assign(centroids, threshold):
     def run(batches):
         import pyarrow as pa
@@ -122,7 +137,7 @@ def _compare(threshold):
                 touched = np.zeros(e - s, bool)
                 for i in range(0, left, 512):
                     j = min(i + 512, left)
-                    hit = x[i:j] @ x[left:].T >= threshold
+                    hit = linked(x[i:j], x[left:], threshold)
                     hit &= cid[i:j, None] != cid[None, left:]
                     links[i:j] = hit @ n[left:]
                     touched[i:j] = hit.any(axis=1)
@@ -131,7 +146,7 @@ def _compare(threshold):
                     continue
                 ids, first, back = np.unique(cid[touched], return_index=True, return_inverse=True)
                 y = x[touched][first]
-                root = group_roots(len(ids), lambda a, b: y[a] @ y[b].T >= threshold)
+                root = group_roots(len(ids), lambda a, b: linked(y[a], y[b], threshold))
                 out.append((cid[touched], np.append(links, np.zeros(e - s - left, np.int64))[touched], ids[root[back]]))
             cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["cid", "links", "root"])

@@ -66,3 +66,15 @@ def test_odd_rows(spark):
     lone = spark.createDataFrame([(None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1)], SCHEMA)
     assert got(lone) == [(None, 1, None, True)] * 2
     assert got(df.limit(0)) == []
+
+
+def test_pairs_at_the_threshold_are_judged_alike_in_every_block():
+    rng = np.random.default_rng(3)
+    x = embed_dedup.unit(rng.normal(size=300 * 40), 40)
+    threshold = float(np.einsum("i,i->", x[7], x[211]))
+    whole = embed_dedup.linked(x, x, threshold)
+    for size in (1, 7, 64):
+        parts = [np.hstack([embed_dedup.linked(x[i:i + size], x[j:j + size], threshold) for j in range(0, 300, size)])
+                 for i in range(0, 300, size)]
+        assert (np.vstack(parts) == whole).all()
+    assert (whole == whole.T).all()
