@@ -151,14 +151,22 @@ def regions(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND,
         *doc[1:], "first", "last")
 
 
-def verify(ws: list[bytes], template: list[bytes], first: int, last: int, slack: int) -> tuple[int, int, float]:
-    """Matched span and the share of the template's words found in order around a region."""
-    begin = max(0, first - slack)
-    blocks = [m for m in SequenceMatcher(None, ws[begin:last + slack], template, autojunk=False).get_matching_blocks()
-              if m.size]
-    if not blocks:
-        return first, last, 0.0
-    return (begin + blocks[0].a, begin + blocks[-1].a + blocks[-1].size, sum(m.size for m in blocks) / len(template))
+def verify(ws: list[bytes], template: list[bytes], first: int, last: int, slack: int) -> list[tuple[int, int, float]]:
+    """(start, end, share of the template's words found in order) around a region.
+
+    Repeats of a notice can merge into one long region: it is read in windows of twice the
+    template, half a window apart, so each repeat lies whole in one of them and words
+    scattered over more than a window never add up.
+    """
+    begin, end = max(0, first - slack), last + slack
+    step = len(template) + slack
+    out = []
+    for at in range(begin, max(begin + 1, end - step), step):
+        blocks = [m for m in SequenceMatcher(None, ws[at:min(end, at + 2 * step)], template, autojunk=False)
+                  .get_matching_blocks() if m.size]
+        if blocks:
+            out.append((at + blocks[0].a, at + blocks[-1].a + blocks[-1].size, sum(m.size for m in blocks) / len(template)))
+    return out
 
 
 def base_places(ws: list[bytes], base=BASE) -> list[tuple[int, str]]:
@@ -203,10 +211,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND, lea
                 places = base_places(ws)
                 best: dict = {}
                 for r in region.as_py() or []:
-                    start, end, score = verify(ws, texts[r["template"]], r["first"], r["last"], band)
-                    span = (templates[r["template"]][0], start, end)
-                    if score >= least_score:
-                        best[span] = max(score, best.get(span, 0.0))
+                    for start, end, score in verify(ws, texts[r["template"]], r["first"], r["last"], band):
+                        span = (templates[r["template"]][0], start, end)
+                        if score >= least_score:
+                            best[span] = max(score, best.get(span, 0.0))
                 spans = [{"label": s[0], "start": s[1], "end": s[2], "score": best[s]}
                          for s in sorted(best, key=lambda s: (s[1], s[2], s[0]))]
                 base = sorted({label for _, label in places})

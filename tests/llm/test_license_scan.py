@@ -83,3 +83,14 @@ def test_many_places_in_one_text(spark):
     text = "cc by nc under the mit license " * 20_000
     row = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert (row.n_words, row.n_base, row.first_word, row.last_word) == (140_000, 40_000, 0, 139_996)
+
+
+def test_merged_repeats_are_verified_one_by_one(spark):
+    """A run of a notice without its first word merges into one region; scattered words never add up."""
+    run = "x " + "under the MIT License " * 400 + "y"
+    scattered = " ".join(f"permission is hereby w{i} w{i + 1}" for i in range(0, 3000, 2))
+    docs = spark.createDataFrame([(1, run), (2, scattered)], "doc_id long, text string")
+    got = check(docs)
+    assert got[1].labels == "mit" and got[1].n_base == 400 and len(got[1].spans) > 50
+    assert all(s.end - s.start <= 2 * (5 + license_scan.BAND) for s in got[1].spans)
+    assert not got[2].labels and not got[2].spans
