@@ -2,14 +2,17 @@
 
 Three base patterns (assignments, access keys, long hex strings) and one wide candidate
 pattern (bare mixed strings of high entropy) are found in every whole text. The hashes of
-all candidate values are counted over the corpus by distinct repository and owner. A value
-many owners hold is a copied example; one that a single owner holds and that looks random
-is a live-looking credential. Base spans are always reported, with their verdict; a wide
-candidate becomes a span (kind ``bare``) only when it is live-looking.
+all candidate values are counted over the corpus by distinct repository and owner. Copies
+of one text are no witnesses of each other: equal texts, and texts that are near copies but
+for the values, have one holder. A value many owners hold in texts of their own is a copied
+example, and so is one that calls itself an example and that many owners hold in whatever
+texts; one that a single owner holds and that looks random is a live-looking credential.
+Base spans and wide candidates (kind ``bare``) are all reported, with their verdict.
+Redaction also masks an example that looks random, unless it calls itself one.
 
 Defined results: a null or empty text has no span; null owners and repositories count as
 one unknown owner and repository; repeated rows are separate rows (they do not raise the
-number of owners); a text of any length is scanned whole; an empty table gives an empty
+number of owners); copies count for the smallest of their owners; a text of any length is scanned whole; an empty table gives an empty
 result; other columns are not looked at.
 """
 
@@ -20,11 +23,12 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, fresh, materialise
+from .common import broadcast_if_small, components, fresh, materialise
 
 # The base patterns and the least length of what each must hold.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -37,9 +41,11 @@ KINDS = ("assign", "access", "hex", "bare")
 BARE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 MIN_ENTROPY = 3.0      # bits per character of a live-looking value
 EXAMPLE_OWNERS = 3     # a value held by this many owners is a copied example
+MARK = re.compile("example", re.IGNORECASE | re.ASCII)  # a value that calls itself an example
+BANDS, BAND = 10, 3    # texts that share a band of minima of their word pairs are near copies
 
 _MAYBE = r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-z+/_=-]{20}"
-_FOUND = "array<struct<start:int,kind:int,end:int,from:int,value:string,live:boolean>>"
+_FOUND = "array<struct<start:int,kind:int,end:int,from:int,value:string,live:boolean,marked:boolean>>"
 
 
 def entropy(value: str) -> float:
@@ -67,32 +73,52 @@ def candidates(text: str) -> list[dict]:
     for start, kind, end, begin in sorted(found):
         value = text[begin:end]
         out.append({"start": start, "kind": kind, "end": end, "from": begin,
-                    "value": hashlib.sha256(value.encode()).hexdigest(), "live": entropy(value) >= MIN_ENTROPY})
+                    "value": hashlib.sha256(value.encode()).hexdigest(), "live": entropy(value) >= MIN_ENTROPY,
+                    "marked": MARK.search(value) is not None})
     return out
 
 
+_FACTORS = np.random.default_rng(4).integers(1 << 62, size=(BANDS * BAND, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def sketch(text: str, found: list[dict]) -> list[int]:
+    """Bands of minima over the word pairs of a text without its values; near copies share one."""
+    import xxhash
+
+    ws = masked(text, [(f["from"], f["end"]) for f in found], " ").split()
+    h = np.array([xxhash.xxh3_64_intdigest(w) for w in ws] or [0], np.uint64)
+    if len(h) > 1:
+        h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
+    h ^= h >> np.uint64(31)
+    least = [(h * a + b).min() for a, b in _FACTORS]
+    return [xxhash.xxh3_64_intdigest(np.array(least[i:i + BAND]).tobytes()) - (1 << 63)
+            for i in range(0, len(least), BAND)]
+
+
 def find(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
-    """``(row, doc_id, text_hash, owner, repository, found)`` per row; one pass, no shuffle."""
+    """``(row, doc_id, text_hash, owner, repository, found, sketch)`` per row; one pass, no shuffle."""
     def run(batches):
         import pyarrow.compute as pc
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 33
         kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()),
-                                   ("from", pa.int32()), ("value", pa.string()), ("live", pa.bool_())]))
+                                   ("from", pa.int32()), ("value", pa.string()), ("live", pa.bool_()),
+                                   ("marked", pa.bool_())]))
         for b in batches:
             maybe = pc.match_substring_regex(b.column(4), _MAYBE).to_pylist()
             found = [candidates(t.as_py()) if m else [] for m, t in zip(maybe, b.column(4))]
+            bands = [sketch(t.as_py(), f) if f else [] for t, f in zip(b.column(4), found)]
             rows = pa.array(range(row, row + b.num_rows), pa.int64())
             row += b.num_rows
-            yield pa.RecordBatch.from_arrays([rows, *b.columns[:4], pa.array(found, kind)],
-                                             names=["row", "doc_id", "text_hash", "owner", "repository", "found"])
+            yield pa.RecordBatch.from_arrays([rows, *b.columns[:4], pa.array(found, kind), pa.array(bands, pa.list_(pa.int64()))],
+                                             names=["row", "doc_id", "text_hash", "owner", "repository", "found", "sketch"])
 
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"),
                        F.coalesce(owner, F.lit("")).alias("owner"), F.coalesce(repository, F.lit("")).alias("repository"),
                        docs["text"].alias("text"))
     return rows.mapInArrow(run, "row bigint, doc_id bigint, text_hash bigint, owner string, repository string, "
-                                f"found {_FOUND}")
+                                f"found {_FOUND}, sketch array<bigint>")
 
 
 def ownership(spans: DataFrame) -> DataFrame:
@@ -103,9 +129,38 @@ def ownership(spans: DataFrame) -> DataFrame:
                                   F.count(F.lit(1)).alias("n_owners")))
 
 
+def near_copies(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """``(node, root)`` of the texts of ``held`` that share a band with another: the group's smallest hash."""
+    bands = materialise(rows.where("size(found) > 0").select("text_hash", F.posexplode("sketch").alias("band", "least"))
+                        .join(broadcast_if_small(held, 16), "text_hash", "left_semi").distinct(), "secret-bands")
+    first = materialise(bands.groupBy("band", "least").agg(F.min("text_hash").alias("first"), F.count(F.lit(1)).alias("n"))
+                        .where("n > 1").drop("n"), "secret-first")
+    edges = bands.join(broadcast_if_small(first, 32), ["band", "least"]).select(
+        F.col("text_hash").alias("src"), F.col("first").alias("dst"))
+    return components(edges, "secret-copies")
+
+
+def holders(rows: DataFrame, flat: DataFrame) -> DataFrame:
+    """``(value, n_any, n_owners, n_repositories)``: owners of any text, and of texts that are no copies of another."""
+    def independent(df, text):
+        return ownership(df.groupBy("value", text).agg(F.min(F.struct("owner", "repository")).alias("h"))
+                         .select("value", "h.*")).drop("n_seen")
+
+    texts = materialise(flat.groupBy("value", "text_hash", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
+                        .drop("n"), "secret-texts")
+    equal = materialise(independent(texts, "text_hash"), "secret-equal")
+    several = equal.where("n_owners > 1").select("value")
+    held = materialise(texts.join(broadcast_if_small(several, 96), "value", "left_semi").select("text_hash").distinct(),
+                       "secret-held")
+    group = materialise(near_copies(rows, held), "secret-groups")
+    classed = (texts.join(broadcast_if_small(group, 32), F.col("text_hash") == F.col("node"), "left")
+               .withColumn("class", F.coalesce("root", "text_hash")))
+    return ownership(texts).select("value", F.col("n_owners").alias("n_any")).join(independent(classed, "class"), "value")
+
+
 def spans(docs: DataFrame, owner: Column | None = None, repository: Column | None = None,
           example_owners: int = EXAMPLE_OWNERS) -> tuple[DataFrame, DataFrame]:
-    """(rows found, judged spans): the second has a row per span of (row, start, kind, end, from, verdict).
+    """(rows found, judged spans): the second has a row per span of (row, start, kind, end, from, verdict, random).
 
     A document table has no repository of its own: by default the source owns it and the
     (source, language) pair is its repository.
@@ -115,12 +170,13 @@ def spans(docs: DataFrame, owner: Column | None = None, repository: Column | Non
     rows = materialise(find(docs, owner, repository), "secret-rows")
     flat = rows.where("size(found) > 0").select("row", "doc_id", "text_hash", "owner", "repository",
                                                 F.inline("found"))
-    owned = materialise(ownership(flat), "secret-owners")
-    verdict = (F.when(F.col("n_owners") >= example_owners, "example")
+    owned = materialise(holders(rows, flat), "secret-owners")
+    wide = F.when(F.col("marked"), F.col("n_any")).otherwise(F.col("n_owners"))
+    verdict = (F.when(wide >= example_owners, "example")
                .when((F.col("n_owners") == 1) & F.col("live"), "live").otherwise("shared"))
     judged = (flat.join(broadcast_if_small(owned, 160), "value")
-              .select("row", "doc_id", "text_hash", "start", "kind", "end", "from", verdict.alias("verdict"))
-              .where((F.col("kind") < 3) | (F.col("verdict") == "live")))
+              .select("row", "doc_id", "text_hash", "start", "kind", "end", "from", verdict.alias("verdict"),
+                      (F.col("live") & ~F.col("marked")).alias("random")))
     return rows, materialise(judged, "secret-spans")
 
 
@@ -166,13 +222,13 @@ def _masker(mask: str):
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
-    """The rows and columns of ``docs`` with every value masked that is not a widely copied example.
+    """The rows and columns of ``docs`` with every value masked that is not a widely copied example, or looks random.
 
     Documents meet their spans by (doc_id, text hash); equal rows have equal spans.
     """
     _, judged = spans(docs, **options)
     cut, cut_id, cut_hash = (fresh(n, docs) for n in ("cuts", "cut_id", "cut_hash"))
-    cuts = materialise(judged.where("verdict <> 'example'").groupBy("doc_id", "text_hash")
+    cuts = materialise(judged.where("verdict <> 'example' or random").groupBy("doc_id", "text_hash")
                        .agg(F.collect_set(F.struct(F.col("from").alias("s"), F.col("end").alias("e"))).alias(cut)),
                        "secret-cuts").withColumnsRenamed({"doc_id": cut_id, "text_hash": cut_hash})
     joined = docs.join(broadcast_if_small(cuts, 256), docs["doc_id"].cast("bigint").eqNullSafe(F.col(cut_id))
