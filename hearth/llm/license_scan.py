@@ -3,8 +3,10 @@
 Every rolling word k-gram of every document is hashed and joined in Spark to the positions
 of the license templates' k-grams. A match at document position p and template position t
 votes for the diagonal p - t. Votes are aggregated per document, template and diagonal,
-neighbouring diagonals (a few words inserted or dropped) are merged, and each merged region
-is verified word by word against its template. Base phrases are found by exact place.
+neighbouring diagonals (up to a fifth of the template's words inserted or dropped) are merged,
+and each merged region, with the places of the template's missing head and tail, is verified
+word by word against its template.
+Base phrases are found by exact place.
 
 Defined results: a null or empty text has no words and no labels; a text shorter than a
 k-gram has none; repeated rows give equal rows (documents meet their regions by id and text
@@ -47,7 +49,7 @@ TEMPLATES = (
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
 )
 K = 3
-BAND = 4               # diagonals this near are one region
+BAND = 4               # diagonals this near are one region, or a fifth of a long template's words
 LEAST_VOTES = 0.25     # of a template's k-grams
 LEAST_SCORE = 0.8      # of a template's words found in order
 CACHE = 300_000
@@ -108,6 +110,7 @@ def regions(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND,
             least_votes: float = LEAST_VOTES) -> DataFrame:
     """``(doc_id, text_hash, template, first, last)``: merged diagonals with enough votes, per row.
 
+    ``first`` and ``last`` are where the template's words would begin and end on the diagonals.
     Votes are counted per row of ``docs``, so copies neither add up nor meet in one group.
     """
     def run(batches):
@@ -143,10 +146,12 @@ def regions(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND,
     votes = (grams.join(table, "gram").groupBy(*doc, "size", (p - F.col("tpos")).alias("diagonal"))
              .agg(F.count(F.lit(1)).alias("votes"), F.min(p).alias("first"), F.max(p + F.lit(k)).alias("last")))
     order = Window.partitionBy(*doc).orderBy("diagonal")
-    apart = F.col("diagonal") - F.lag("diagonal").over(order) > band
+    length = F.col("size") + F.lit(k - 1)  # words of the template
+    apart = F.col("diagonal") - F.lag("diagonal").over(order) > F.greatest(F.lit(band), F.floor(length / 5))
     merged = (votes.withColumn("region", F.count_if(apart).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-              .groupBy(*doc, "size", "region").agg(F.sum("votes").alias("votes"), F.min("first").alias("first"),
-                                                   F.max("last").alias("last")))
+              .groupBy(*doc, "size", "region").agg(F.sum("votes").alias("votes"),
+                                                   F.min(F.least("first", "diagonal")).alias("first"),
+                                                   F.max(F.greatest("last", F.col("diagonal") + length)).alias("last")))
     return merged.where(F.col("votes") >= F.greatest(F.lit(1), F.col("size") * F.lit(least_votes))).select(
         *doc[1:], "first", "last")
 
@@ -211,7 +216,9 @@ def scan(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND, lea
                 places = base_places(ws)
                 best: dict = {}
                 for r in region.as_py() or []:
-                    for start, end, score in verify(ws, texts[r["template"]], r["first"], r["last"], band):
+                    template = texts[r["template"]]
+                    slack = max(band, len(template) // 5)
+                    for start, end, score in verify(ws, template, r["first"], r["last"], slack):
                         span = (templates[r["template"]][0], start, end)
                         if score >= least_score:
                             best[span] = max(score, best.get(span, 0.0))

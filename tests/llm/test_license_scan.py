@@ -94,3 +94,16 @@ def test_merged_repeats_are_verified_one_by_one(spark):
     assert got[1].labels == "mit" and got[1].n_base == 400 and len(got[1].spans) > 50
     assert all(s.end - s.start <= 2 * (5 + license_scan.BAND) for s in got[1].spans)
     assert not got[2].labels and not got[2].spans
+
+
+def _labels(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = check(docs)
+    return [got[i].labels for i in range(len(texts))]
+
+
+def test_words_inserted_or_left_out_at_one_place(spark):
+    ws = license_scan.TEMPLATES[1][1].split()
+    texts = [" ".join(["intro", *ws[:25], *[f"w{i}" for i in range(n)], *ws[25:], "outro"]) for n in (4, 5, 9, 14)]
+    texts += [" ".join(["intro", *ws[:22], *ws[22 + n:], "outro"]) for n in (5, 8)]
+    assert _labels(spark, texts) == ["mit"] * 6
