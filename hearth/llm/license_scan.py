@@ -5,7 +5,7 @@ of the license templates' k-grams. A match at document position p and template p
 votes for the diagonal p - t. Votes are aggregated per document, template and diagonal,
 neighbouring diagonals (up to a fifth of the template's words inserted or dropped) are merged,
 and each merged region, with the places of the template's missing head and tail, is verified
-word by word against its template.
+word by word against its template and for the words that tell its license from others.
 Base phrases are found by exact place.
 
 Defined results: a null or empty text has no words and no labels; a text shorter than a
@@ -16,6 +16,7 @@ empty result; columns other than doc_id and text are not looked at.
 
 from __future__ import annotations
 
+import re
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -48,10 +49,26 @@ TEMPLATES = (
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
 )
+# What the words of a notice, and three more, must hold; for each template. A place before the notice's end counts.
+_NEXT = r"(?!(?:\S+ ){0,2}(?:non|noncommercial|sharealike|share|no ?deriv\w*) )"
+DECIDING = tuple(re.compile(p.encode()) for p in (
+    r" mit (?!0 |no attribution )",
+    r"^(?!.* font )",
+    r" apache (?:\S+ ){0,3}v?2 ",
+    r" apache (?:\S+ ){0,4}2 ",
+    r" by (?:nc|non ?commercial) (?!(?:sa|nd|share ?alike|no ?deriv\w*) )",
+    r" attribution non ?commercial " + _NEXT,
+    r" attribution " + _NEXT,
+    r" gnu general public (?:\S+ ){0,4}?v(?:ersion )?3 | v(?:ersion )?3 of the gnu general public ",
+    r" gnu general public .*v(?:ersion )?3 ",
+    r" redistribution and use ",
+    r"^(?!.* documentation )",
+))
 K = 3
 BAND = 4               # diagonals this near are one region, or a fifth of a long template's words
 LEAST_VOTES = 0.25     # of a template's k-grams
 LEAST_SCORE = 0.8      # of a template's words found in order
+AFTER = 3              # words behind a notice that can make it another license's
 CACHE = 300_000
 GRAMS = 1 << 20        # grams of one batch handed to the join
 
@@ -174,6 +191,15 @@ def verify(ws: list[bytes], template: list[bytes], first: int, last: int, slack:
     return out
 
 
+def decided(ws: list[bytes], start: int, end: int, deciding: re.Pattern | None) -> bool:
+    """Whether the words that tell the license from others stand in the notice."""
+    if deciding is None:
+        return True
+    notice = b" " + b" ".join(ws[start:end]) + b" "
+    found = deciding.search(b" " + b" ".join(ws[start:end + AFTER]) + b" ")
+    return found is not None and found.start() < len(notice) - 1
+
+
 def base_places(ws: list[bytes], base=BASE) -> list[tuple[int, str]]:
     """Every place (word index) where a phrase's words stand consecutively."""
     joined = b" " + b" ".join(ws) + b" "
@@ -193,8 +219,13 @@ SPANS = "array<struct<label:string,start:bigint,end:bigint,score:double>>"
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND, least_votes: float = LEAST_VOTES,
-         least_score: float = LEAST_SCORE) -> DataFrame:
-    """A row per document: word and base counts, labels, the verified spans and the best score."""
+         least_score: float = LEAST_SCORE, deciding: tuple | None = None) -> DataFrame:
+    """A row per document: word and base counts, labels, the verified spans and the best score.
+
+    ``deciding`` has a pattern or None for each template; those of ``TEMPLATES`` are the default for them.
+    """
+    if deciding is None:
+        deciding = DECIDING if templates is TEMPLATES else (None,) * len(templates)
     docs = pick(docs, "doc_id", "text")
     found = materialise(regions(docs, templates, k, band, least_votes)
                         .groupBy(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"))
@@ -220,7 +251,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, k: int = K, band: int = BAND, lea
                     slack = max(band, len(template) // 5)
                     for start, end, score in verify(ws, template, r["first"], r["last"], slack):
                         span = (templates[r["template"]][0], start, end)
-                        if score >= least_score:
+                        if score >= least_score and decided(ws, start, end, deciding[r["template"]]):
                             best[span] = max(score, best.get(span, 0.0))
                 spans = [{"label": s[0], "start": s[1], "end": s[2], "score": best[s]}
                          for s in sorted(best, key=lambda s: (s[1], s[2], s[0]))]

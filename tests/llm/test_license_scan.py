@@ -107,3 +107,19 @@ def test_words_inserted_or_left_out_at_one_place(spark):
     texts = [" ".join(["intro", *ws[:25], *[f"w{i}" for i in range(n)], *ws[25:], "outro"]) for n in (4, 5, 9, 14)]
     texts += [" ".join(["intro", *ws[:22], *ws[22 + n:], "outro"]) for n in (5, 8)]
     assert _labels(spark, texts) == ["mit"] * 6
+
+
+def test_other_licenses_notices_get_no_label(spark):
+    cc = "This work is licensed under a Creative Commons Attribution"
+    gnu = "This work is licensed under the GNU"
+    texts = ["Released under the BSD License.", "Released under the Apache License.", "Licensed under CC BY 4.0.",
+             "Licensed under CC BY-SA 4.0.", f"{cc}-ShareAlike 4.0 International License.",
+             f"{cc}-NonCommercial-ShareAlike 4.0 International License.",
+             f"{gnu} Lesser General Public License, version 3.", f"{gnu} General Public License, version 2.",
+             license_scan.TEMPLATES[8][1].replace("version 3", "version 2"),
+             license_scan.TEMPLATES[8][1].replace("General", "Lesser General")]
+    assert _labels(spark, texts) == [""] * len(texts)
+    texts = [f"{cc}-NonCommercial 4.0 International License.", f"{cc} 4.0 International License.",
+             f"{cc}-Non-Commercial 3.0 International License.", f"{gnu} General Public License v3.",
+             *[t for _, t in license_scan.TEMPLATES]]
+    assert _labels(spark, texts) == ["cc-by-nc", "cc-by", "cc-by-nc", "gpl-3", *[label for label, _ in license_scan.TEMPLATES]]
