@@ -11,7 +11,7 @@ archives of a failed or repeated attempt are never read. Reading streams one rec
 Defined results: a null html is an empty payload; payloads under the bound are all
 responses; null page ids are smaller than all others and read back as null; of rows equal in
 page id and payload that tie for the response, the largest url (then any one of wholly equal
-rows) is it and the others revisit that page_id; an archive of too few records for training
+rows) is it and the others revisit that page_id; an archive of fewer than 16 records
 has no dictionary frame; an empty table gives an empty result; other columns are not looked at.
 """
 
@@ -34,6 +34,7 @@ MIN_REVISIT = 1000
 ARCHIVE_BYTES = 32 << 20     # uncompressed records of one archive
 DICT_BYTES = 64 << 10
 SAMPLE_BYTES = 1 << 20       # records a dictionary is trained on, spread evenly over the archive
+LEAST_SAMPLES = 100          # or all records, if fewer
 LEVEL = 3
 DATE = "1970-01-01T00:00:00Z"
 SKIPPABLE = 0x184D2A5D       # fixed value: magic of the dictionary frame
@@ -58,14 +59,22 @@ def record(page_id, url, digest: str, size: int, kind: str, refers_to, payload:
 
 
 def train(records: list[bytes], dict_bytes: int = DICT_BYTES, sample_bytes: int = SAMPLE_BYTES):
-    """A dictionary from evenly spaced records, or None when there are too few."""
+    """A dictionary from evenly spaced records, or None when there are too few.
+
+    At least ``LEAST_SAMPLES`` records are taken; when they are too long together, only a part
+    of each (its head or, in turn, a later place) is trained on.
+    """
     import zstandard
 
-    total = sum(map(len, records))
-    step = max(1, -(-total // sample_bytes))
-    sample = records[::step]
-    if len(sample) < 16:
+    if len(records) < 16:
         return None
+    total = sum(map(len, records))
+    take = min(len(records), max(LEAST_SAMPLES, sample_bytes * len(records) // max(1, total)))
+    sample = [records[i * len(records) // take] for i in range(take)]
+    if sum(map(len, sample)) > sample_bytes:
+        most = sample_bytes // take
+        at = [i % 2 * max(0, len(r) - most) * i // take for i, r in enumerate(sample)]
+        sample = [r[a:a + most] for r, a in zip(sample, at)]
     try:
         return zstandard.train_dictionary(min(dict_bytes, max(4096, total // 20)), sample, k=256, d=8, level=LEVEL)
     except zstandard.ZstdError:

@@ -68,3 +68,14 @@ def test_damage_is_noticed(spark):
     r = warc.record(1, "u", hashlib.sha1(b"other").hexdigest(), 5, "response", None, b"wrong", "0", warc.DATE)
     with pytest.raises(ValueError):
         list(warc.read_archive(io.BytesIO(zstandard.ZstdCompressor().compress(r[:-2] + b"xx"))))
+
+
+def test_archives_of_long_records_have_a_dictionary():
+    import random
+    rng = random.Random(1)
+    common = [" ".join(f"<p class={rng.random()}>" for _ in range(30)) for _ in range(20)]
+    page = lambda n: "".join(rng.choice(common) + str(rng.random()) for _ in range(n)).encode()
+    for records in ([page(180) for _ in range(256)], [page(250) for _ in range(16)]):
+        assert warc.train(records) is not None
+        data = warc.archive(records)
+        assert data[:4] == (0x184D2A5D).to_bytes(4, "little")
