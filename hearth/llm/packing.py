@@ -45,8 +45,8 @@ class Encoder:
 
     The vocabulary's split pattern begins a new word at every single space, so a text
     whose white space stands singly is encoded space by space with remembered chunks.
-    Latin-1 chunks go through the same vocabulary as ranks; all else through the
-    tokenizer itself. Both give the tokenizer's ids.
+    Latin-1 chunks go through the same vocabulary as ranks; all else, and texts that hold
+    an added token (such as the end of text), through the tokenizer as loaded. Both give its ids.
     """
 
     def __init__(self, tokenizer_path: str | None = None, ranks_path: str | None = None, pattern: str | None = None):
@@ -67,7 +67,8 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.ranked = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.whole = Tokenizer.from_file(tokenizer_path)
-        self.whole.encode_special_tokens = True
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.known: dict[str, bytes] = {}
         self.pack = lambda ids: np.array(ids, "<u4").tobytes()
 
@@ -76,6 +77,8 @@ class Encoder:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return self.pack(self.whole.encode(text, add_special_tokens=False).ids)
+        if self.added.search(text):
+            return self.pack(self.whole.encode(text, add_special_tokens=False).ids)
         one = self.ranked.encode_ordinary
         if _UNEVEN.search(text):
             return self.pack(one(text))

@@ -69,3 +69,12 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert packing.pack(no_docs).count() == 0
     again = packing.pack(odd_docs).collect()
     assert again == packing.pack(odd_docs).collect()
+
+
+def test_added_tokens_have_the_ids_of_the_tokenizer_as_loaded():
+    loaded = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    assert loaded.get_added_tokens_decoder()
+    for token in (t.content for t in loaded.get_added_tokens_decoder().values()):
+        for text in (token, f"one {token} two", f" {token}{token}\n", f"漢 {token} é"):
+            want = loaded.encode(text, add_special_tokens=False).ids
+            assert ENCODE(text) == np.array(want, "<u4").tobytes()
