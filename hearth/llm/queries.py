@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (embed_dedup, license_scan, mixing, neighbours, packing, quality, secret_scan, sharding,
+from . import (bpe, embed_dedup, license_scan, mixing, neighbours, packing, quality, secret_scan, sharding,
                simhash, warc)
 
 
@@ -105,6 +105,11 @@ def op10_simhash(spark, sf_dir):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_bpe(spark, sf_dir):
+    return bpe.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_packing, op4_secret_scan, op5_embed_dedup, op6_sharding,
-                                   op7_neighbours, op8_license_scan, op9_quality, op10_simhash)}
+                                   op7_neighbours, op8_license_scan, op9_quality, op10_simhash,
+                                   op13_bpe)}
 ORACLES = {"op1_warc": OP1_SQL, "op2_mixing": OP2_SQL, "op5_embed_dedup": OP5_SQL}
