@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, embed_dedup, license_scan, mixing, neighbours, packing, quality, secret_scan, sharding,
-               simhash, warc)
+from . import (bpe, embed_dedup, lexical, license_scan, mixing, neighbours, packing, quality, secret_scan, sharding,
+               simhash, warc, whitening)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,11 +105,39 @@ def op10_simhash(spark, sf_dir):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical(spark, sf_dir):
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (SELECT item_id, row_number() OVER () AS i, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (SELECT r, doc_id, term, count(*) AS tf FROM d GROUP BY r, doc_id, term),
+n AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY r),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM n),
+m AS (SELECT r, 75 + (25 * n * docs) // words AS m FROM n, c),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM tf, c GROUP BY term, docs),
+qt AS (SELECT i, item_id, term, count(*) AS times FROM q GROUP BY i, item_id, term),
+s AS (SELECT i, item_id, tf.r, tf.doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM qt JOIN w USING (term) JOIN tf USING (term) JOIN m ON m.r = tf.r GROUP BY i, item_id, tf.r, tf.doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 20"""
+
+
 def op13_bpe(spark, sf_dir):
     return bpe.digest(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_packing, op4_secret_scan, op5_embed_dedup, op6_sharding,
                                    op7_neighbours, op8_license_scan, op9_quality, op10_simhash,
-                                   op13_bpe)}
-ORACLES = {"op1_warc": OP1_SQL, "op2_mixing": OP2_SQL, "op5_embed_dedup": OP5_SQL}
+                                   op11_whitening, op12_lexical, op13_bpe)}
+ORACLES = {"op1_warc": OP1_SQL, "op2_mixing": OP2_SQL, "op5_embed_dedup": OP5_SQL, "op12_lexical": OP12_SQL}
