@@ -15,7 +15,7 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-# --- F4: left-closed CASE bucketing (NULL falls to the ELSE branch) ---------
+# --- F4: left-closed CASE bucketing (NULL falls to the ELSE branch); fixed values: bounds and labels ---
 
 def income_bracket(income: str | Column = "monthly_income_ksh") -> Column:
     c = _c(income)
@@ -49,7 +49,7 @@ def cut(col: str | Column, edges: Sequence[float], labels: Sequence[str]) -> Col
     return expr
 
 
-# --- F6: adoption category from usage intensity ------------------------------
+# --- F6: adoption category from usage intensity; fixed values: bounds and labels ---
 
 def adoption_category(usage: str | Column = "usage_intensity") -> Column:
     c = _c(usage)
@@ -91,7 +91,7 @@ def clip(col: str | Column, lo, hi) -> Column:
     return F.when(c.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), c)))
 
 
-# --- F11: packed vulnerability tags ------------------------------------------
+# --- F11: packed vulnerability tags; fixed values: tags and their bounds -----
 
 def vulnerability_factors(age: str = "head_age", marital: str = "marital_status",
                           children: str = "children_under_18",
@@ -114,7 +114,7 @@ def has_tag(tags: str | Column, tag: str) -> Column:
     return _c(tags).contains(tag)
 
 
-# --- F12: additive vulnerability score ---------------------------------------
+# --- F12: additive vulnerability score; fixed values: points -----------------
 
 def vulnerability_score(gender: str = "head_gender", income: str = "monthly_income_ksh",
                         children: str = "children_under_18",

@@ -112,7 +112,11 @@ def gold_executive_summary(adoptions: DataFrame, impact: DataFrame,
     """One row, even on empty input."""
     u = F.col("usage_intensity")
     f = _fact_side(adoptions, [], [_flag(u >= 0.8).alias("full"), _flag(u < 0.5).alias("low")])
-    j = f.join(impact_per_household(impact), "household_key")
+    return executive_totals(f.join(impact_per_household(impact), "household_key"), coef)
+
+
+def executive_totals(j: DataFrame, coef: ImpactCoefficients = DEFAULT_IMPACT) -> DataFrame:
+    """The executive row from one row per household with both sides' counts and sums."""
     ps = lambda counts, m: _pair_sum(j, counts, m)
     hh = F.count(F.lit(1))
     return j.agg(
@@ -146,7 +150,7 @@ def gold_county_performance(adoptions: DataFrame, geography: DataFrame, products
     ptype = F.col("product_type")
     f = _fact_side(adoptions.join(g, "geography_key").join(p, "product_key"), keys,
                    [_flag(ptype == t).alias(f"has_{name}") for t, name in product_mix])
-    return _county_totals(f.join(impact_per_household(impact), "household_key"), product_mix)
+    return county_totals(f.join(impact_per_household(impact), "household_key"), product_mix)
 
 
 def gold_county_fanout(adoptions: DataFrame, members: DataFrame, geography: DataFrame, products: DataFrame,
@@ -167,10 +171,10 @@ def gold_county_fanout(adoptions: DataFrame, members: DataFrame, geography: Data
                      + [F.sum(measures[m]).alias(f"si_{m}") for m in IMPACT_MEASURES])
     g = geography.select("geography_key", "county", "poverty_rate", "electrification_rate", "population")
     j = (per.withColumn("n_i", F.col("n_f")).join(members, "household_key").join(g, "geography_key"))
-    return _county_totals(j, product_mix)
+    return county_totals(j, product_mix)
 
 
-def _county_totals(j: DataFrame, product_mix) -> DataFrame:
+def county_totals(j: DataFrame, product_mix) -> DataFrame:
     """County rows from one row per (household, county) with both sides' counts and sums."""
     keys = ["county", "poverty_rate", "electrification_rate", "population"]
     ps = lambda counts, m: _pair_sum(j, counts, m)
@@ -194,8 +198,12 @@ def gold_donor_health_impact(adoptions: DataFrame, households: DataFrame,
     """Per-county health outcomes and vulnerable reach."""
     g = geography.select("geography_key", "county")
     f = _fact_side(adoptions.join(g, "geography_key"), ["county"], [])
-    j = (f.join(household_facts(households), "household_key")
-         .join(impact_per_household(impact), "household_key"))
+    return health_totals(f.join(household_facts(households), "household_key")
+                         .join(impact_per_household(impact), "household_key"))
+
+
+def health_totals(j: DataFrame) -> DataFrame:
+    """Health rows per county from one row per (household, county) with all sides' counts and sums."""
     ps = lambda counts, m: _pair_sum(j, counts, m)
     return (j.groupBy("county").agg(
         F.count(F.lit(1)).alias("households"),
@@ -216,7 +224,11 @@ def gold_donor_environment_impact(adoptions: DataFrame, products: DataFrame,
     pm = F.col("pm25_emissions_mg_m3") * F.col("usage_intensity")
     f = _fact_side(adoptions.join(p, "product_key").join(g, "geography_key"), ["county"],
                    [F.sum(pm).alias("sf_pm25")])
-    j = f.join(impact_per_household(impact), "household_key")
+    return environment_totals(f.join(impact_per_household(impact), "household_key"), coef)
+
+
+def environment_totals(j: DataFrame, coef: ImpactCoefficients = DEFAULT_IMPACT) -> DataFrame:
+    """Environment rows per county from one row per (household, county) with both sides' counts and sums."""
     trees, trees_scale = _ratio_factor(coef.trees_per_ton)
     return (j.groupBy("county").agg(
         F.count(F.lit(1)).alias("households"),
@@ -233,8 +245,12 @@ def gold_donor_gender_impact(adoptions: DataFrame, households: DataFrame,
     """Female-headed reach and time saved per county."""
     g = geography.select("geography_key", "county")
     f = _fact_side(adoptions.join(g, "geography_key"), ["county"], [])
-    j = (f.join(household_facts(households), "household_key")
-         .join(impact_per_household(impact), "household_key"))
+    return gender_totals(f.join(household_facts(households), "household_key")
+                         .join(impact_per_household(impact), "household_key"), coef)
+
+
+def gender_totals(j: DataFrame, coef: ImpactCoefficients = DEFAULT_IMPACT) -> DataFrame:
+    """Gender rows per county from one row per (household, county) with all sides' counts and sums."""
     share, share_scale = _ratio_factor(coef.women_time_share)
     return (j.groupBy("county").agg(
         F.sum("h_female").cast("bigint").alias("female_headed_households"),

@@ -308,10 +308,10 @@ def q_ledger(t):
 IMPACT_MONTHLY_SQL = """
 , imp AS (
   SELECT f.household_key, f.product_key, f.geography_key, f.adoption_date, f.usage_intensity,
-         p.pm25_emissions_mg_m3 * 0.00000082 * f.usage_intensity AS mortality,
+         p.pm25_emissions_mg_m3 * (0.00082 * 0.001) * f.usage_intensity AS mortality,
          p.pm25_emissions_mg_m3 * f.usage_intensity AS pm25,
          p.carbon_reduction_tons_year * f.usage_intensity AS co2,
-         p.pm25_emissions_mg_m3 * 0.0245 * f.usage_intensity AS dalys,
+         p.pm25_emissions_mg_m3 * (24.5 * 0.001) * f.usage_intensity AS dalys,
          f.baseline_weekly_fuel_cost_ksh * 52 * f.usage_intensity AS fuel,
          2.5 * 365 * f.usage_intensity AS hours,
          5000 * f.usage_intensity AS health
@@ -461,7 +461,7 @@ def q_bronze_load_checks(t):
             ("products", products, "product_model string, lifespan_years int, product_type string")):
         path = scratch_path(t.spark, f"bronze-{name}")
         files.write_csv(df, path)
-        one = files.bronze_check(name, files.read_csv(t.spark, path, schema, corrupt="_corrupt_record"))
+        one = files.bronze_check(name, files.read_csv(t.spark, path, schema, corrupt="_corrupt_record", multiline=name == "products"))
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -10,7 +10,7 @@ from . import queries_ops
 from .registry import register
 
 
-# The documented ranges, stated once more for the oracle: (dataset, source, rule, column, what breaks it).
+# The documented ranges, stated once more for the oracle: (dataset, source, rule, column, what breaks it).
 _BREAKS = (
     ("households", "dim_household", "gps_latitude_range", "gps_latitude", "abs(gps_latitude) > 4.5"),
     ("households", "dim_household", "gps_longitude_range", "gps_longitude", "gps_longitude NOT BETWEEN 33.5 AND 42.0"),

@@ -124,6 +124,13 @@ class StarSchema:
         """Products in the catalogue (their keys are 0-based and dense), as a scalar subquery."""
         return self.t.part.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
 
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        """The calendar of the facts: every day from the first to the last adoption or transaction."""
+        from ..operators import dims
+        return dims.dim_date_between(dims.date_bounds((self.fact_adoptions_multi, F.col("adoption_date")),
+                                                      (self.fact_transactions, F.col("transaction_date"))))
+
     # ----------------------------------------------------------------- facts
     def _non_control_orders(self) -> DataFrame:
         c = self.t.customer.where(F.col("c_mktsegment") != "HOUSEHOLD") \
@@ -173,9 +180,18 @@ class StarSchema:
     @cached_property
     def order_adoptions(self) -> DataFrame:
         """Adoption measures of every order, before any customer is looked up."""
+        return self.order_adoptions_between(None, None)
+
+    def order_adoptions_between(self, low: str | None, high: str | None) -> DataFrame:
+        """``order_adoptions`` of the orders from ``low`` on and before ``high``; the bounds reach the scan."""
         k = F.col("o_orderkey")
         cols = _order_columns(k, self.product_count)
-        return self.t.orders.select(
+        orders = self.t.orders
+        if low is not None:
+            orders = orders.where(F.col("o_orderdate") >= F.lit(low).cast(orders.schema["o_orderdate"].dataType))
+        if high is not None:
+            orders = orders.where(F.col("o_orderdate") < F.lit(high).cast(orders.schema["o_orderdate"].dataType))
+        return orders.select(
             F.col("o_custkey").alias("household_key"), cols["product_key"],
             F.to_date(F.col("o_orderdate")).alias("adoption_date"),
             cols["usage_intensity"], cols["subsidy_amount"], cols["baseline_weekly_fuel_cost_ksh"])

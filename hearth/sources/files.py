@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import clip, coerce, coerce_bool, cut, household_is_valid
 from ..functions.dates import date_key, parse_date
-from .schemas import struct
+from .schemas import DIM_DONOR, RAW_DONORS, conform, struct
 
 
 class SchemaMismatch(ValueError):
@@ -16,15 +16,15 @@ class SchemaMismatch(ValueError):
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, corrupt: str | None = None,
-             multiline: bool = True) -> DataFrame:
+             multiline: bool = False) -> DataFrame:
     """Header CSV matched by column name; the text ``None`` and empty fields are NULL.
 
     Columns may stand in any order but must be exactly the expected ones, in every file
     (``SchemaMismatch`` otherwise, or Spark's header check when files differ). Quoted fields
-    may hold line breaks and doubled quotes. A row that is too short, too long or has an
-    unreadable value keeps what could be read; with ``corrupt`` its text is kept in that
-    column, so it can be counted. ``multiline=False`` lets large files be split where no
-    field holds a line break.
+    may hold doubled quotes and, with ``multiline``, line breaks; a file read so is one task,
+    so it is set only where a field does hold line breaks, and else large files are split.
+    A row that is too short, too long or has an unreadable value keeps what could be read;
+    with ``corrupt`` its text is kept in that column, so it can be counted.
     """
     want = struct(schema)
     options = {"header": True, "multiLine": multiline, "quote": '"', "escape": '"'}
@@ -176,17 +176,71 @@ def crm_adoption_extract(adoptions: DataFrame) -> DataFrame:
         F.col("baseline_weekly_fuel_cost_ksh").cast("string").alias("Baseline_Fuel_Cost__c"))
 
 
+def write_json_arrays(df: DataFrame, path: str, files: int = 1) -> None:
+    """JSON files that each hold one array of objects, as an API or a hand-kept file has them.
+
+    Such a file is one value and is read in one task, so ``files`` should grow with the rows.
+    """
+    objects = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    (df.select(F.pmod(F.xxhash64(objects), F.lit(files)).alias("file"), objects.alias("o"))
+     .groupBy("file").agg(F.array_sort(F.collect_list("o")).alias("o"))
+     .select("file", F.concat(F.lit("["), F.array_join("o", ","), F.lit("]")).alias("value"))
+     .write.mode("overwrite").partitionBy("file").text(path))
+
+
+def donor_rows(suppliers: DataFrame, nations: DataFrame) -> DataFrame:
+    """Donors derived from suppliers: arrays of priority metrics and preferred counties.
+
+    A donor prefers its own county and the next ones by key; one in seven takes ``All``, one in
+    eleven none (an empty array), and one in thirteen has no list at all.
+    """
+    k = F.col("s_suppkey")
+    counties = nations.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("_counties"))  # 25 rows
+    focus = F.element_at(F.array(*[F.lit(x) for x in DONOR_FOCUS]), (k % len(DONOR_FOCUS) + 1).cast("int"))
+    metric = F.array(*[F.lit(x) for x in DONOR_METRICS])
+    n = F.size("_counties")
+    preferred = F.transform(F.sequence(F.lit(0), (k % 3).cast("int")),
+                            lambda i: F.element_at("_counties", ((F.col("s_nationkey") + i * 5) % n + 1).cast("int"))["n_name"])
+    return (suppliers.withColumn("_counties", counties.scalar()).select(
+        F.format_string("DN%06d", k).alias("donor_id"), F.col("s_name").alias("donor_name"),
+        F.when(k % 2 == 0, "Foundation").otherwise("Bilateral").alias("donor_type"), focus.alias("focus_area"),
+        F.slice(metric, (k % 4 + 1).cast("int"), (k % 3 + 1).cast("int")).alias("priority_metrics"),
+        (k * 1000 + 500000).cast("long").alias("funding_available_usd"),
+        F.when(k % 4 == 0, "Annual").otherwise("Quarterly").alias("reporting_frequency"),
+        F.when(k % 13 == 0, F.lit(None)).when(k % 11 == 0, F.array().cast("array<string>"))
+         .when(k % 7 == 0, F.array(F.lit("All"))).otherwise(preferred).alias("preferred_counties"),
+        (k % 50 * 1000).cast("long").alias("impact_threshold_households"),
+        (F.lit(5) + k % 10).cast("long").alias("cost_per_impact_target")))
+
+
+# Donor focus areas and priority metrics.
+DONOR_FOCUS = ("Health", "Environment", "Gender", "Economic")
+DONOR_METRICS = ("lives_saved", "DALYs_avoided", "CO2_avoided_tons", "women_time_saved_hours", "household_savings_ksh", "jobs_created")
+
+
+def read_donors(spark: SparkSession, path: str) -> DataFrame:
+    """The donor files under ``path``, each an array of objects, with their array fields."""
+    return spark.read.schema(RAW_DONORS).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+
+
 def load_donors(spark: SparkSession, path: str) -> DataFrame:
     """Donor JSON array -> the donor dimension's columns (arrays dropped, as loaded)."""
-    from .schemas import DIM_DONOR, RAW_DONORS, conform
-    raw = read_json(spark, path, RAW_DONORS)
-    return conform(raw, DIM_DONOR, key="donor_key", natural_key="donor_id")
+    return conform(read_donors(spark, path), DIM_DONOR, key="donor_key", natural_key="donor_id")
 
 
-def donor_preferences(donors: DataFrame) -> DataFrame:
-    """One row per (donor, preferred county); ``All`` kept as a wildcard row."""
-    return donors.select("donor_id", F.explode_outer("preferred_counties").alias("county"),
-                         F.array_contains("priority_metrics", "lives_saved").alias("values_lives"))
+def donor_preferences(donors: DataFrame, geography: DataFrame) -> DataFrame:
+    """One row per (donor, county) that the donor prefers; ``All`` means every county.
+
+    The counties of ``All`` come from the geography dimension as one array (a county a row, so
+    it is small), which is exploded; named counties are exploded as they are. Donors without a
+    preference give no row.
+    """
+    every = geography.agg(F.array_sort(F.collect_set("county")).alias("c")).scalar()
+    wanted = F.when(F.array_contains("preferred_counties", "All"), every).otherwise(F.array_distinct("preferred_counties"))
+    return donors.select(
+        "donor_id", "focus_area", F.explode(wanted).alias("county"), F.array_contains("preferred_counties", "All").alias("takes_all"),
+        F.exists("priority_metrics", lambda m: m.isin("lives_saved", "DALYs_avoided")).alias("values_health"),
+        F.size(F.filter("priority_metrics", lambda m: F.length(m) > 12)).alias("long_metrics"))
 
 
 def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:

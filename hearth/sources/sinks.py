@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
+
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append to a parquet table, optionally laid out by partition columns."""
@@ -16,6 +18,29 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     w.parquet(path)
 
 
+def append_batch(df: DataFrame, path: str, batch: str) -> bool:
+    """S6 that can be repeated: ``df`` as batch ``batch`` of a table; False where it stands already.
+
+    A batch is one folder whose ``_SUCCESS`` marker is its commit record. A repeated batch
+    changes nothing; one that died half way has no marker, is not read, and is overwritten.
+    """
+    at = f"{path.rstrip('/')}/batch={batch}"
+    if storage.complete(df.sparkSession, at):
+        return False
+    df.write.mode("overwrite").parquet(at)
+    return True
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The committed batches of a table written by ``append_batch``, with their name as ``batch``."""
+    path = path.rstrip("/")
+    names = [n for n in storage.children(spark, path) if n.startswith("batch=") and storage.complete(spark, f"{path}/{n}")]
+    if not names:
+        raise FileNotFoundError(f"no committed batch under {path}")
+    kept = spark.read.option("basePath", path).parquet(*[f"{path}/{n}" for n in names])
+    return kept.withColumn("batch", F.col("batch").cast("string"))
+
+
 def replace(df: DataFrame, path: str) -> None:
     """Replace a staging table."""
     df.write.mode("overwrite").parquet(path)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .sinks import replace
 
-DIMENSIONS = ("dim_household", "dim_product", "dim_geography")
+DIMENSIONS = ("dim_household", "dim_product", "dim_geography", "dim_date")
 FACTS = {  # name -> (date column, unique row key)
     "fact_adoptions": ("adoption_date", "adoption_key"),
     "fact_adoptions_multi": ("adoption_date", "adoption_key"),
@@ -28,13 +28,14 @@ def month_key(col: str) -> F.Column:
     return (F.year(col) * 100 + F.month(col)).cast("int")
 
 
-def write_star(star, out: str) -> dict[str, str]:
-    """Write every dimension and fact of ``star`` under ``out``; return their paths."""
+def write_star(star, out: str, dimensions=DIMENSIONS, facts=tuple(FACTS)) -> dict[str, str]:
+    """Write the named dimensions and facts of ``star`` under ``out``; return their paths."""
     paths = {}
-    for name in DIMENSIONS:
+    for name in dimensions:
         paths[name] = f"{out}/{name}"
         replace(getattr(star, name), paths[name])
-    for name, (date_col, row_key) in FACTS.items():
+    for name in facts:
+        date_col, row_key = FACTS[name]
         df = getattr(star, name).withColumn("month_key", month_key(date_col))
         paths[name] = f"{out}/{name}"
         # Range partitioning on (month, household, row key): sampled bounds split a hot

@@ -85,3 +85,64 @@ def test_cli_list(capsys):
     from hearth.__main__ import main
     assert main(["list"]) == 0
     assert "gold_county_performance" in capsys.readouterr().out
+
+
+# ------------------------------------------------------------ resuming
+def contents(graph):
+    return {n: sorted(map(str, graph.read(n).collect())) for n in refresh.OUTPUTS}
+
+
+def test_a_killed_run_is_taken_up_again(spark, monkeypatch):
+    out = scratch_path(spark, "refresh-killed")
+    make, calls = refresh.Graph.make, []
+
+    def dies(self, name):
+        if name == "gold_donor_health_impact":
+            raise RuntimeError("killed")
+        calls.append(name)
+        return make(self, name)
+
+    monkeypatch.setattr(refresh.Graph, "make", dies)
+    try:
+        refresh.run(spark, SF001, out)
+        raise AssertionError("the run should have died")
+    except RuntimeError as e:
+        assert str(e) == "killed"
+    first, calls[:] = list(calls), []
+    monkeypatch.setattr(refresh.Graph, "make", lambda self, name: (calls.append(name), make(self, name))[1])
+    result = refresh.run(spark, SF001, out)
+    assert result["success"] and sorted(result["made"]) == sorted(calls)
+    assert not set(first) & set(calls) and set(first) | set(calls) == set(refresh.OUTPUTS)
+    assert [r.success for r in spark.read.parquet(f"{out}/run_audit").orderBy("started_at").collect()] == [False, True]
+    monkeypatch.setattr(refresh.Graph, "make", make)
+    whole = scratch_path(spark, "refresh-whole")
+    refresh.run(spark, SF001, whole)
+    assert contents(refresh.Graph(spark, SF001, out)) == contents(refresh.Graph(spark, SF001, whole))
+
+
+def test_nothing_is_made_twice_and_half_written_outputs_are_remade(spark):
+    from hearth.sources import storage
+    out = scratch_path(spark, "refresh-again")
+    assert sorted(refresh.run(spark, SF001, out)["made"]) == sorted(refresh.OUTPUTS)
+    assert refresh.run(spark, SF001, out)["made"] == []
+    graph = refresh.Graph(spark, SF001, out)
+    at, fs = storage._fs(spark, f"{graph._path('gold_checks')}/_SUCCESS")
+    fs.delete(at, False)
+    assert refresh.run(spark, SF001, out)["made"] == ["gold_checks"]
+
+
+def test_a_changed_table_remakes_what_depends_on_it(spark):
+    import os
+    import shutil
+    sf = scratch_path(spark, "tables").removeprefix("file:")
+    os.makedirs(sf)
+    for t in ("region", "nation", "customer", "part", "orders"):
+        shutil.copy(f"{SF001}/{t}.parquet", f"{sf}/{t}.parquet")
+    out = scratch_path(spark, "refresh-changed")
+    refresh.run(spark, sf, out)
+    fewer = spark.read.parquet(f"{SF001}/part.parquet").where("p_partkey < 150")
+    fewer.coalesce(1).write.parquet(f"{sf}/part2")
+    os.replace(next(f"{sf}/part2/{n}" for n in os.listdir(f"{sf}/part2") if n.endswith(".parquet")), f"{sf}/part.parquet")
+    made = refresh.run(spark, sf, out)["made"]
+    assert "silver_households" not in made and "household_checks" not in made
+    assert {"fact_adoptions", "silver_impact_calculations", "gold_county_performance", "gold_checks"} <= set(made)

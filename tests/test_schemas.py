@@ -45,9 +45,11 @@ def test_load_donors(spark):
     d = files.load_donors(spark, path)
     assert d.columns == schemas.struct(schemas.DIM_DONOR).fieldNames()
     assert d.count() == 2
-    prefs = files.donor_preferences(files.read_json(spark, path, schemas.RAW_DONORS)).collect()
-    assert sorted((r.donor_id, r.county) for r in prefs) == [("D1", "Kilifi"), ("D1", "Turkana"),
-                                                             ("D2", "All")]
+    geography = spark.createDataFrame([("Kilifi",), ("Lamu",), ("Turkana",)], "county string")
+    prefs = files.donor_preferences(files.read_donors(spark, path), geography).collect()
+    assert sorted((r.donor_id, r.county, r.takes_all, r.values_health) for r in prefs) == [
+        ("D1", "Kilifi", False, True), ("D1", "Turkana", False, True), ("D2", "Kilifi", True, False),
+        ("D2", "Lamu", True, False), ("D2", "Turkana", True, False)]
 
 
 def test_sql_view_matches_dataframe(spark):

@@ -29,7 +29,7 @@ def test_csv_is_matched_by_name_and_bad_rows_are_kept(spark):
     text = 'county,household_id,age\n"Nairobi, ""west""\nside",HH1,30\nKilifi,HH2\nTana,HH3,old\nLamu,HH4,41'
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
     schema = "household_id string, county string, age int"
-    df = files.read_csv(spark, path, schema, corrupt="bad")
+    df = files.read_csv(spark, path, schema, corrupt="bad", multiline=True)
     rows = {r.household_id: r for r in df.collect()}
     assert rows["HH1"].county == 'Nairobi, "west"\nside' and rows["HH1"].age == 30 and rows["HH1"].bad is None
     assert rows["HH2"].county == "Kilifi" and rows["HH2"].age is None and rows["HH2"].bad is not None
