@@ -3,7 +3,7 @@ same question stated directly in DuckDB SQL over the oracle's star CTEs."""
 
 from __future__ import annotations
 
-from ..operators import gold, silver
+from ..operators import gold, gold_state, silver
 from .registry import register
 
 # ----------------------------------------------------------------- silver
@@ -100,6 +100,13 @@ def q_silver_impact(t):
 
 # ------------------------------------------------------------------- gold
 
+def _gold(t) -> gold_state.GoldTables:
+    """The gold tables over the single-adoption fact, from one row of sums per household: the orders are read once."""
+    s = t.star
+    return t.derived("gold", lambda: gold_state.GoldTables(
+        gold_state.adoption_state(s.fact_adoptions, None, s.dim_geography, s.dim_product), s.dim_household, s.dim_geography))
+
+
 # Scale of each yearly total: the products below stay exact decimals.
 _GAINS = {"co2": 4, "credit": 6, "lives": 12, "dalys": 8, "fuel": 4, "hours": 3, "health": 2}
 
@@ -152,9 +159,7 @@ JOIN gain USING (household_key)
                     "total_fuel_savings_ksh", "avg_usage_intensity", "total_subsidies",
                     "avg_subsidy_per_household", "pct_of_goal_achieved"), ops="G4 A4 J5")
 def q_gold_exec(t):
-    s = t.star
-    impact = _impact(t)
-    return gold.gold_executive_summary(s.fact_adoptions, impact)
+    return _gold(t).gold_executive_summary()
 
 
 COUNTY_SQL = f"""
@@ -179,9 +184,7 @@ _COUNTY_PERF_MEASURES = ("poverty_rate", "electrification_rate", "penetration_ra
           households_sql("fact_adoptions") + COUNTY_SQL,
           measures=_COUNTY_PERF_MEASURES, ops="G5 A5 A8 J5", headline=True)
 def q_gold_county(t):
-    s = t.star
-    impact = _impact(t)
-    return gold.gold_county_performance(s.fact_adoptions, s.dim_geography, s.dim_product, impact)
+    return _gold(t).gold_county_performance()
 
 
 @register("gold_fanout",
@@ -206,9 +209,7 @@ GROUP BY dim_geography.county
 @register("gold_donor_health_impact", households_sql("fact_adoptions") + HEALTH_SQL, measures=("lives_saved", "dalys_avoided", "healthcare_cost_avoided"), scale=10,
     ops="G6 A6 F10")
 def q_gold_health(t):
-    s = t.star
-    impact = _impact(t)
-    return gold.gold_donor_health_impact(s.fact_adoptions, s.dim_household, s.dim_geography, impact)
+    return _gold(t).gold_donor_health_impact()
 
 
 ENVIRONMENT_SQL = f"""
@@ -223,9 +224,7 @@ WHERE n_product > 0 GROUP BY county
 @register("gold_donor_environment_impact", households_sql("fact_adoptions") + ENVIRONMENT_SQL, measures=("co2_avoided_tons", "carbon_credit_value", "trees_equivalent", "pm25_reduced"),
     ops="G7 A9")
 def q_gold_env(t):
-    s = t.star
-    impact = _impact(t)
-    return gold.gold_donor_environment_impact(s.fact_adoptions, s.dim_product, s.dim_geography, impact)
+    return _gold(t).gold_donor_environment_impact()
 
 
 GENDER_SQL = f"""
@@ -241,9 +240,7 @@ GROUP BY dim_geography.county
 
 @register("gold_donor_gender_impact", households_sql("fact_adoptions") + GENDER_SQL, measures=("total_time_saved_hours", "women_time_saved_hours"), ops="G8 A9")
 def q_gold_gender(t):
-    s = t.star
-    impact = _impact(t)
-    return gold.gold_donor_gender_impact(s.fact_adoptions, s.dim_household, s.dim_geography, impact)
+    return _gold(t).gold_donor_gender_impact()
 
 
 from . import queries_alloc, queries_ops, queries_quality, queries_incremental, queries_tables  # noqa: E402,F401

@@ -208,12 +208,9 @@ FROM whole w, per_county c
 
 @register("gold_checks", _gold_checks_sql(), ops="Q9")
 def q_gold_checks(t):
-    from .queries import _impact
-    s = t.star
-    impact = _impact(t)
-    ex = gold.gold_executive_summary(s.fact_adoptions, impact)
-    cp = gold.gold_county_performance(s.fact_adoptions, s.dim_geography, s.dim_product, impact)
-    return quality.gold_checks(ex, cp)
+    from .queries import _gold
+    tables = _gold(t)
+    return quality.gold_checks(tables.gold_executive_summary(), tables.gold_county_performance())
 
 
 @register("run_thresholds", """

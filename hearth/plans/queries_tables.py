@@ -150,7 +150,7 @@ def q_load_donors(t):
          len(list_filter(priority_metrics, lambda m: length(m) > 12)) AS long_metrics
   FROM donors)
 SELECT donor_id, focus_area, takes_all, values_health, CAST(long_metrics AS INTEGER) AS long_metrics, COUNT(*) AS counties,
-       SUM(households) AS households
+       CAST(SUM(households) AS BIGINT) AS households
 FROM wanted JOIN (SELECT county, COUNT(*) AS households FROM dim_household GROUP BY county) USING (county)
 GROUP BY ALL
 """, ops="X1 S2 B6")

@@ -21,6 +21,9 @@ SESSION_DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Python keeps no call site of every column expression (for error messages); a plan of some
+    # hundred expressions is built in half the time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     # With the UI off nobody reads the driver's in-memory job/stage/task/SQL
     # history; keeping it short stops a driver that runs many queries from

@@ -11,8 +11,9 @@ A batch has a name and survives interruption. Its new ranges are first written t
 that finds the marker puts the same rows in again and computes nothing from a half replaced
 table; a rerun of a finished batch changes nothing.
 
-The range of a key is the number of bounds not above it, found by binary search in a literal
-array: no join, no Python. A key that is null is refused (the table's key is NOT NULL).
+The range of a key is the number of bounds not above it, found by a balanced tree of comparisons
+(some hundred ranges at most; a larger range is several files): no join, no Python. A key that
+is null is refused (the table's key is NOT NULL).
 """
 
 from __future__ import annotations
@@ -29,29 +30,40 @@ from .sinks import upsert
 RANGE = "key_range"
 
 
-def _position(key: Column, bounds: Sequence) -> Column:
-    """How many of the sorted ``bounds`` are at most ``key``."""
-    if not bounds:
-        return F.lit(0)
-    steps = [1 << b for b in reversed(range(len(bounds).bit_length()))]
-    held = F.array(*[F.lit(b) for b in bounds])
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda at, step: F.when((at + step <= len(bounds)) & (F.try_element_at(held, at + step) <= key), at + step).otherwise(at))
+def _position(key: Column, bounds: Sequence[str], kind: T.DataType) -> Column:
+    """How many of the sorted ``bounds`` are at most ``key``: a balanced tree of comparisons."""
+    def among(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(key < F.lit(bounds[mid]).cast(kind), among(low, mid)).otherwise(among(mid + 1, high))
+    return among(0, len(bounds))
 
 
 def _with_range(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(RANGE, T.IntegerType())])
 
 
+def _write(rows: DataFrame, key: str, path: str) -> None:
+    """Replace the folders of the ranges that ``rows`` hold.
+
+    Rebalancing deals rows out by range without a sampling pass; adaptive execution then joins
+    small ranges into one task and splits a range that has outgrown the others.
+    """
+    (rows.hint("rebalance", RANGE).sortWithinPartitions(RANGE, key).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(RANGE).parquet(path))
+
+
 class RangeTable:
     """Handle on a table that ``create`` wrote."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        layout = spark.read.parquet(f"{self.root}/layout").first()
-        self.key, self.bounds = layout["key"], list(layout["bounds"])
-        self.schema = spark.read.parquet(f"{self.root}/empty").schema
+        layout = storage.get(spark, f"{self.root}/layout.json")
+        if layout is None:
+            raise FileNotFoundError(f"no table at {root}")
+        self.key, self.schema = layout["key"], T.StructType.fromJson(layout["schema"])
+        self.bounds = layout["bounds"]
 
     @classmethod
     def create(cls, df: DataFrame, root: str, key: str, ranges: int = 64) -> RangeTable:
@@ -59,17 +71,14 @@ class RangeTable:
         spark, root = df.sparkSession, root.rstrip("/")
         df = df.where(F.col(key).isNotNull())
         lows = (df.select(key).repartitionByRange(ranges, key).groupBy(F.spark_partition_id().alias("p"))
-                .agg(F.min(key).alias("low")).orderBy("low").collect())   # at most ``ranges`` rows
+                .agg(F.min(key).alias("low")).orderBy("low").select(F.col("low").cast("string")).collect())   # at most ``ranges`` rows
         bounds = [r.low for r in lows[1:]]
-        kind = df.schema[key].dataType.simpleString()
-        spark.createDataFrame([(key, bounds)], f"key string, bounds array<{kind}>").write.mode("overwrite").parquet(f"{root}/layout")
-        df.limit(0).write.mode("overwrite").parquet(f"{root}/empty")
-        (df.withColumn(RANGE, _position(F.col(key), bounds)).repartitionByRange(ranges, RANGE, key).sortWithinPartitions(RANGE, key)
-         .write.mode("overwrite").partitionBy(RANGE).parquet(f"{root}/data"))
+        _write(df.withColumn(RANGE, _position(F.col(key), bounds, df.schema[key].dataType)), key, f"{root}/data")
+        storage.put(spark, f"{root}/layout.json", {"key": key, "bounds": bounds, "schema": df.schema.jsonValue()})
         return cls(spark, root)
 
     def range_of(self, key: Column) -> Column:
-        return _position(key, self.bounds)
+        return _position(key, self.bounds, self.schema[self.key].dataType)
 
     def _data(self) -> DataFrame:
         return self.spark.read.schema(_with_range(self.schema)).parquet(f"{self.root}/data")
@@ -94,18 +103,14 @@ class RangeTable:
                 found = delta.select(self.range_of(F.col(self.key)).alias("r")).distinct().collect()   # at most a row per range
                 touched = [r.r for r in found]
                 rows = combine(self.read_ranges(touched), delta).select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-                self._write(rows.withColumn(RANGE, self.range_of(F.col(self.key))), len(touched), staged)
+                _write(rows.withColumn(RANGE, self.range_of(F.col(self.key))), self.key, staged)
             touched = self._staged(staged)
             if touched:
                 rows = self.spark.read.schema(_with_range(self.schema)).parquet(staged)
-                self._write(rows, len(touched), f"{self.root}/data")
+                _write(rows, self.key, f"{self.root}/data")
             storage.put(self.spark, done, {"batch": batch, "ranges": touched})
         return self._staged(staged)
 
-    def _write(self, rows: DataFrame, ranges: int, path: str) -> None:
-        (rows.repartitionByRange(max(1, ranges), RANGE, self.key).sortWithinPartitions(RANGE, self.key).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(RANGE).parquet(path))
-
     def _staged(self, staged: str) -> list[int]:
         """Ranges that a staged batch holds."""
         return sorted(int(n.split("=")[1]) for n in storage.children(self.spark, staged) if n.startswith(f"{RANGE}="))

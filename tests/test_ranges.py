@@ -5,10 +5,11 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearth.operators import gold, gold_state
 from hearth.session import scratch_path
-from hearth.sources import sinks, storage
+from hearth.sources import ranges, sinks, storage
 from hearth.sources.ranges import RangeTable, _position
 from hearth.sources.tables import Tables
 from tests.conftest import SF001
@@ -42,10 +43,10 @@ def rows(df):
 
 
 @pytest.mark.parametrize("bounds", [[], ["m"], ["b", "d", "f"], list("acegikmoqs"), [f"{i:03d}" for i in range(100)]])
-def test_position_is_a_binary_search(spark, bounds):
+def test_position_counts_the_bounds_below(spark, bounds):
     keys = ["", "a", "b", "c", "m", "z", "000", "050", "0505", "099", "1"]
     df = spark.createDataFrame([(k,) for k in keys], "k string")
-    got = {r.k: r.p for r in df.select("k", _position(F.col("k"), bounds).alias("p")).collect()}
+    got = {r.k: r.p for r in df.select("k", _position(F.col("k"), bounds, T.StringType()).alias("p")).collect()}
     assert got == {k: sum(b <= k for b in bounds) for k in keys}
 
 
@@ -87,20 +88,19 @@ def test_a_batch_is_applied_once(spark):
 def test_a_batch_that_died_while_replacing_is_finished_from_what_it_staged(spark, monkeypatch):
     table = RangeTable.create(base(spark), scratch_path(spark, "ranges"), "k", 8)
     d = delta(spark, [(key(i), AT, "x", Decimal(1000 + i)) for i in (5, 399)] + [("ZZ", AT, "new", Decimal(1))])
-    write, calls = RangeTable._write, []
+    write, calls = ranges._write, []
 
-    def dies(self, df, n, path):
+    def dies(df, key_, path):
         calls.append(path)
         if path.endswith("/data"):   # one of the two ranges is replaced, then the driver is lost
-            one = df.where(F.col("key_range") == self._staged(f"{self.root}/staged/b1")[0])
-            write(self, one, 1, path)
+            write(df.where(F.col("key_range") == table._staged(f"{table.root}/staged/b1")[0]), key_, path)
             raise RuntimeError("lost")
-        write(self, df, n, path)
+        write(df, key_, path)
 
-    monkeypatch.setattr(RangeTable, "_write", dies)
+    monkeypatch.setattr(ranges, "_write", dies)
     with pytest.raises(RuntimeError):
         upsert(table, "b1", d)
-    monkeypatch.setattr(RangeTable, "_write", write)
+    monkeypatch.setattr(ranges, "_write", write)
     upsert(RangeTable(spark, table.root), "b1", d)
     want = sinks.upsert(base(spark), d, "k", ["income"], ["ts"], F.lit(AT).cast("timestamp_ntz")).drop("change")
     assert rows(table.read()) == rows(want) and len(calls) == 2
@@ -114,6 +114,19 @@ def test_a_batch_that_died_while_staging_is_staged_again(spark):
     assert {r.k: r.income for r in table.read().collect()}[key(2)] == Decimal(77) and table.read().count() == 400
 
 
+@pytest.mark.parametrize("kind", ["bigint", "date", "decimal(12,2)", "timestamp_ntz", "double"])
+def test_keys_of_other_types(spark, kind):
+    number = F.col("id").cast("bigint")
+    k = {"date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")),
+         "timestamp_ntz": (F.lit("2020-01-01 00:00:00.25").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int")))}.get(kind, number.cast(kind))
+    df = spark.range(500).select(k.alias("k"), F.col("id").alias("v"))
+    table = RangeTable.create(df, scratch_path(spark, "ranges"), "k", 5)
+    again = RangeTable(spark, table.root)
+    assert again.schema["k"].dataType.simpleString() == kind and 3 <= len(again.bounds) <= 4
+    got = again.apply("b", df.where("v = 77"), lambda base_, d: base_.unionByName(d).groupBy("k").agg(F.sum("v").alias("v")))
+    assert len(got) == 1 and again.read().agg(F.sum("v")).first()[0] == 499 * 250 + 77 and again.read().count() == 500
+
+
 def test_empty_table_takes_a_batch(spark):
     table = RangeTable.create(base(spark, 0), scratch_path(spark, "ranges"), "k", 4)
     assert table.read().count() == 0
@@ -151,7 +164,7 @@ def test_state_and_delta_equal_the_full_recompute(spark):
             "gold_donor_health_impact": gold.gold_donor_health_impact(fact, s.dim_household, s.dim_geography, impact),
             "gold_donor_environment_impact": gold.gold_donor_environment_impact(fact, s.dim_product, s.dim_geography, impact),
             "gold_donor_gender_impact": gold.gold_donor_gender_impact(fact, s.dim_household, s.dim_geography, impact)}
-    got = gold_state.gold_tables(table.read(), s.dim_household, s.dim_geography)
+    got = gold_state.GoldTables(table.read(), s.dim_household, s.dim_geography).all()
     for name, df in want.items():
         assert sorted(map(tuple, got[name].select(*df.columns).collect()), key=str) == sorted(map(tuple, df.collect()), key=str), name
 
@@ -164,5 +177,5 @@ def test_gold_from_the_state_reads_no_order_and_the_delta_only_new_ones(spark):
     assert "GreaterThanOrEqual(o_orderdate" in plan
     state = gold_state.adoption_state(s.order_adoptions, s.programme_households, s.dim_geography, s.dim_product)
     table = gold_state.create(state, scratch_path(spark, "gold-state"), 4)
-    for df in gold_state.gold_tables(table.read(), s.dim_household, s.dim_geography).values():
+    for df in gold_state.GoldTables(table.read(), s.dim_household, s.dim_geography).all().values():
         assert not any("orders" in f for f in df.inputFiles())
