@@ -6,14 +6,16 @@ indexed in one bucket of each table; a query probes the buckets of its ``probes`
 axes. Candidates of a bucket are reranked exactly, in blocks, by the inner product of the
 original vectors in double precision; a task returns the best k of a query in its block.
 The share of axes probed grows with their number, as near vectors of many dimensions are
-less near. Vectors of a length that one block holds are one bucket, and a query that finds
-fewer than min(k, candidates) is compared with all vectors of its length, block by block.
+less near, and with k over the number of vectors, as the k nearest of few vectors are not
+near; every table is hashed, whatever its size. A query that finds fewer than
+min(k, candidates) is compared with all vectors of its length, block by block.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, and null
 ids, take no part; vectors meet only vectors of their length; repeated equal rows count once,
 and an id with several vectors takes part with the smallest in array order; ties go to the
-smaller id; with fewer than k candidates in the table, all of them; an empty table gives an empty
-result; other columns are not looked at.
+smaller id; with fewer than k candidates in the table, all of them; an inner product beyond
+double precision is infinite and ranks so, one that is no number (infinite parts of both signs)
+is NaN and ranks last; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ TABLES = 6
 PROBES = 24            # of the 2 * 64 signed axes of a 64-dimensional table; at least so many at every size
 BLOCK = 4096           # vectors, and queries, of one bucket compared at once
 SEED = 7
+BOUND = float(np.finfo(np.float64).max) / 2
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -53,12 +56,16 @@ def axes(x: np.ndarray, table: int, seed: int = SEED) -> np.ndarray:
     return np.concatenate((y, -y), axis=1)
 
 
-def probes_of(signed: int) -> int:
-    """How many of the signed axes are probed: a share of 24 / 128 at 2^7 axes, more by the logarithm at others."""
-    return min(signed, max(PROBES, -(-PROBES * signed * (signed.bit_length() - 1) // (128 * 7))))
+def probes_of(signed: int, n: int, k: int = K) -> int:
+    """How many of the signed axes are probed by a query among ``n`` vectors.
+
+    A share of 24 / 128 at 2^7 axes, more by the logarithm at others, and at least twice k / n.
+    """
+    near = -(-PROBES * signed * (signed.bit_length() - 1) // (128 * 7))
+    return min(signed, max(PROBES, near, -(-2 * k * signed // max(n, 1))))
 
 
-def _codes(tables: int, probes: int | None):
+def _codes(tables: int, probes: int | None, k: int):
     def run(batches):
         import pyarrow as pa
         for b in batches:
@@ -73,7 +80,7 @@ def _codes(tables: int, probes: int | None):
                 for t in range(tables):
                     code[at, t] = near[t].argmax(axis=1)
                 signed = near[0].shape[1]
-                p = probes_of(signed) if probes is None else min(probes, signed)
+                p = probes_of(signed, b.column(4)[int(at[0])].as_py(), k) if probes is None else min(probes, signed)
                 q = np.flatnonzero(asks[at])
                 best = [np.argsort(-near[t][q], axis=1, kind="stable")[:, :p] for t in range(tables)]
                 for i, row in enumerate(at[q]):
@@ -81,13 +88,25 @@ def _codes(tables: int, probes: int | None):
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(code.tolist(), pa.list_(pa.int32())),
                  pa.array(probe, pa.list_(pa.list_(pa.int32())))],
-                names=["vec_id", "embedding", "dim", "asks", "codes", "probes"])
+                names=["vec_id", "embedding", "dim", "asks", "n", "codes", "probes"])
     return run
 
 
 KEYS = ["dim", "t", "bucket", "vb", "qb"]
 
 
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products for ranking: finite always, in the order infinite, finite, minus infinite, no number."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = a @ b.T
+        odd = np.argwhere(~np.isfinite(out))
+        for s in range(0, len(odd), 4096):      # a block product may mix partial sums; take these one by one
+            i, j = odd[s:s + 4096].T
+            one = np.einsum("ij,ij->i", a[i], b[j])
+            out[i, j] = np.where(np.isnan(one), -BOUND, np.clip(one, -BOUND / 2, BOUND))
+    return out
+
+
 def _rerank(k: int):
     def run(batches):
         import pyarrow as pa
@@ -103,13 +122,14 @@ def _rerank(k: int):
                 out = []
                 for q in range(n, e - s, 256):
                     asked = np.arange(q, min(q + 256, e - s))
-                    near = x[asked] @ x[:n].T
+                    near = products(x[asked], x[:n])
                     near[ids[asked][:, None] == ids[None, :n]] = -np.inf
                     least = np.partition(near, n - k, axis=1)[:, n - k] if n > k else np.full(len(asked), -np.inf)
                     margin = 1e-12 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
                     i, j = np.nonzero((near >= (least - margin)[:, None]) & (near > -np.inf))
-                    exact = np.einsum("ij,ij->i", x[asked[i]], x[j])  # the same sum in whatever block
-                    order = np.lexsort((ids[j], -exact, i))
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        exact = np.einsum("ij,ij->i", x[asked[i]], x[j])  # the same sum in whatever block
+                    order = np.lexsort((ids[j], -exact, i))  # NaN is last
                     i, j, exact = i[order], j[order], exact[order]
                     rank = np.arange(len(i)) - np.searchsorted(i, i)
                     top = rank < k
@@ -137,7 +157,7 @@ def _compare(index: DataFrame, asked: DataFrame, k: int, block: int, name: str)
     found = (left.unionByName(right).repartition(*KEYS).sortWithinPartitions(*KEYS, "side", "vec_id")
              .mapInArrow(_rerank(k), "query_id bigint, vec_id bigint, score double"))
     # a candidate found by several tables has one rank: it ties with itself only
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.isnan("score"), F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.dense_rank().over(order)).where(F.col("rank") <= k)
             .dropDuplicates(["query_id", "rank"]).select("query_id", "rank", "vec_id", "score"))
 
@@ -151,17 +171,14 @@ def nearest(rows: DataFrame, is_query: Column, k: int = K, tables: int = TABLES,
     """
     rows = pick(rows, "vec_id", "embedding").where(valid(F.col("embedding")) & F.col("vec_id").isNotNull())
     one = rows.groupBy(F.col("vec_id").cast("bigint").alias("vec_id")).agg(F.min("embedding").alias("embedding"))
-    base = one.select("vec_id", "embedding", F.size("embedding").alias("dim"), is_query.alias("asks"))
-    coded = materialise(base.mapInArrow(_codes(tables, probes), base.schema.simpleString().removeprefix("struct<")
+    base = materialise(one.select("vec_id", "embedding", F.size("embedding").alias("dim"), is_query.alias("asks")), "neighbour-rows")
+    lengths = materialise(base.groupBy("dim").agg(F.count(F.lit(1)).alias("n")), "neighbour-lengths")
+    base = base.join(broadcast_if_small(lengths, 16), "dim").select("vec_id", "embedding", "dim", "asks", "n")
+    coded = materialise(base.mapInArrow(_codes(tables, probes, k), base.schema.simpleString().removeprefix("struct<")
                                         .removesuffix(">") + ",codes:array<int>,probes:array<array<int>>"), "neighbour-codes")
-    lengths = materialise(coded.groupBy("dim").agg(F.count(F.lit(1)).alias("n")), "neighbour-lengths")
-    coded = coded.join(broadcast_if_small(lengths, 16), "dim")
-    few = F.col("n") <= block
-    index = coded.select("vec_id", "embedding", "dim", F.posexplode(
-        F.when(few, F.array(F.lit(0))).otherwise(F.col("codes"))).alias("t", "bucket"))
-    asked = (coded.where("asks").select("vec_id", "embedding", "dim", F.posexplode(
-        F.when(few, F.array(F.array(F.lit(0)))).otherwise(F.col("probes"))).alias("t", "b"))
-        .select("vec_id", "embedding", "dim", "t", F.explode("b").alias("bucket")))
+    index = coded.select("vec_id", "embedding", "dim", F.posexplode("codes").alias("t", "bucket"))
+    asked = (coded.where("asks").select("vec_id", "embedding", "dim", F.posexplode("probes").alias("t", "b"))
+             .select("vec_id", "embedding", "dim", "t", F.explode("b").alias("bucket")))
     best = materialise(_compare(index, asked, k, block, "neighbour-sizes"), "neighbour-best")
     hits = best.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("hits"))
     short = materialise(coded.where("asks").select("vec_id", "embedding", "dim", "n").join(hits, "vec_id", "left")

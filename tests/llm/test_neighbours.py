@@ -29,9 +29,15 @@ def got(df, step, **options):
 
 
 @pytest.mark.parametrize("sf", [SF001, SF01, "/root/testdata/sf0.1"])
-def test_recall(spark, sf):
+def test_recall(spark, sf, monkeypatch):
+    """The path of the query: every vector in a bucket of each table, no table in one bucket."""
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    indexes, compare = [], neighbours._compare
+    monkeypatch.setattr(neighbours, "_compare", lambda index, *a: (indexes.append(index), compare(index, *a))[1])
     want, mine = slow(df.collect(), 20, 20), got(df, 20)
+    per_table = indexes[0].groupBy("t").agg(F.count_distinct("bucket").alias("b"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(indexes) == 1 and len(per_table) == neighbours.TABLES
+    assert all(r.b > 100 and r.n == df.count() for r in per_table)
     found = sum(len(set(want[q]) & set(mine[q])) for q in want)  # with exactly the same scores
     assert found / sum(map(len, want.values())) >= 0.9
 
@@ -51,12 +57,24 @@ def test_odd_rows(spark):
     assert got(df.limit(0), 20) == {}
 
 
-@pytest.mark.parametrize("n", [10, 15, 25, 60])
-def test_small_tables_give_every_row_they_can(spark, n):
+@pytest.mark.parametrize("n", [10, 15, 25, 60, 100, 200])
+def test_small_tables(spark, n):
     rng = np.random.default_rng(n)
     df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=64)]) for i in range(n)],
                                "vec_id long, embedding array<double>")
-    assert got(df, 5) == slow(df.collect(), 5, 20)
+    mine, want = got(df, 5), slow(df.collect(), 5, 20)
+    assert all(len(mine[q]) == len(want[q]) for q in want)
+    found = sum(len(set(want[q]) & set(mine[q])) for q in want)
+    assert found / sum(map(len, want.values())) >= (1 if n <= 25 else 0.9)
+
+
+def test_inner_products_beyond_double_precision(spark):
+    big = 1e200
+    rows = [(0, [big, big, 1.0]), (1, [big, 0.0, 0.0]), (2, [-big, 0.0, 0.0]), (3, [big, -big, 0.0]), (4, [1.0, 2.0, 3.0]),
+            (5, [-1.0, 0.0, 0.0]), (6, [0.0, 0.0, 1.0])]
+    mine = got(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 10)[0]
+    assert [i for i, _ in mine] == [1, 4, 6, 5, 2, 3]
+    assert mine[0][1] == np.inf and mine[4][1] == -np.inf and np.isnan(mine[5][1]) and mine[2][1] == 1.0
 
 
 def test_queries_of_too_few_hits_are_compared_with_all(spark):
@@ -67,7 +85,8 @@ def test_queries_of_too_few_hits_are_compared_with_all(spark):
 
 
 def test_probes_follow_the_number_of_axes():
-    assert [neighbours.probes_of(2 ** i) for i in (1, 4, 5, 7)] == [2, 16, 24, 24]
+    assert [neighbours.probes_of(2 ** i, 10**6) for i in (1, 4, 5, 7)] == [2, 16, 24, 24]
+    assert [neighbours.probes_of(128, n, 20) for n in (1, 25, 60, 128, 300)] == [128, 128, 86, 40, 24]
     rng = np.random.default_rng(5)
     x = rng.normal(size=(5000, 384))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -78,6 +97,6 @@ def test_probes_follow_the_number_of_axes():
     met = np.zeros(want.shape, bool)
     for t in range(neighbours.TABLES):
         close = neighbours.axes(x, t)
-        probed = np.argsort(-close[q], axis=1)[:, :neighbours.probes_of(close.shape[1])]
+        probed = np.argsort(-close[q], axis=1)[:, :neighbours.probes_of(close.shape[1], 5000)]
         met |= (close.argmax(axis=1)[want][:, :, None] == probed[:, None, :]).any(axis=2)
     assert met.mean() >= 0.9
