@@ -97,8 +97,9 @@ def plan(docs: DataFrame, keep: list[str], weights=WEIGHTS, schedules=SCHEDULES,
     run per (source, bucket), so a source with a third of all rows spreads over many tasks.
     """
     buckets = 1 << min(20, max(6, math.ceil(math.log2(max(1, docs.count() / per_bucket)))))
-    # rows without an id spread by their texts
-    key = F.md5(F.coalesce(docs["doc_id"].cast("string"), docs["text"], F.lit("")).cast("binary"))
+    # by id and text, so that the rows of one repeated id spread as those of many ids do
+    key = F.md5(F.concat(F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.lit(":"),
+                         F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))).cast("binary"))
     rows = docs.select(
         F.struct(*[docs[c] for c in keep]).alias("row"),
         F.coalesce(F.concat(F.lit("s"), docs["source"]), F.lit("n")).alias("_source"),

@@ -30,29 +30,36 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 def op2_mixing(spark, sf_dir):
     return (mixing.plan(_table(spark, sf_dir, "documents"), ["doc_id"])
             .orderBy(F.col("position").asc_nulls_last(), "_order")
-            .select("row.doc_id", "size", "source_size", "target", "taken"))
+            .select("row.doc_id", "size", "source_size", "target", "taken", F.size("copies").cast("bigint").alias("copies"),
+                    (F.rint(F.col("position") * 1e9) / 1e9).alias("position")))
 
 
 OP2_SQL = r"""
-WITH d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), text, '')) AS key, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
-           FROM documents),
+WITH d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key,
+             CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
-w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE
-             ELSE 1.0::DOUBLE END AS w, CAST(2 * source_size AS DOUBLE) AS cap FROM s),
+w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS cycle, CAST(2 * source_size AS DOUBLE) AS cap FROM s),
+v AS (SELECT *, CASE cycle WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w FROM w),
 l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE
                  - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
                 / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
-      FROM w WINDOW o AS (ORDER BY cap / w, source NULLS LAST)),
-t AS (SELECT source, source_size, CASE WHEN lev < cap / w THEN least(cap, max(CASE WHEN lev < cap / w THEN lev END) OVER () * w)
+      FROM v WINDOW o AS (ORDER BY cap / w, source NULLS LAST)),
+t AS (SELECT source, source_size, cycle, CASE WHEN lev < cap / w THEN least(cap, max(CASE WHEN lev < cap / w THEN lev END) OVER () * w)
              ELSE cap END AS target FROM l),
-r AS (SELECT d.doc_id, d.size, t.source_size, t.target,
+r AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.cycle,
              coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin_at,
              CAST(floor(t.target) AS BIGINT) // greatest(t.source_size, 1) AS passes
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(passes * size + least(greatest(CAST(floor(target) AS BIGINT) - passes * source_size - begin_at, 0), size) AS BIGINT) AS taken
-FROM r"""
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+p AS (SELECT *, CASE WHEN size > 0 THEN passes ELSE 0 END AS whole,
+             least(greatest(CAST(floor(target) AS BIGINT) - passes * source_size - begin_at, 0), size) AS part,
+             least(CAST(begin_at AS DOUBLE) / greatest(target, 1.0::DOUBLE), 1.0::DOUBLE) AS used FROM r),
+-- the share of the target used, looked up in the inverse of the integral of each rate: 1; 0.5 + t; 1.5 - t
+c AS (SELECT *, whole + CASE WHEN part > 0 THEN 1 ELSE 0 END AS copies, CASE cycle WHEN 0 THEN used
+        WHEN 1 THEN sqrt(0.25::DOUBLE + 2 * used) - 0.5::DOUBLE ELSE 1.5::DOUBLE - sqrt(2.25::DOUBLE - 2 * used) END AS time FROM p)
+SELECT doc_id, size, source_size, target, CAST(whole * size + part AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies,
+       CASE WHEN copies > 0 THEN round_even(time * 1e9, 0) / 1e9 END AS position
+FROM c"""
 
 
 def op3_packing(spark, sf_dir):

@@ -59,8 +59,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, per_bucket: int = PER_BUCKET) -
         import pyarrow as pa
         for b in batches:
             ids = b.column(0).fill_null(-1).to_numpy().view(np.uint64)
-            mix = np.where(b.column(0).is_null().to_numpy(zero_copy_only=False),
-                           b.column(2).to_numpy() & 0xFFFFF, mixed(ids)) >> shift
+            with np.errstate(over="ignore"):   # by id and text: the rows of one repeated id spread
+                mix = mixed(ids ^ b.column(2).to_numpy().astype(np.uint64) * _STEP) >> shift
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(jump_hash(ids, shards), pa.int32()), pa.array(jump_hash(ids, shards + 1), pa.int32()),
                  pa.array(mix, pa.int32())], names=["doc_id", "size", "text_crc32", "shard", "grown_shard", "bucket"])

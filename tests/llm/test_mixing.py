@@ -71,6 +71,57 @@ def test_inverse_of_the_schedule(spark):
         mixing.time_of(F.lit(0.5), ((0.0, 0.0), (1.0, 1.0)))
 
 
+def slow_time(share, knots):
+    """The time at which a schedule's integral reaches ``share`` of its whole, by bisection."""
+    def area(t):
+        total = 0.0
+        for (a, x), (b, y) in zip(knots, knots[1:]):
+            end = min(max(t, a), b)
+            total += (end - a) * (2 * x + (y - x) * (end - a) / (b - a)) / 2
+        return total
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if area(mid) < share * area(1.0) else (low, mid)
+    return low
+
+
+def test_op2_positions_and_copies_of_every_document(spark):
+    from hashlib import md5
+
+    from hearth.llm import queries
+    rows = spark.read.parquet(f"{SF001}/documents.parquet").collect()
+    size = {r.doc_id: len(WORD.findall(r.text or "")) for r in rows}
+    by_source = {}
+    for r in rows:
+        key = md5(f"{r.doc_id}:{md5((r.text or '').encode()).hexdigest()}".encode()).hexdigest()
+        by_source.setdefault(r.source, []).append((key, r.doc_id))
+    target = slow_targets({s: sum(size[i] for _, i in ids) for s, ids in by_source.items()})
+    want = {}
+    for cycle, source in enumerate(sorted(by_source, key=lambda s: s.encode())):
+        at, own = 0, sum(size[i] for _, i in by_source[source])
+        for _, i in sorted(by_source[source]):
+            # the words of one pass after the other, cut at the target
+            copies = [p for p in range(3) if size[i] and p * own + at < int(target[source])]
+            time = slow_time(min(at / max(target[source], 1.0), 1.0), mixing.SCHEDULES[cycle % 3])
+            want[i] = (len(copies), time if copies else None)
+            at += size[i]
+    got = queries.op2_mixing(spark, SF001).collect()
+    for r in got:
+        copies, time = want[r.doc_id]
+        assert r.copies == copies and (r.position is None) == (time is None)
+        assert time is None or r.position == pytest.approx(time, abs=2e-9)
+    times = [r.position for r in got if r.position is not None]
+    assert times == sorted(times) and all(r.position is None for r in got[len(times):])
+
+
+def test_the_rows_of_one_id_spread(spark):
+    docs = spark.range(4000).selectExpr("cast(7 as bigint) as doc_id", "concat('t', id, ' w') as text", "'s' as source")
+    groups = mixing.plan(docs, ["doc_id"], per_bucket=100).groupBy(F.substring("_order", 1, 1)).count().collect()
+    assert len(groups) == 16 and max(r["count"] for r in groups) < 500
+    check(docs)
+
+
 def test_training_order_cuts_and_repeats(spark):
     docs = spark.createDataFrame([(i, f" a{i}\tb  c\nd e", "s" if i else "t", 11) for i in range(9)],
                                  "doc_id long, text string, source string, n_chars long")

@@ -48,3 +48,14 @@ def test_sf_shards_and_gapless_slots(spark):
 def test_odd_rows(odd_docs, no_docs):
     check(odd_docs)
     assert sharding.shard(no_docs).count() == 0
+
+
+def test_the_rows_of_one_id_spread_over_slot_groups(spark, monkeypatch):
+    made = []
+    keep = sharding.materialise
+    monkeypatch.setattr(sharding, "materialise", lambda df, name: (made.append((name, keep(df, name))), made[-1][1])[1])
+    docs = spark.range(3000).selectExpr("cast(5 as bigint) as doc_id", "concat('t', id) as text")
+    got = sharding.shard(docs, per_bucket=100).collect()
+    rows = dict(made)["shard-rows"]
+    assert rows.groupBy("shard", "bucket").count().agg({"count": "max"}).first()[0] < 300
+    assert len({r.shard for r in got}) == 1 and sorted(r.slot for r in got) == list(range(3000))
