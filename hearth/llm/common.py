@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -26,12 +26,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
+def broadcast_if_small(df: DataFrame, row_bytes: int, more: Column | None = None) -> DataFrame:
     """Hint a broadcast when ``rows * row_bytes`` is under the bound; else leave the join to shuffle.
 
-    ``df`` should be a written table: its rows are counted.
+    ``df`` should be a written table: its rows are counted. ``more`` is what a row holds beyond
+    ``row_bytes`` (its arrays and texts); it is summed.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    if more is None:
+        size = df.count() * row_bytes
+    else:
+        rows, beyond = df.agg(F.count(F.lit(1)), F.sum(more)).first()
+        size = rows * row_bytes + (beyond or 0)
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:

@@ -1,19 +1,26 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Three base patterns (assignments, access keys, long hex strings) and one wide candidate
-pattern (bare mixed strings of high entropy) are found in every whole text. The hashes of
-all candidate values are counted over the corpus by distinct repository and owner. Copies
-of one text are no witnesses of each other: equal texts, and texts that are near copies but
-for the values, have one holder. A value many owners hold in texts of their own is a copied
-example, and so is one that calls itself an example and that many owners hold in whatever
-texts; one that a single owner holds and that looks random is a live-looking credential.
-Base spans and wide candidates (kind ``bare``) are all reported, with their verdict.
-Redaction also masks an example that looks random, unless it calls itself one.
+pattern (bare mixed strings of high entropy) are found in every whole text. The hashes of all
+candidate values are counted over the corpus by distinct owners, by distinct repositories, and
+by text classes: equal texts, and texts that are near copies but for the values, are one class.
+The counts give a value its verdict:
+
+* ``example``: calls itself an example and several owners hold it, or looks plain and
+  ``example_owners`` owners hold it in several classes;
+* ``owner_live``: one owner holds it and it looks random; ``owner_plain``: it does not;
+* ``marked``: one owner holds it and it calls itself an example;
+* ``copied_with_text``: several owners hold it, all in copies of one text;
+* ``leaked``: several owners hold it in texts of their own, and it looks random;
+* ``shared``: the same, but it looks plain and fewer than ``example_owners`` hold it.
+
+Base spans and wide candidates (kind ``bare``) are all reported, with their verdicts and
+counts. Redaction masks every value but examples.
 
 Defined results: a null or empty text has no span; null owners and repositories count as
-one unknown owner and repository; repeated rows are separate rows (they do not raise the
-number of owners); copies count for the smallest of their owners; a text of any length is scanned whole; an empty table gives an empty
-result; other columns are not looked at.
+one unknown owner and repository; repeated rows are separate rows (they do not raise any of
+the counts); a text of any length is scanned whole; an empty table gives an empty result;
+other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -40,7 +47,7 @@ KINDS = ("assign", "access", "hex", "bare")
 
 BARE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 MIN_ENTROPY = 3.0      # bits per character of a live-looking value
-EXAMPLE_OWNERS = 3     # a value held by this many owners is a copied example
+EXAMPLE_OWNERS = 3     # a plain value held by this many owners in texts of their own is an example
 MARK = re.compile("example", re.IGNORECASE | re.ASCII)  # a value that calls itself an example
 BANDS, BAND = 10, 3    # texts that share a band of minima of their word pairs are near copies
 
@@ -122,11 +129,15 @@ def find(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """``(value, n_seen, n_repositories, n_owners)``: distinct counts in three combining steps."""
+    """``(value, n_repositories, n_owners)``: distinct counts in three combining steps."""
     return (spans.groupBy("value", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("value", "owner").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("r"))
-            .groupBy("value").agg(F.sum("n").alias("n_seen"), F.sum("r").alias("n_repositories"),
-                                  F.count(F.lit(1)).alias("n_owners")))
+            .groupBy("value", "owner").agg(F.count(F.lit(1)).alias("r"))
+            .groupBy("value").agg(F.sum("r").alias("n_repositories"), F.count(F.lit(1)).alias("n_owners")))
+
+
+def distinct_count(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """``(value, name)``: distinct values of a column, in two combining steps."""
+    return (rows.groupBy("value", column).agg(F.count(F.lit(1)).alias("n")).groupBy("value").agg(F.count(F.lit(1)).alias(name)))
 
 
 def near_copies(rows: DataFrame, held: DataFrame) -> DataFrame:
@@ -141,26 +152,34 @@ def near_copies(rows: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def holders(rows: DataFrame, flat: DataFrame) -> DataFrame:
-    """``(value, n_any, n_owners, n_repositories)``: owners of any text, and of texts that are no copies of another."""
-    def independent(df, text):
-        return ownership(df.groupBy("value", text).agg(F.min(F.struct("owner", "repository")).alias("h"))
-                         .select("value", "h.*")).drop("n_seen")
-
+    """``(value, n_owners, n_repositories, n_classes)`` of every value."""
     texts = materialise(flat.groupBy("value", "text_hash", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
                         .drop("n"), "secret-texts")
-    equal = materialise(independent(texts, "text_hash"), "secret-equal")
-    several = equal.where("n_owners > 1").select("value")
-    held = materialise(texts.join(broadcast_if_small(several, 96), "value", "left_semi").select("text_hash").distinct(),
-                       "secret-held")
+    counts = materialise(ownership(texts).join(distinct_count(texts, "text_hash", "n_texts"), "value"), "secret-counts")
+    # only where several owners hold several texts does it matter which of these are copies
+    several = counts.where("n_owners > 1 and n_texts > 1").select("value")
+    open_ = materialise(texts.join(broadcast_if_small(several, 96), "value", "left_semi"), "secret-open")
+    held = materialise(open_.select("text_hash").distinct(), "secret-held")
     group = materialise(near_copies(rows, held), "secret-groups")
-    classed = (texts.join(broadcast_if_small(group, 32), F.col("text_hash") == F.col("node"), "left")
+    classed = (open_.join(broadcast_if_small(group, 32), F.col("text_hash") == F.col("node"), "left")
                .withColumn("class", F.coalesce("root", "text_hash")))
-    return ownership(texts).select("value", F.col("n_owners").alias("n_any")).join(independent(classed, "class"), "value")
+    return (counts.join(distinct_count(classed, "class", "n_merged"), "value", "left")
+            .select("value", "n_owners", "n_repositories", F.coalesce("n_merged", "n_texts").alias("n_classes")))
+
+
+def verdict_of(example_owners: int = EXAMPLE_OWNERS) -> Column:
+    """The verdict of a value from its counts and its looks (``live``, ``marked``)."""
+    several = F.col("n_owners") > 1
+    return (F.when(F.col("marked"), F.when(several, "example").otherwise("marked"))
+            .when(~several, F.when(F.col("live"), "owner_live").otherwise("owner_plain"))
+            .when(F.col("n_classes") == 1, "copied_with_text")
+            .when(F.col("live"), "leaked")
+            .when(F.col("n_owners") >= example_owners, "example").otherwise("shared"))
 
 
 def spans(docs: DataFrame, owner: Column | None = None, repository: Column | None = None,
           example_owners: int = EXAMPLE_OWNERS) -> tuple[DataFrame, DataFrame]:
-    """(rows found, judged spans): the second has a row per span of (row, start, kind, end, from, verdict, random).
+    """(rows found, judged spans): the second has a row per span of (row, start, kind, end, from, verdict, counts).
 
     A document table has no repository of its own: by default the source owns it and the
     (source, language) pair is its repository.
@@ -171,35 +190,41 @@ def spans(docs: DataFrame, owner: Column | None = None, repository: Column | Non
     flat = rows.where("size(found) > 0").select("row", "doc_id", "text_hash", "owner", "repository",
                                                 F.inline("found"))
     owned = materialise(holders(rows, flat), "secret-owners")
-    wide = F.when(F.col("marked"), F.col("n_any")).otherwise(F.col("n_owners"))
-    verdict = (F.when(wide >= example_owners, "example")
-               .when((F.col("n_owners") == 1) & F.col("live"), "live").otherwise("shared"))
     judged = (flat.join(broadcast_if_small(owned, 160), "value")
-              .select("row", "doc_id", "text_hash", "start", "kind", "end", "from", verdict.alias("verdict"),
-                      (F.col("live") & ~F.col("marked")).alias("random")))
+              .select("row", "doc_id", "text_hash", "start", "kind", "end", "from", verdict_of(example_owners).alias("verdict"),
+                      "n_owners", "n_repositories", "n_classes"))
     return rows, materialise(judged, "secret-spans")
 
 
+_SPAN = "struct<start:int,kind:int,end:int,verdict:string,n_owners:bigint,n_repositories:bigint,n_classes:bigint>"
+
+
 def _joined(found: Column) -> Column:
     kinds = F.array(*[F.lit(k) for k in KINDS])
-    return F.array_join(F.transform(F.array_sort(found), lambda s: F.concat_ws(
+    return F.array_join(F.transform(found, lambda s: F.concat_ws(
         ":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
-    """A row per document: counts by kind, digests of the base and of all spans, verdict counts."""
+    """A row per document: counts by kind, digests of the base and of all spans, and for every span its verdict and holders.
+
+    ``verdicts`` and ``holders`` (owners/repositories/classes) stand in the order of ``spans``.
+    """
     rows, judged = spans(docs, **options)
-    per_row = judged.groupBy("row").agg(
-        F.collect_list(F.struct("start", "kind", "end")).alias("s"),
-        F.count_if(F.col("verdict") == "live").alias("n_live"),
-        F.count_if(F.col("verdict") == "example").alias("n_example"))
-    every = F.coalesce("s", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
+    per_row = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(
+        "start", "kind", "end", "verdict", "n_owners", "n_repositories", "n_classes"))).alias("s"))
+    every = F.coalesce("s", F.array().cast(f"array<{_SPAN}>"))
     base = F.filter(every, lambda s: s["kind"] < 3)
-    count = lambda k: F.size(F.filter(every, lambda s: s["kind"] == k)).cast("bigint")
+    count = lambda test: F.size(F.filter(every, test)).cast("bigint")
+    of_kind = lambda k: count(lambda s: s["kind"] == k)
+    held = F.array_join(F.transform(every, lambda s: F.concat_ws("/", *[s[c].cast("string") for c in (
+        "n_owners", "n_repositories", "n_classes")])), ",")
     return rows.select("row", "doc_id").join(per_row, "row", "left").select(
-        "doc_id", *[count(k).alias(f"n_{KINDS[k]}") for k in range(3)],
+        "doc_id", *[of_kind(k).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(every).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"))
+        count(lambda s: s["verdict"] == "owner_live").alias("n_live"),
+        count(lambda s: s["verdict"] == "example").alias("n_example"),
+        F.array_join(F.transform(every, lambda s: s["verdict"]), ",").alias("verdicts"), held.alias("holders"))
 
 
 def masked(text: str, cuts: list[tuple[int, int]], mask: str) -> str:
@@ -222,16 +247,16 @@ def _masker(mask: str):
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
-    """The rows and columns of ``docs`` with every value masked that is not a widely copied example, or looks random.
+    """The rows and columns of ``docs`` with every value masked that is not an example.
 
     Documents meet their spans by (doc_id, text hash); equal rows have equal spans.
     """
     _, judged = spans(docs, **options)
     cut, cut_id, cut_hash = (fresh(n, docs) for n in ("cuts", "cut_id", "cut_hash"))
-    cuts = materialise(judged.where("verdict <> 'example' or random").groupBy("doc_id", "text_hash")
+    cuts = materialise(judged.where("verdict <> 'example'").groupBy("doc_id", "text_hash")
                        .agg(F.collect_set(F.struct(F.col("from").alias("s"), F.col("end").alias("e"))).alias(cut)),
                        "secret-cuts").withColumnsRenamed({"doc_id": cut_id, "text_hash": cut_hash})
-    joined = docs.join(broadcast_if_small(cuts, 256), docs["doc_id"].cast("bigint").eqNullSafe(F.col(cut_id))
+    joined = docs.join(broadcast_if_small(cuts, 64, F.size(cut) * 24), docs["doc_id"].cast("bigint").eqNullSafe(F.col(cut_id))
                        & (F.xxhash64(docs["text"]) == F.col(cut_hash)), "left").drop(cut_id, cut_hash)
     masked = _masker(mask)(F.when(F.col(cut).isNotNull(), F.col("text")), F.col(cut))  # other texts stay in the JVM
     out = joined.withColumn("text", F.coalesce(masked, F.col("text")))
