@@ -82,6 +82,16 @@ TRANSACTION_RULES = (
     Rule("amount_range", "amount_ksh", -10000, 10000),
     Rule("status_values", "status", allowed=("completed", "pending", "failed")),
 )
+LOAD_RULES = (   # what the loads carry beyond the facts
+    Rule("cooking_hours_range", "baseline_cooking_hours_per_day", 1, 8),
+    Rule("cooking_method_values", "baseline_cooking_method", allowed=("Three-stone fire", "Charcoal stove", "Kerosene", "LPG", "Electric")),
+    Rule("fuel_type_values", "baseline_fuel_type", allowed=("Firewood", "Charcoal", "LPG")),
+)
+LEDGER_RULES = (
+    Rule("type_values", "type", allowed=("purchase", "payment", "subsidy", "maintenance", "refund")),
+    Rule("channel_values", "payment_method", allowed=("Cash", "M-Pesa", "Bank")),
+    Rule("ledger_status_values", "status", allowed=("completed", "pending", "failed")),
+)
 IMPACT_RULES = (
     Rule("dalys_range", "dalys_avoided", 0, 0.1),
     Rule("mortality_range", "mortality_reduction", 0, 0.001),

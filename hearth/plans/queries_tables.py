@@ -10,8 +10,8 @@ from ..functions.dates import parse_date
 from ..operators import constraints as C
 from ..operators import gate, lookup, order, quality
 from ..session import scratch_path
-from ..sources import files, sinks, warehouse
-from .registry import register
+from ..sources import files, schemas, sinks, warehouse
+from .registry import REGISTRY, register
 
 # ------------------------------------------------- constraints on load
 
@@ -271,3 +271,85 @@ def q_repeated_grain(t):
                            *[(F.col(c) if c in keys else F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()], "rows")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# ------------------------------------------------- documented rules of the loads (Q1)
+
+# The documented lists and range, stated once more for the oracle.
+_LOAD_BREAKS = (
+    ("load_adoptions", "cooking_hours_range", "baseline_cooking_hours_per_day", "baseline_cooking_hours_per_day NOT BETWEEN 1 AND 8"),
+    ("load_adoptions", "cooking_method_values", "baseline_cooking_method",
+     "baseline_cooking_method NOT IN ('Three-stone fire', 'Charcoal stove', 'Kerosene', 'LPG', 'Electric')"),
+    ("load_adoptions", "fuel_type_values", "baseline_fuel_type", "baseline_fuel_type NOT IN ('Firewood', 'Charcoal', 'LPG')"),
+    ("adoption_ledger", "type_values", "type", "type NOT IN ('purchase', 'payment', 'subsidy', 'maintenance', 'refund')"),
+    ("adoption_ledger", "channel_values", "payment_method", "payment_method NOT IN ('Cash', 'M-Pesa', 'Bank')"),
+    ("adoption_ledger", "ledger_status_values", "status", "status NOT IN ('completed', 'pending', 'failed')"))
+
+
+def _load_breaks_sql() -> str:
+    parts = [f"SELECT '{source}' AS dataset, '{rule}' AS rule, '{column}' AS column_name, COUNT(*) FILTER (WHERE {bad}) AS violations, "
+             f"COUNT({column}) AS checked FROM ({REGISTRY[source].sql})" for source, rule, column, bad in _LOAD_BREAKS]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("range_violations_loads", _load_breaks_sql(), ops="Q1", raw_sql=True)
+def q_range_violations_loads(t):
+    return (quality.range_violations(REGISTRY["load_adoptions"].build(t), quality.LOAD_RULES, "load_adoptions")
+            .unionByName(quality.range_violations(REGISTRY["adoption_ledger"].build(t), quality.LEDGER_RULES, "adoption_ledger")))
+
+
+# ------------------------------------------------- the whole catalogue
+
+# Which columns of each table the extracts fill, and from what the oracle counts them.
+_FILLED = {
+    "dim_household": ("dim_household", ("household_key", "household_id", "county", "urban_rural", "gps_latitude", "gps_longitude",
+                                        "head_gender", "head_age", "marital_status", "household_size", "children_under_18",
+                                        "elderly_over_60", "monthly_income_ksh", "control_group", "vulnerability_factors")),
+    "dim_product": ("dim_product", ("product_key", "product_id", "product_type", "product_model", "thermal_efficiency_pct",
+                                    "pm25_emissions_mg_m3", "lifespan_years", "tier_rating", "unit_cost_usd", "carbon_reduction_tons_year")),
+    "dim_date": ("dim_date", ("date_key", "full_date", "year", "quarter", "month", "month_name", "week", "day_of_month", "day_of_week",
+                              "day_name", "is_weekend", "fiscal_year", "fiscal_quarter")),
+    "dim_geography": ("dim_geography", ("geography_key", "county", "region", "population", "area_sq_km", "poverty_rate",
+                                        "electrification_rate")),
+    "dim_donor": ("load_donors", ("donor_key", "donor_id", "donor_name", "donor_type", "focus_area", "funding_available_usd",
+                                  "reporting_frequency", "cost_per_impact_target")),
+    "fact_adoptions": ("load_adoptions", ("household_key", "product_key", "adoption_date_key", "geography_key", "payment_method",
+                                          "subsidy_amount", "actual_price_paid", "usage_intensity", "baseline_cooking_method",
+                                          "baseline_fuel_type", "baseline_weekly_fuel_cost_ksh", "baseline_cooking_hours_per_day")),
+    "fact_transactions": ("load_transactions", ("transaction_id", "household_key", "product_key", "transaction_date_key", "amount_ksh",
+                                                "transaction_type", "payment_method", "status")),
+    "fact_ebike_logistics": ("load_routes", ("route_id", "geography_key", "distribution_center", "route_name", "distance_km",
+                                             "households_covered", "terrain_type", "ebike_required", "deliveries_per_month")),
+    "fact_carbon_credits": ("load_prices", ("date_key", "price_per_ton_usd", "market_type", "standard", "verification_status",
+                                            "volume_traded_tons", "kenya_premium_pct")),
+    "fact_impact_metrics": ("impact_monthly", ("household_key", "product_key", "geography_key", "month_key", "dalys_avoided",
+                                               "mortality_reduction", "co2_avoided_tons", "trees_saved_equivalent", "fuel_cost_savings_ksh",
+                                               "time_saved_hours", "healthcare_savings_ksh", "stove_stacking_ratio")),
+}
+
+
+def _catalogue_sql() -> str:
+    from .oracle import star
+    parts = []
+    for table, (source, filled) in _FILLED.items():
+        body = REGISTRY[source].sql if source in REGISTRY else star(f"SELECT * FROM {source}")
+        counts = ", ".join(f"COUNT({c}) AS {c}" for c in filled)
+        parts.append(f"SELECT '{table}' AS table_name, column_name, filled, rows FROM (SELECT *, (SELECT COUNT(*) FROM ({body})) AS rows FROM "
+                     f"(SELECT {counts} FROM ({body})) UNPIVOT (filled FOR column_name IN (COLUMNS(*))))")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("catalogue_load", _catalogue_sql(), ops="S4 B1 B2 B4 B5 B6 B7 B8", raw_sql=True)
+def q_catalogue_load(t):
+    """Every table of the catalogue loaded and typed as declared: how many values each column that has a source holds (writes while it is built)."""
+    s = t.star
+    out = None
+    for table, (source, filled) in _FILLED.items():
+        df = REGISTRY[source].build(t) if source in REGISTRY else getattr(s, source)
+        loaded = schemas.conform(df, schemas.TABLES[table] if table != "dim_donor" else schemas.TABLES[table].replace("donor_key bigint", "donor_key string"))
+        one = loaded.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in loaded.columns])
+        pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in loaded.columns]
+        one = (one.select("rows", F.inline(F.array(*pairs))).where((F.col("filled") > 0) | F.col("column_name").isin(*filled))
+               .select(F.lit(table).alias("table_name"), "column_name", "filled", "rows"))
+        out = one if out is None else out.unionByName(one)
+    return out

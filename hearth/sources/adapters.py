@@ -121,8 +121,15 @@ class StarSchema:
 
     @cached_property
     def product_count(self) -> Column:
-        """Products in the catalogue (their keys are 0-based and dense), as a scalar subquery."""
-        return self.t.part.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+        """Products in the catalogue, as a scalar subquery.
+
+        Adoptions draw their product as a key modulo this number, so keys must run from 0
+        without a gap; a catalogue whose keys do not is refused when the query runs.
+        """
+        n, key = F.count(F.lit(1)), F.col("p_partkey")
+        dense = (n == 0) | ((F.min(key) == 0) & (F.max(key) == n - 1))
+        return self.t.part.agg(F.when(dense, F.greatest(n, F.lit(1)))
+                               .otherwise(F.raise_error(F.lit("part keys must be 0 to n - 1")).cast("bigint"))).scalar()
 
     @cached_property
     def dim_date(self) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..sources.ranges import RangeTable
 from ..sources.sinks import incremental, upsert
 
 
@@ -51,6 +52,21 @@ def stream_upsert(spark: SparkSession, source: str, schema: StructType | str, ta
             .trigger(availableNow=True).start())
 
 
+def stream_merge(spark: SparkSession, source: str, schema: StructType | str, table: RangeTable,
+                 update_cols: Sequence[str], order: Sequence[str], checkpoint: str) -> StreamingQuery:
+    """S12 as a stream into a table laid out by key range: a micro-batch rewrites the ranges it touches.
+
+    The batch id names the batch, so one that is run again after a failure is finished from
+    what it staged, or left alone where it was applied.
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(f"stream-{batch_id}", batch, update_cols, order)
+
+    return (spark.readStream.schema(schema).parquet(source).writeStream
+            .foreachBatch(merge).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def _version_path(table: str, version: int) -> str:
     return f"{table.rstrip('/')}/v={version}"
 

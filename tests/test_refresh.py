@@ -35,6 +35,23 @@ def test_stream_upsert(spark):
     assert got == {1: (Decimal("10.00"), 3), 2: (Decimal("21.00"), None), 3: (Decimal("30.00"), 2)}
 
 
+def test_stream_merge(spark):
+    """Micro-batches rewrite the ranges they touch; a batch that is run again changes nothing."""
+    from hearth.sources.ranges import RangeTable
+    base = spark.range(200).selectExpr("id as k", "cast(id as decimal(12,2)) as income", "cast(id % 9 as int) as size")
+    table = RangeTable.create(base, scratch_path(spark, "stream-ranges"), "k", 8)
+    src, schema = scratch_path(spark, "merge-src"), "k long, ts timestamp, income decimal(12,2), size int"
+    for name, rows in (("a", [(2, dt.datetime(2024, 1, 1), Decimal("21"), None), (2, dt.datetime(2024, 1, 2), Decimal("22"), 5)]),
+                       ("b", [(500, dt.datetime(2024, 1, 3), Decimal("30"), 2)])):
+        spark.createDataFrame(rows, schema).write.parquet(f"{src}/{name}")
+        inc.stream_merge(spark, src + "/*", schema, table, ["income", "size"], ["ts"], f"{table.root}/checkpoint").awaitTermination(120)
+    got = {r.k: (r.income, r.size) for r in table.read().collect()}
+    assert len(got) == 201 and got[2] == (Decimal("22.00"), 5) and got[500] == (Decimal("30.00"), 2) and got[3] == (Decimal("3.00"), 3)
+    again = spark.createDataFrame([(2, dt.datetime(2025, 1, 1), Decimal("99"), 1)], schema)
+    table.upsert("stream-0", again, ["income", "size"], ["ts"])
+    assert {r.k: r.income for r in table.read().collect()}[2] == Decimal("22.00")
+
+
 def test_stream_upsert_ignores_incomplete_version(spark):
     """A batch that died half way leaves a folder without _SUCCESS: nobody reads it."""
     import os
