@@ -1,8 +1,8 @@
 """Dictionary-compressed WARC writer and reader.
 
 Every page becomes a WARC/1.1 record in a ``.warc.zst`` archive: a leading skippable frame
-holds a Zstandard dictionary trained on records of that archive, then each record is a
-frame of its own. Equal payloads of at least ``min_revisit`` bytes are stored once: the
+holds a Zstandard dictionary made of records of that archive (trained, or, where records are
+too few or too alike to train on, their raw content), then each record is a frame of its own. Equal payloads of at least ``min_revisit`` bytes are stored once: the
 record with the largest page_id is the response, the others are revisits that refer to it.
 
 Tasks write archives to the shared folder; the manifest is a table written by Spark, so
@@ -11,8 +11,8 @@ archives of a failed or repeated attempt are never read. Reading streams one rec
 Defined results: a null html is an empty payload; payloads under the bound are all
 responses; null page ids are smaller than all others and read back as null; of rows equal in
 page id and payload that tie for the response, the largest url (then any one of wholly equal
-rows) is it and the others revisit that page_id; an archive of fewer than 16 records
-has no dictionary frame; an empty table gives an empty result; other columns are not looked at.
+rows) is it and the others revisit that page_id; an empty table gives no archive and an empty
+result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -59,15 +59,14 @@ def record(page_id, url, digest: str, size: int, kind: str, refers_to, payload:
 
 
 def train(records: list[bytes], dict_bytes: int = DICT_BYTES, sample_bytes: int = SAMPLE_BYTES):
-    """A dictionary from evenly spaced records, or None when there are too few.
+    """A dictionary from evenly spaced records.
 
     At least ``LEAST_SAMPLES`` records are taken; when they are too long together, only a part
-    of each (its head or, in turn, a later place) is trained on.
+    of each (its head or, in turn, a later place) is trained on. Where the trainer refuses (few
+    records, or nothing that recurs), the same parts stand in the dictionary as they are.
     """
     import zstandard
 
-    if len(records) < 16:
-        return None
     total = sum(map(len, records))
     take = min(len(records), max(LEAST_SAMPLES, sample_bytes * len(records) // max(1, total)))
     sample = [records[i * len(records) // take] for i in range(take)]
@@ -78,7 +77,9 @@ def train(records: list[bytes], dict_bytes: int = DICT_BYTES, sample_bytes: int
     try:
         return zstandard.train_dictionary(min(dict_bytes, max(4096, total // 20)), sample, k=256, d=8, level=LEVEL)
     except zstandard.ZstdError:
-        return None
+        few = sample[:: -(-len(sample) // 16)]
+        raw = b"".join(r[:max(64, min(dict_bytes, max(1024, total // 4)) // len(few))] for r in few)
+        return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
 def archive(records: list[bytes]) -> bytes:
@@ -86,10 +87,9 @@ def archive(records: list[bytes]) -> bytes:
 
     dictionary = train(records)
     out = io.BytesIO()
-    if dictionary is not None:
-        raw = dictionary.as_bytes()
-        out.write(struct.pack("<II", SKIPPABLE, len(raw)) + raw)
-        dictionary.precompute_compress(level=LEVEL)
+    raw = dictionary.as_bytes()
+    out.write(struct.pack("<II", SKIPPABLE, len(raw)) + raw)
+    dictionary.precompute_compress(level=LEVEL)
     compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_checksum=True)
     for r in records:
         out.write(compressor.compress(r))
@@ -157,6 +157,19 @@ def roles(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     return out.where("not coalesce(tied, false)").drop("tied").unionByName(one)
 
 
+def uri_of(path: str) -> str:
+    """``path`` under the name that Arrow has for its file system: Hadoop calls S3 s3a or s3n."""
+    scheme, mark, rest = path.partition("://")
+    return f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else path
+
+
+def store_of(path: str):
+    """The file system of a folder or file, and its path there."""
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(uri_of(path))
+
+
 def write(pages: DataFrame, folder: str | None = None, min_revisit: int = MIN_REVISIT,
           archive_bytes: int = ARCHIVE_BYTES, date: str = DATE) -> DataFrame:
     """Write every page; returns the manifest ``(archive, records, bytes, raw_bytes)``."""
@@ -164,10 +177,9 @@ def write(pages: DataFrame, folder: str | None = None, min_revisit: int = MIN_RE
 
     def run(batches):
         import pyarrow as pa
-        from pyarrow.fs import FileSystem
         from pyspark import TaskContext
 
-        store, root = FileSystem.from_uri(folder)
+        store, root = store_of(folder)
         store.create_dir(root, recursive=True)
         task, pending, size, count = TaskContext.get().partitionId(), [], 0, 0
         attempt = uuid.uuid4().hex[:8]
@@ -209,7 +221,6 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
         import hashlib
 
         import pyarrow as pa
-        from pyarrow.fs import FileSystem
 
         def flush(rows):
             cols = list(zip(*rows)) or [()] * 6
@@ -221,7 +232,7 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
         number = lambda s: int(s) if s else None
         for b in batches:
             for path in b.column(0).to_pylist():
-                store, at = FileSystem.from_uri(path)
+                store, at = store_of(path)
                 rows = []
                 with store.open_input_file(at) as f:
                     for fields, block in read_archive(f):
