@@ -130,3 +130,36 @@ def test_lookup_without_hot_keys_and_without_rows(spark):
     assert lookup.hot_keys(even, "key") == []
     with pytest.raises(ValueError):
         lookup.lookup(rows, dim, "key", "outer")
+
+
+def test_a_hot_key_spreads_over_tasks(spark):
+    """A third of the rows on one key: no task of the lookup holds them, as one of the plain join does."""
+    rows = spark.range(30_000).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string"))).alias("key"),
+        F.col("id").alias("i"))
+    dim = spark.range(5000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"), F.col("id").alias("v")) \
+        .unionByName(spark.createDataFrame([("hot", -1)], "key string, v long"))
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        largest = lambda df: df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        plain = largest(rows.join(dim, "key", "left"))
+        spread = largest(lookup.lookup(rows, dim, "key"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plain >= 10_000 and spread < 4_000
+
+
+def test_a_hot_duplicate_is_no_task_of_its_own(spark):
+    """100,000 rows of one key, half of them equal: judged by combining aggregates."""
+    rows = spark.range(150_000).select(
+        F.when(F.col("id") < 50_000, 1).otherwise(F.col("id")).alias("n"),
+        F.when(F.col("id") < 100_000, "hot").otherwise(F.concat(F.lit("i"), (F.col("id") % 5000).cast("string"))).alias("id"),
+        F.lit("a").alias("home"), F.lit(1).alias("amount"))
+    homes = spark.createDataFrame([("a",)], "h string")
+    got = C.judge(rows, [C.ForeignKey("home", homes, "h"), C.Unique(("id",))], ["n"])
+    counts = {r["accepted"]: r["count"] for r in got.groupBy((F.size("reasons") == 0).alias("accepted")).count().collect()}
+    assert counts == {True: 5001, False: 144_999}
