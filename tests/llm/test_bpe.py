@@ -94,6 +94,15 @@ def test_any_text(encoder, library, texts):
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode_ordinary(t) for t in texts]
 
 
+SPACES = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\u2003", "\r\n", " \n", "\u200b"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*SPACES, "a", "bc", "1", "'s", "'", "ñ", "漢", "!", "?!", "_", "'ll", "\u0301"]), max_size=25).map("".join))
+def test_white_space_of_all_kinds(encoder, library, text):
+    assert encoder([text])[0].tolist() == library.encode_ordinary(text)
+
+
 def test_forgets_when_full(encoder, library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     for text in ("one two three four five", "five six seven eight nine", "ten eleven twelve one two"):
