@@ -90,24 +90,33 @@ ALLOC_SQL = """
          s.min_allocation_pct * s.budget_usd AS lo,
          s.max_penetration_pct * u.target_market * u.cost_per_hh_usd - s.min_allocation_pct * s.budget_usd AS room
   FROM scen s, units2 u),
-j2 AS (
-  SELECT *, gain / cost_per_hh_usd AS ratio,
-         budget_usd - SUM(lo) OVER w AS rest,
-         MAX(CASE WHEN room < 0 THEN 1 ELSE 0 END) OVER w = 1 AS any_neg
-  FROM j WINDOW w AS (PARTITION BY budget_usd, objective, min_allocation_pct)),
-j3 AS (
-  SELECT *, COALESCE(SUM(CASE WHEN gain > 0 THEN room ELSE 0.0 END) OVER (
-              PARTITION BY budget_usd, objective, min_allocation_pct ORDER BY ratio DESC, county
-              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS prior,
-         any_neg OR rest < 0 AS infeasible
-  FROM j2),
+-- the water level: the highest marginal gain per dollar down to which there is room for all that is left to spend
+k AS (SELECT *, gain / cost_per_hh_usd AS ratio, CASE WHEN gain > 0 THEN room ELSE 0.0 END AS cap FROM j),
+tot AS (
+  SELECT budget_usd, objective, min_allocation_pct, any_value(budget_usd) - SUM(lo) AS rest, BOOL_OR(room < 0) AS no_room
+  FROM k GROUP BY budget_usd, objective, min_allocation_pct),
+filled AS (
+  SELECT budget_usd, objective, min_allocation_pct, a.ratio AS level, SUM(o.cap) AS taken
+  FROM (SELECT DISTINCT budget_usd, objective, min_allocation_pct, ratio FROM k) a
+  JOIN k o USING (budget_usd, objective, min_allocation_pct) WHERE o.ratio >= a.ratio GROUP BY ALL),
+lev AS (
+  SELECT budget_usd, objective, min_allocation_pct, MAX(level) AS level
+  FROM filled JOIN tot USING (budget_usd, objective, min_allocation_pct) WHERE taken >= rest GROUP BY ALL),
+spent AS (
+  SELECT budget_usd, objective, min_allocation_pct, level, SUM(CASE WHEN ratio > level THEN cap ELSE 0.0 END) AS above
+  FROM k JOIN lev USING (budget_usd, objective, min_allocation_pct) GROUP BY ALL),
 alloc AS (
-  SELECT budget_usd, objective, min_allocation_pct, objective_order, max_penetration_pct, county,
-         CASE WHEN infeasible THEN 'Infeasible' ELSE 'Optimal' END AS status,
+  SELECT k.budget_usd, k.objective, k.min_allocation_pct, objective_order, max_penetration_pct, county,
+         CASE WHEN no_room OR rest < 0 THEN 'Infeasible' ELSE 'Optimal' END AS status,
          cost_per_hh_usd, target_market, lives_saved_per_hh, co2_per_hh,
-         CASE WHEN NOT infeasible THEN (lo + CASE WHEN gain > 0 THEN greatest(0.0, least(room, rest - prior)) ELSE 0.0 END)
+         CASE WHEN NOT (no_room OR rest < 0) THEN (lo + CASE
+              WHEN level IS NULL OR ratio > level THEN cap WHEN ratio < level THEN 0.0
+              ELSE greatest(0.0, least(cap, rest - above - coalesce(
+                (SELECT SUM(o.cap) FROM k o WHERE o.budget_usd = k.budget_usd AND o.objective = k.objective
+                 AND o.min_allocation_pct = k.min_allocation_pct AND o.ratio = k.ratio AND o.county < k.county), 0.0))) END)
               / cost_per_hh_usd END AS households_allocated
-  FROM j3),
+  FROM k JOIN tot USING (budget_usd, objective, min_allocation_pct)
+  LEFT JOIN spent USING (budget_usd, objective, min_allocation_pct)),
 alloc2 AS (
   SELECT *, households_allocated * cost_per_hh_usd AS investment_usd,
          households_allocated * cost_per_hh_usd / budget_usd * 100 AS allocation_pct,
