@@ -1,4 +1,11 @@
-"""A training corpus from ``documents``: five stages, each one of the operators of hearth.llm."""
+"""A training corpus from ``documents``: five stages, each one of the operators of hearth.llm.
+
+Defined results: without labels every document passes the classifier; documents without a word
+(null or empty texts) are one group of copies and the mix takes nothing of them, so they are not
+packed; of equal or near-equal texts the smallest doc_id stays, rows without an id after all
+others; rows equal in every column are copies like any other; a text of any length goes through
+whole; columns may hold nulls; empty tables give an empty corpus.
+"""
 
 from __future__ import annotations
 

@@ -12,7 +12,7 @@ from tests.llm.test_mixing import slow_targets
 from tests.llm.test_packing import ids
 from tests.llm.test_simhash import slow_components, slow_fingerprint
 
-TABLES = ("documents", "pages", "embeddings", "labels")
+TABLES = ("documents", "pages", "embeddings", "labels", "benchmark")
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -54,6 +54,41 @@ def test_stages(spark, tmp_path):
     assert sum(p.length for p in seen["harmonic_packing"]) == sum(len(ids(r.text)) for r in seen["source_mixing"])
 
 
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_whole_run_on_odd_rows(spark, odd_docs, tmp_path):
+    """Null, empty, repeated and very long texts through all stages: every kept word is packed, nothing crashes."""
+    docs = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, None, 0), (None, 0, 1)], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    rows = out.collect()
+    assert {"doc_id", "sequence_id", "offset", "length", "ids"} <= set(out.columns)
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        assert r.length == len(r.ids) <= 2048
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r.text, []).append(r.doc_id)
+    kept = {r.doc_id for r in rows}
+    assert len(kept & {1, 6}) <= 1                      # equal texts are one document
+    assert 8 in kept and len([r for r in rows if r.doc_id == 8]) > 10
+
+
+def test_whole_run_on_empty_tables(spark, no_docs, tmp_path):
+    no_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_entry_registers_the_queries():
     import __spark_entry__ as entry
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
