@@ -33,8 +33,20 @@ def final_plan(df) -> str:
     """Execute the DataFrame's own query and return its final adaptive plan."""
     qe = df._jdf.queryExecution()
     qe.toRdd().count()
-    text = qe.executedPlan().toString()
-    return text.split("== Initial Plan ==")[0]
+    return without_initial_plans(qe.executedPlan().toString())
+
+
+def without_initial_plans(text: str) -> str:
+    """The plan's text without the initial plans that it, its stages and its subqueries began with."""
+    out, cut = [], None
+    for line in text.splitlines():
+        depth = len(line) - len(line.lstrip(" :|"))
+        if cut is not None and depth > cut:
+            continue
+        cut = depth if "== Initial Plan ==" in line else None
+        if cut is None:
+            out.append(line)
+    return "\n".join(out)
 
 
 def shape(plan: str) -> list[str]:
