@@ -125,3 +125,58 @@ def test_impact_monthly_hot_household_matches_direct_expansion(spark):
     hot_rows = [r for k, r in b.items() if k[0] == 0]
     assert sum(r.active_adoptions for r in hot_rows) == 12 * fact.where(
         "household_key = 0 AND geography_key = 1").count()
+
+
+def test_impact_monthly_of_odd_rows_matches_direct_expansion(spark):
+    """Undated adoptions, gaps, overlapping years, null keys, households and products listed twice."""
+    import datetime as dt
+
+    from hearth.operators import facts
+
+    day = dt.date.fromisoformat
+    starts = ["2023-01-31", "2023-01-02", "2023-12-05", "2024-01-01", "2026-02-28", "0001-12-31", "9999-12-31", None, None]
+    fact = spark.createDataFrame(
+        [(h, p, s and day(s), u, w) for h in (1, 2, 3, None) for p in (10, 11, None) for i, s in enumerate(starts)
+         for u, w in ((Decimal(i) / 10, Decimal(100 + i)), (None, Decimal(7)), (Decimal("0.25"), None))],
+        "household_key long, product_key long, adoption_date date, usage_intensity decimal(3,2), "
+        "baseline_weekly_fuel_cost_ksh decimal(10,2)")
+    members = spark.createDataFrame([(1, 1), (2, 1), (2, 2), (3, 3), (None, 1)], "household_key long, geography_key long")
+    geo = spark.createDataFrame([(1, "A"), (2, "B")], "geography_key long, county string")
+    prod = spark.createDataFrame(
+        [(10, Decimal("100.00"), Decimal("1.00")), (11, Decimal("40.00"), Decimal("0.25")), (11, None, Decimal("0.50"))],
+        "product_key long, pm25_emissions_mg_m3 decimal(8,2), carbon_reduction_tons_year decimal(5,2)")
+
+    known = members.join(geo, "geography_key", "left_semi")
+    u = F.col("usage_intensity")
+    mth = F.add_months(F.trunc("adoption_date", "month"), F.col("m"))
+    direct = (fact.join(known, "household_key").withColumn("m", F.explode(F.sequence(F.lit(0), F.lit(11))))
+              .groupBy("household_key", "product_key", (F.year(mth) * 100 + F.month(mth)).alias("month_key"))
+              .agg(F.min("geography_key").alias("geography_key"), F.sum(u).alias("su"),
+                   F.sum(F.col("baseline_weekly_fuel_cost_ksh") * u).alias("sfu"),
+                   F.count(F.lit(1)).alias("active"), F.max(u).cast("double").alias("mx"))
+              .join(prod, "product_key")
+              .select("household_key", "product_key", "geography_key", "month_key", "active", "mx",
+                      (F.col("sfu") * 52).cast("double") / 12,
+                      (F.col("carbon_reduction_tons_year") * F.col("su")).cast("double") / 12,
+                      (F.col("pm25_emissions_mg_m3") * F.col("su")).cast("double") / 12))
+    for a, m in ((fact, members), (fact.join(members, "household_key"), None)):
+        got = facts.impact_monthly(a, prod, geo, members=m).select(
+            "household_key", "product_key", "geography_key", "month_key", "active_adoptions", "stove_stacking_ratio",
+            "fuel_cost_savings_ksh", "co2_avoided_tons", "pm25_reduced")
+        rows = sorted(map(repr, map(tuple, got.collect())))
+        assert rows == sorted(map(repr, map(tuple, direct.collect())))
+        assert any("None, 72, " in r for r in rows)  # two undated days of three rows, twelve months each
+
+
+def test_impact_monthly_holds_no_table_of_expanded_months(spark):
+    """The months are written out last; no aggregate, sort, window or shuffle sees them."""
+    from hearth.operators import facts
+    from hearth.sources.tables import Tables
+    s = Tables(spark, "/root/testdata/sf0.001").star
+    for hint in ("broadcast", "merge"):
+        df = facts.impact_monthly(s.order_adoptions, s.dim_product.hint(hint), s.dim_geography,
+                                  members=s.programme_households)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        above, sep, below = plan.split("Initial Plan")[-1].partition("Generate explode(stretch")
+        assert sep and "Window" in below
+        assert not any(x in above for x in ("Aggregate", "Exchange", "Sort", "Window", "Join"))
