@@ -36,15 +36,17 @@ EMIT = 4096       # pieces a task holds before it hands them on
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
-# white space that does not stand singly between other characters
-_UNEVEN = re.compile(r"\s\s|\A\s|\s\Z")
+# white space that does not stand singly between other characters: a text has some if one of
+# the words between its spaces is empty or has some
+_UNEVEN = re.compile(r"\s\s|\A\s|\s\Z|\A\Z")
 
 
 class Encoder:
     """Byte-level BPE ids of whole texts as little-endian unsigned 32-bit bytes.
 
     The vocabulary's split pattern begins a new word at every single space, so a text
-    whose white space stands singly is encoded space by space with remembered chunks.
+    whose white space stands singly is encoded space by space with remembered chunks. The
+    chunks it has anew are encoded in one call; each begins at a token that begins with a space.
     Latin-1 chunks go through the same vocabulary as ranks; all else, and texts that hold
     an added token (such as the end of text), through the tokenizer as loaded. Both give its ids.
     """
@@ -69,6 +71,8 @@ class Encoder:
         self.whole = Tokenizer.from_file(tokenizer_path)
         added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        self.spaced = np.zeros(max(ranks.values()) + 1, bool)
+        self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
         self.known: dict[str, bytes] = {}
         self.pack = lambda ids: np.array(ids, "<u4").tobytes()
 
@@ -80,23 +84,33 @@ class Encoder:
         if self.added.search(text):
             return self.pack(self.whole.encode(text, add_special_tokens=False).ids)
         one = self.ranked.encode_ordinary
-        if _UNEVEN.search(text):
-            return self.pack(one(text))
         first, *rest = text.split(" ")
         known = self.known
-        out = [known.get(w) for w in rest]
-        if None in out:
-            if len(known) > CACHE:
-                known.clear()
-            for i, (w, ids) in enumerate(zip(rest, out)):
-                if ids is None:
-                    ids = known.get(w)
-                    if ids is None:
-                        ids = self.pack(one(" " + w))
-                        if len(w) <= 64:
-                            known[w] = ids
-                    out[i] = ids
-        return self.pack(one(first)) + b"".join(out)
+        new = [w for w in dict.fromkeys(rest) if w not in known]
+        if not rest or _UNEVEN.search(first) or new and not self.learn(new):
+            return self.pack(one(text))
+        ids = self.pack(one(first)) + b"".join(map(known.__getitem__, rest))
+        for w in new:
+            if len(w) > 64:
+                del known[w]
+        if len(known) > CACHE:
+            known.clear()
+        return ids
+
+    def learn(self, words: list[str]) -> bool:
+        """Remember the ids of words that follow a space; none of them if one cannot be encoded apart."""
+        import numpy as np
+
+        text = " ".join(words)
+        if _UNEVEN.search(text):
+            return False
+        ids = np.array(self.ranked.encode_ordinary(" " + text), "<u4")
+        begins = (4 * np.flatnonzero(self.spaced[ids])).tolist()
+        if len(begins) != len(words):
+            return False
+        data = ids.tobytes()
+        self.known.update(zip(words, [data[i:j] for i, j in zip(begins, [*begins[1:], len(data)])]))
+        return True
 
 
 def cut(length: int, capacity: int = CAPACITY, classes: int = CLASSES, slack: int = SLACK) -> list[int]:

@@ -78,3 +78,23 @@ def test_added_tokens_have_the_ids_of_the_tokenizer_as_loaded():
         for text in (token, f"one {token} two", f" {token}{token}\n", f"漢 {token} é"):
             want = loaded.encode(text, add_special_tokens=False).ids
             assert ENCODE(text) == np.array(want, "<u4").tobytes()
+
+
+def test_new_words_of_a_text_are_encoded_in_one_call():
+    """Ids as of the tokenizer, words over the limit forgotten; a call a text, not a call a word."""
+    encode = packing.Encoder()
+    loaded = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    words = [f"{a}{i}{b}" for i in range(150) for a, b in (("Word", "s,"), ("(", ")\nnext"), ("d'", "'ll"), ("é\xa0", "ß"), ("", "x" * 70))]
+    calls = []
+
+    class Counted:
+        def __init__(self, ranked):
+            self.encode_ordinary = lambda text: calls.append(text) or ranked.encode_ordinary(text)
+
+    encode.ranked = Counted(encode.ranked)
+    odd = ["", " ", "one", "one two ", " one two", "one  two", "one \ntwo", "one\t two", "one two\n", "a\n\nb c", "a \x1c b"]
+    for text in (" ".join(words), " ".join(words[::-1]), *odd, *(f"{words[7]} {x} {words[9]}" for x in odd)):
+        before = len(calls)
+        assert encode(text) == np.array(loaded.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(calls) - before <= 3
+    assert encode.known and max(map(len, encode.known)) <= 64 and "" not in encode.known
