@@ -10,6 +10,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from hearth.operators import gold, silver
+from hearth.plans import registry
 
 HOT_ROWS = 100_000
 OTHERS = 200_000
@@ -180,3 +181,14 @@ def test_impact_monthly_holds_no_table_of_expanded_months(spark):
         above, sep, below = plan.split("Initial Plan")[-1].partition("Generate explode(stretch")
         assert sep and "Window" in below
         assert not any(x in above for x in ("Aggregate", "Exchange", "Sort", "Window", "Join"))
+
+
+def _keyed_by_month(spark, name):
+    registry.load_all()
+    plan = registry.build(name, spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode(stretch") == 1
+    return [x for x in plan.splitlines() if "Aggregate(keys=[" in x and "month_key" in x.split("functions=")[0]]
+
+
+def test_range_violations_keeps_no_table_of_expanded_months(spark):
+    assert not _keyed_by_month(spark, "range_violations")
