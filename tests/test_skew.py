@@ -192,3 +192,7 @@ def _keyed_by_month(spark, name):
 
 def test_range_violations_keeps_no_table_of_expanded_months(spark):
     assert not _keyed_by_month(spark, "range_violations")
+
+
+def test_catalogue_load_keeps_no_table_of_expanded_months(spark):
+    assert not _keyed_by_month(spark, "catalogue_load")
